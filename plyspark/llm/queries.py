@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import pii, quality, secrets, simhash
 from .runtime import table
 
 
@@ -14,6 +14,15 @@ def id_remainder(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.scan(docs, secrets.train(secrets.labelled_samples(docs))))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -27,6 +36,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_secrets": op4_secrets,
+    "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
