@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, secrets, simhash
+from . import mixing, pii, quality, secrets, simhash
 from .runtime import table
 
 
@@ -14,6 +14,11 @@ def id_remainder(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, pattern=(5.0, 2.0, 1.0), cap=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.scan(docs, secrets.train(secrets.labelled_samples(docs))))
@@ -36,6 +41,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
     "op8_simhash": op8_simhash,
