@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, secrets, simhash
+from . import langid, lcp, mixing, pii, quality, secrets, simhash
 from .runtime import table
 
 
@@ -28,11 +28,22 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(id_remainder(5) != 0))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (id_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lcp.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs.where(id_remainder(4) != 2), table(spark, sf_dir, "labels"))
@@ -44,7 +55,9 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
+    "op6_langid": op6_langid,
     "op8_simhash": op8_simhash,
+    "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
 }
 
