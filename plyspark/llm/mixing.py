@@ -158,3 +158,23 @@ def _dealt(rows: DataFrame, classes: DataFrame, sources: DataFrame, scratch: Scr
     return placed.withColumn("taken_copies", copies).join(t, F.col("source").eqNullSafe(F.col("s2"))).select(
         "doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"), F.col("taken_copies").alias("copies")
     )
+
+
+def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed``, the result of ``mix`` on them, takes it.
+
+    Rows that agree in doc_id, source and size share their copies evenly, equal rows as one
+    row with a count, so a row that is repeated without end is never gathered.
+    """
+    keys = mixed.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_m"), F.sum("copies").alias("_total"))
+    keys = keys.where("_total > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "_m", "_total")
+    on = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
+    joined = docs.withColumn("_size", size_of()).join(keys, on)
+    names = docs.columns
+    single = joined.where("_m = 1").select(*names, F.col("_total").alias("_k"))
+    several = joined.where("_m > 1").groupBy(*names, "_size", "_m", "_total").agg(F.count("*").alias("_c"))
+    order = Window.partitionBy("doc_id", "source", "_size").orderBy(*names)
+    several = several.withColumn("_before", F.sum("_c").over(order) - F.col("_c"))
+    share = F.expr("_c * (_total div _m) + greatest(0L, least(_c, _total % _m - _before))")
+    rows = single.union(several.select(*names, share.alias("_k"))).where("_k > 0")
+    return rows.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_copy")).drop("_copy")

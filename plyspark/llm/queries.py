@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lcp, mixing, pii, quality, secrets, simhash
-from .runtime import table
+from . import decontam, langid, lcp, mixing, pii, quality, secrets, sharding, simhash
+from .runtime import Scratch, table
 
 
 def id_remainder(n: int) -> Column:
@@ -19,6 +19,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = sharding.shard(table(spark, sf_dir, "documents"), Scratch(spark, "shards").root, arrivals=4, target_bytes=128 << 20)
+    return store.read(with_shard=True).select("doc_id", "source", "n_chars", "shard_id", "shard_bytes", "shard_level")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.scan(docs, secrets.train(secrets.labelled_samples(docs))))
@@ -53,6 +62,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_sharding": op3_sharding,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
     "op6_langid": op6_langid,

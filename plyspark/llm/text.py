@@ -42,14 +42,26 @@ def lower(data: np.ndarray) -> np.ndarray:
     return table[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and text number of each word ``[^\\x20\\x09-\\x0D]+``."""
+def not_space() -> np.ndarray:
+    """Of each byte value, whether words ``[^\\x20\\x09-\\x0D]+`` hold it."""
+    table = np.ones(256, bool)
+    table[_SPACES] = False
+    return table
+
+
+def alphanumeric() -> np.ndarray:
+    """Of each byte value, whether it is an ASCII letter or digit or part of a longer character."""
+    table = np.zeros(256, bool)
+    table[128:] = table[48:58] = table[65:91] = table[97:123] = True
+    return table
+
+
+def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text number of each longest run of bytes that ``table`` (by default ``not_space``) holds."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    table = np.ones(256, bool)
-    table[_SPACES] = False
-    inside = table[data]
+    inside = (not_space() if table is None else table)[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
