@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lcp, mixing, pii, quality, secrets, sharding, simhash
+from . import decontam, katz, langid, lcp, mixing, pii, quality, secrets, sharding, simhash
 from .runtime import Scratch, table
 
 
@@ -44,6 +44,11 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = katz.scores(table(spark, sf_dir, "documents"), id_remainder(10) != 0)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -67,6 +72,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
     "op6_langid": op6_langid,
+    "op7_katz": op7_katz,
     "op8_simhash": op8_simhash,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
