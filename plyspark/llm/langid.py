@@ -75,7 +75,7 @@ def _counted(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def passed() -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
             grams, n = merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
         held.clear()
 
     for batch in texts:

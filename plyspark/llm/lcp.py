@@ -144,7 +144,7 @@ def with_next(docs: DataFrame, rows_of_range: int = 4096, most_ranges: int = 10_
                 yield pa.RecordBatch.from_arrays([pa.array((r[copies] - 1) % len(bounds)), pa.array(np.ones(len(copies), np.int8)), *part.columns], names=["r", "look", *batch.schema.names])
 
     dealt = ordered.withColumn("h", F.xxhash64("text")).select("o", "h", "doc_id", "text").mapInArrow(deal, "r long, look byte, o long, h long, doc_id long, text string")
-    return dealt.repartition(len(bounds), "r").sortWithinPartitions("r", "look", "o", "h")
+    return dealt.repartition(max(1, len(bounds)), "r").sortWithinPartitions("r", "look", "o", "h")
 
 
 def neighbours(docs: DataFrame, levels: int = LEVELS) -> DataFrame:

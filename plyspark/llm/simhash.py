@@ -78,7 +78,7 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 2, most_group: in
     head = WIDTH * max(n for n in range(SEGMENTS) if budget[n] == 0)  # equal bits at the chain's start
     tail = WIDTH * max(n for n in range(SEGMENTS) if budget[n] <= 1) - head  # then bits of which one may differ
     chain = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("i")).withColumn("r", _rotated("fp"))
-    chain = chain.withColumn("head", F.expr(f"shiftrightunsigned(r, {64 - head}) * {SEGMENTS} + i"))
+    chain = chain.withColumn("head", F.expr(f"shiftleft(shiftrightunsigned(r, {64 - head}), 4) | i"))
     groups = chain.groupBy("head").agg(F.count("*").alias("n")).where("n > 1")
     keyed = scratch.save(chain.join(groups, "head"), "chains")
     few, many = keyed, None
