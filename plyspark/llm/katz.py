@@ -33,8 +33,8 @@ from .text import lower, mix, span_hashes, steps, utf8, words
 #: Counts up to this are discounted by Good-Turing, larger ones lose REST.
 RELIABLE, REST = 5, 0.5
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35)
-#: Tokens that a task holds before it deals them; documents likewise (16 bits).
-HELD_TOKENS, HELD_DOCS = 1 << 22, 60_000
+#: Tokens that a task holds before it deals them; documents likewise (16 bits). Tokens of a part.
+HELD_TOKENS, HELD_DOCS, PART_TOKENS = 1 << 20, 60_000, 1 << 22
 
 
 def discounts(counts: list[int]) -> list[float]:
@@ -120,7 +120,7 @@ def count_unigrams(train: DataFrame, scratch: Scratch, parts_of: int) -> tuple[U
     tokens, types, docs, *few, rest = row
     d = discounts(list(few))
     left = sum((1 - d[r]) * r * few[r - 1] for r in range(1, RELIABLE + 1)) + REST * rest
-    parts = max(parts_of, -(-tokens // HELD_TOKENS), 1)
+    parts = max(parts_of, -(-tokens // PART_TOKENS), 1)
     hot = table.where(F.col("n") > tokens / (4 * parts)).toPandas().sort_values("w")  # 4 * parts rows at most
     values = hot["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
@@ -232,28 +232,35 @@ def _counter(model: Unigrams, parts: int):
         if rows[0]["part"] < 0:
             return _told([(IDS, r["batch"], r["batch"], r["doc"], b"", b"") for r in rows])
         rows.sort(key=lambda r: r["batch"])
-        w = np.concatenate([np.repeat(np.frombuffer(r["w"], np.uint64), _unpacked(r["runs"], np.uint32)) for r in rows])
-        h = np.concatenate([_from_six(r["h"]) for r in rows])
-        n = np.concatenate([_unpacked(r["n"], np.uint32) for r in rows]).astype(np.int64)
-        doc = [np.frombuffer(r["doc"], np.uint16) for r in rows]
+        w = np.concatenate([np.repeat(np.frombuffer(r.pop("w"), np.uint64), _unpacked(r.pop("runs"), np.uint32)) for r in rows])
+        h = np.concatenate([_from_six(r.pop("h")) for r in rows])
+        n = np.concatenate([_unpacked(r.pop("n"), np.uint32) for r in rows])
+        doc = [np.frombuffer(r.pop("doc"), np.uint16) for r in rows]
         train = np.concatenate([np.unpackbits(np.frombuffer(r["train"], np.uint8))[d] for r, d in zip(rows, doc, strict=True)])
         trained = n * train
+        del train
+        pair = mix(w * np.uint64(0x9E3779B97F4A7C15) + h)
+        order = np.argsort(pair).astype(np.uint32)
+        pair = pair[order]
+        first = np.concatenate(([True], pair[1:] != pair[:-1]))
+        del pair
+        group = (np.cumsum(first) - 1).astype(np.uint32)
+        of_pair = np.bincount(group, trained[order]).astype(np.int64)
+        seen = np.empty(len(w), np.uint32)
+        seen[order] = of_pair[group]
+        del group
         types, which = np.unique(w, return_inverse=True)
+        which = which.astype(np.uint32)
+        is_end = types == END
         c = np.bincount(which, trained, len(types)).astype(np.int64)
+        del w, trained
         hot = _is_hot(types, model.hot)
         c[hot] = model.hot_counts[np.searchsorted(model.hot, types[hot])]
         p = model.probability(c)
-        pair = mix(w * np.uint64(0x9E3779B97F4A7C15) + h)
-        order = np.argsort(pair)
-        first = np.concatenate(([True], pair[order][1:] != pair[order][:-1]))
-        group = np.cumsum(first) - 1
-        of_pair = np.bincount(group, trained[order]).astype(np.int64)
-        seen = np.empty(len(w), np.int64)
-        seen[order] = of_pair[group]
-        cw = c[which]
-        base = n * np.log10((cw + 0.1) / norm)
-        score = np.where(seen > RELIABLE, np.log10(np.maximum(seen - REST, 0.1)), np.where(seen == 0, np.log10(p)[which], 0.0))
-        score -= np.where((w != END) & (cw > 0), np.log10(np.maximum(cw, 1)), 0.0)  # as the word before the next token
+        known = (c > 0)[which]
+        base = np.log10((c + 0.1) / norm)[which] * n
+        score = np.where(seen > RELIABLE, np.log10(np.maximum(seen, 1) - REST), np.where(seen == 0, np.log10(p)[which], 0.0))
+        score -= np.where(is_end, 0.0, np.log10(np.maximum(c, 1)))[which]  # as the word before the next token
         score *= n
         out: list[tuple] = []
         at = 0
@@ -264,7 +271,7 @@ def _counter(model: Unigrams, parts: int):
             docs = 8 * len(r["train"])
             add = lambda x: np.bincount(d, x, docs)  # noqa: E731, B023
             sums = np.stack([add(base[s]), add(score[s])])
-            times = np.stack([add(n[s] * (cw[s] > 0)), *[add(n[s] * (seen[s] == k)) for k in range(1, RELIABLE + 1)]]).astype(np.uint32)
+            times = np.stack([add(n[s] * known[s]), *[add(n[s] * (seen[s] == k)) for k in range(1, RELIABLE + 1)]]).astype(np.uint32)
             out.append((SUMS, r["batch"], r["batch"], _packed(sums), _packed(times), b""))
             lost = np.flatnonzero(seen[s] == 0)
             if len(lost):
