@@ -10,11 +10,11 @@ fingerprints differ in at most r bits, some segment begins a chain in which,
 for every length l, the first l segments differ in at most floor(l * r / m)
 bits.  With m = 16 and r = 2 the first seven segments (28 bits) of that chain
 are equal, the first fifteen differ in one bit at most, and all in two.
-Candidates are joined on the 28 bits; the chain is checked before the full
-distance.  A join group of over ``most_group`` fingerprints is joined anew on
+Candidates are grouped by the 28 bits; the chain is checked before the full
+distance.  A group of over ``most_group`` fingerprints is grouped anew by
 60 bits less one masked bit, where every pair whose chain holds meets; such a
-group has at most 32 fingerprints, so no group emits pairs in proportion to
-the square of its documents.
+group has at most 32 fingerprints.  A group passes on a forest of its links, not
+all pairs.
 """
 
 from __future__ import annotations
@@ -67,21 +67,53 @@ def _rotated(fp: Column | str) -> Column:
     return F.expr(f"shiftleft({fp}, i * {WIDTH}) | CASE WHEN i = 0 THEN 0L ELSE shiftrightunsigned({fp}, 64 - i * {WIDTH}) END")
 
 
+def _forests(head: int, budget: list[int]):
+    """Of each group, pairs that connect whatever its links connect: one fewer than the members of each of its components.
+
+    Candidates pass the chain's budgets first, segment after segment, then the full distance.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for i, members in zip(batch.column("i").to_pylist(), batch.column("fps").to_pylist(), strict=True):
+                fps = np.sort(np.array(members, np.int64)).view(np.uint64)
+                a, b = np.triu_indices(len(fps), 1)
+                x = fps[a] ^ fps[b]
+                turned = (x << np.uint64(i * WIDTH)) | (x >> np.uint64(64 - i * WIDTH) if i else np.uint64(0))
+                for n in range(head // WIDTH + 1, SEGMENTS + 1):
+                    use = np.bitwise_count(turned >> np.uint64(64 - n * WIDTH)) <= budget[n]
+                    a, b, turned = a[use], b[use], turned[use]
+                top = list(range(len(fps)))
+                for s, t in zip(a.tolist(), b.tolist(), strict=True):
+                    while top[s] != s:
+                        s = top[s]
+                    while top[t] != t:
+                        t = top[t]
+                    if s != t:
+                        top[max(s, t)] = min(s, t)
+                signed = fps.view(np.int64)
+                out += [(int(signed[top[k]]), int(signed[k])) for k in range(len(fps)) if top[k] != k]
+            yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def links(distinct: DataFrame, scratch: Scratch, radius: int = 2, most_group: int = 64) -> DataFrame:
-    """(a, b): the pairs of distinct fingerprints within ``radius`` bits (1 to 3), each at least once.
+    """(a, b): pairs of fingerprints that connect all that links of ``radius`` or fewer bits (1 or 2) connect.
 
-    ``distinct`` has one column ``fp``, without repeats.
+    ``distinct`` has one column ``fp``, without repeats. Pairs within a group are a forest, so they grow
+    with its members, not with their square; a link that is left out is a path of others.
     """
-    if not 1 <= radius <= 3:
-        raise ValueError("radius is 1 to 3: beyond it chains begin with too few equal bits to join on")
+    if radius not in (1, 2):
+        raise ValueError("radius is 1 or 2: beyond it groups aren't bounded")
     budget = [n * radius // SEGMENTS for n in range(SEGMENTS + 1)]
     head = WIDTH * max(n for n in range(SEGMENTS) if budget[n] == 0)  # equal bits at the chain's start
     tail = WIDTH * max(n for n in range(SEGMENTS) if budget[n] <= 1) - head  # then bits of which one may differ
     chain = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("i")).withColumn("r", _rotated("fp"))
     chain = chain.withColumn("head", F.expr(f"shiftleft(shiftrightunsigned(r, {64 - head}), 4) | i"))
-    groups = chain.groupBy("head").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = scratch.save(chain.join(groups, "head"), "chains")
-    few, many = keyed, None
+    sizes = chain.groupBy("head").agg(F.count("*").alias("n")).where("n > 1")
+    keyed = scratch.save(chain.join(sizes, "head"), "chains")
     if tail:
         few = keyed.where(F.col("n") <= most_group)
         many = (
@@ -89,21 +121,12 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 2, most_group: in
             .withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit(tail - 1))))
             .withColumn("rest", F.expr(f"shiftrightunsigned(r, {64 - head - tail}) & ~shiftleft(1L, mask) & {(1 << tail) - 1}L"))
         )
-
-    def pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
-        one, two = rows.select(*keys, F.col("fp").alias("a"), F.col("r").alias("ra")), rows.select(*keys, F.col("fp").alias("b"), F.col("r").alias("rb"))
-        held = one.join(two, keys).where("a < b").withColumn("x", F.col("ra").bitwiseXOR(F.col("rb")))
-        for n in range(head // WIDTH + 1, SEGMENTS + 1):
-            held = held.where(F.bit_count(F.shiftrightunsigned("x", 64 - n * WIDTH)) <= budget[n])
-        return held.select("a", "b")
-
-    found = pairs(few, ["head"])
-    if many is not None:
-        # most keys of the masked groups hold one fingerprint: those go before the join
-        keys = ["head", "mask", "rest"]
-        shared = many.groupBy(*keys).agg(F.count("*").alias("k")).where("k > 1").drop("k")
-        found = found.union(pairs(many.join(shared, keys), keys))
-    return found.distinct()
+        members = many.groupBy("head", "mask", "rest").agg(F.first("i").alias("i"), F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("i", "fps")
+    else:
+        few, members = keyed, None
+    groups = few.groupBy("head").agg(F.first("i").alias("i"), F.collect_list("fp").alias("fps")).select("i", "fps")
+    groups = groups if members is None else groups.union(members)
+    return groups.mapInArrow(_forests(head, budget), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch: Scratch | None = None) -> DataFrame:
@@ -125,7 +148,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch:
     return rows.join(named.join(group, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 2, radius: int = 3, scratch: Scratch | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the least of their group, one for each such doc_id.
 
     Rows that share that doc_id differ in text at most by chance: the one with
