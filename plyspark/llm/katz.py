@@ -152,6 +152,14 @@ def _unpacked(raw: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
 
 
+def _stretches(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of an equal key."""
+    if not len(sorted_keys):
+        return []
+    cuts = np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sorted_keys)], strict=True))
+
+
 DEALT = "part long, batch long, w binary, runs binary, h binary, doc binary, n binary, train binary"
 
 
@@ -174,14 +182,12 @@ def _dealer(hot: np.ndarray, parts: int):
         n = np.diff(np.append(at, len(w))).astype(np.uint32)
         w, h, doc, part = w[at], h[at], doc[at].astype(np.uint16), part[at]
         flags = np.packbits(train).tobytes()
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(part.astype(np.int64))) + 1, [len(part)]))
         out = [(-1 - batch % parts, batch, b"", b"", b"", rids.tobytes(), b"", flags)]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a < b:
-                own = w[a:b]
-                run = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
-                lengths = np.diff(np.append(run, b - a)).astype(np.uint32)
-                out.append((int(part[a]), batch, own[run].tobytes(), _packed(lengths), _six(h[a:b]), doc[a:b].tobytes(), _packed(n[a:b]), flags))
+        for a, b in _stretches(part):
+            own = w[a:b]
+            run = np.array([x for x, _ in _stretches(own)])
+            lengths = np.diff(np.append(run, b - a)).astype(np.uint32)
+            out.append((int(part[a]), batch, own[run].tobytes(), _packed(lengths), _six(h[a:b]), doc[a:b].tobytes(), _packed(n[a:b]), flags))
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
@@ -212,14 +218,14 @@ def _dealer(hot: np.ndarray, parts: int):
     return run
 
 
-TOLD = "kind int, key long, batch long, a binary, b binary, c binary"
+TOLD = "kind int, key long, batch long, a binary, b binary, c binary, d binary"
 #: Kinds of rows that a part passes on.
 IDS, SUMS, TYPES, UNSEEN, SEEN_TIMES = range(5)
 
 
 def _told(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    columns = zip(*rows, strict=True) if rows else [[]] * 7
     return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in TOLD.split(", ")])
 
 
@@ -230,7 +236,7 @@ def _counter(model: Unigrams, parts: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         if rows[0]["part"] < 0:
-            return _told([(IDS, r["batch"], r["batch"], r["doc"], b"", b"") for r in rows])
+            return _told([(IDS, r["batch"], r["batch"], r["doc"], b"", b"", b"") for r in rows])
         rows.sort(key=lambda r: r["batch"])
         w = np.concatenate([np.repeat(np.frombuffer(r.pop("w"), np.uint64), _unpacked(r.pop("runs"), np.uint32)) for r in rows])
         h = np.concatenate([_from_six(r.pop("h")) for r in rows])
@@ -264,7 +270,6 @@ def _counter(model: Unigrams, parts: int):
         score *= n
         out: list[tuple] = []
         at = 0
-        unseen_parts: dict[int, list] = {}
         for r, d in zip(rows, doc, strict=True):
             s = slice(at, at + len(d))
             at += len(d)
@@ -272,23 +277,22 @@ def _counter(model: Unigrams, parts: int):
             add = lambda x: np.bincount(d, x, docs)  # noqa: E731, B023
             sums = np.stack([add(base[s]), add(score[s])])
             times = np.stack([add(n[s] * known[s]), *[add(n[s] * (seen[s] == k)) for k in range(1, RELIABLE + 1)]]).astype(np.uint32)
-            out.append((SUMS, r["batch"], r["batch"], _packed(sums), _packed(times), b""))
-            lost = np.flatnonzero(seen[s] == 0)
-            if len(lost):
-                to = h[s][lost] % np.uint64(parts)
-                by = np.argsort(to, kind="stable")
-                lost, to = lost[by], to[by]
-                cuts = np.concatenate(([0], np.flatnonzero(np.diff(to.astype(np.int64))) + 1, [len(to)]))
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    own = lost[a:b]
-                    unseen_parts.setdefault(int(to[a]), []).append((r["batch"], _six(h[s][own]), d[own].tobytes(), _packed(n[s][own].astype(np.uint32))))
-        for key, found in unseen_parts.items():
-            out += [(UNSEEN, key, *x) for x in found]
+            out.append((SUMS, r["batch"], r["batch"], _packed(sums), _packed(times), b"", b""))
+        # pairs not seen in training, by first word: of which batch and document, and how often
+        lost = np.flatnonzero(seen == 0)
+        whose = np.repeat(np.arange(len(rows)), [len(d) for d in doc])[lost]
+        to = h[lost] % np.uint64(parts)
+        by = np.argsort(to, kind="stable")
+        lost, whose, to, docs_of = lost[by], whose[by], to[by], np.concatenate(doc)[lost[by]] if len(lost) else lost
+        for a, b in _stretches(to):
+            used, place = np.unique(whose[a:b], return_inverse=True)
+            key = (place.astype(np.uint32) << np.uint32(16)) | docs_of[a:b]
+            out.append((UNSEEN, int(to[a]), 0, _six(h[lost[a:b]]), _packed(key), _packed(n[lost[a:b]].astype(np.uint32)), np.array([rows[k]["batch"] for k in used], np.int64).tobytes()))
         # pairs of training by first word
         held = np.flatnonzero(first)[of_pair > 0]
         times = np.minimum(of_pair[of_pair > 0], RELIABLE + 1)
         hh, pp = h[order][held], p[which[order][held]]
-        out.append((SEEN_TIMES, 0, 0, np.bincount(times, minlength=RELIABLE + 2)[1:].astype(np.int64).tobytes(), b"", b""))
+        out.append((SEEN_TIMES, 0, 0, np.bincount(times, minlength=RELIABLE + 2)[1:].astype(np.int64).tobytes(), b"", b"", b""))
         to = hh % np.uint64(parts)
         by = np.lexsort((hh, to))
         hh, pp, times, to = hh[by], pp[by], times[by], to[by]
@@ -297,8 +301,7 @@ def _counter(model: Unigrams, parts: int):
         of_times = np.stack([np.bincount(which_h, times == k, len(begins)) for k in range(1, RELIABLE + 2)], axis=1).astype(np.uint32)
         of_p = np.bincount(which_h, pp, len(begins)).astype(np.float32)
         to, hh = to[begins], hh[begins]
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(to.astype(np.int64))) + 1, [len(to)]))
-        out += [(TYPES, int(to[a]), 0, _six(hh[a:b]), of_p[a:b].tobytes(), _packed(of_times[a:b].T)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+        out += [(TYPES, int(to[a]), 0, _six(hh[a:b]), of_p[a:b].tobytes(), _packed(of_times[a:b].T), b"") for a, b in _stretches(to)]
         return _told(out)
 
     return run
@@ -324,13 +327,18 @@ def _backoff(d: list[float]):
         mass = np.bincount(which, times @ lost, len(types))
         rest = 1 - np.bincount(which, p, len(types))
         weight = np.log10(np.maximum(mass, 1e-300)) - np.log10(np.maximum(rest, 1e-12))
-        out = []
-        for r in sorted(unseen, key=lambda r: (r["batch"], r["b"])):
-            own, doc, n = _from_six(r["a"]), np.frombuffer(r["b"], np.uint16), _unpacked(r["c"], np.uint32)
+        added: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for r in sorted(unseen, key=lambda r: (r["d"], r["a"])):
+            own, key, n = _from_six(r["a"]), _unpacked(r["b"], np.uint32), _unpacked(r["c"], np.uint32)
             at = np.minimum(np.searchsorted(types, own), len(types) - 1)
             add = np.where(types[at] == own, weight[at], 0.0) * n
-            docs, which_doc = np.unique(doc, return_inverse=True)
-            out.append((UNSEEN, r["batch"], r["batch"], docs.tobytes(), np.bincount(which_doc, add).tobytes(), b""))
+            for k, batch in enumerate(np.frombuffer(r["d"], np.int64).tolist()):
+                use = np.flatnonzero(key >> np.uint32(16) == k)
+                added.setdefault(batch, []).append((key[use] & np.uint32(0xFFFF), add[use]))
+        out = []
+        for batch, found in added.items():
+            docs, which_doc = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
+            out.append((UNSEEN, batch, batch, docs.astype(np.uint16).tobytes(), np.bincount(which_doc, np.concatenate([x[1] for x in found])).tobytes(), b"", b""))
         return _told(out)
 
     return run
