@@ -38,8 +38,8 @@ def ranked_sources(sizes: DataFrame, scratch: Scratch, pattern: tuple[float, ...
     totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     ranges = totals.repartitionByRange(F.col("source").isNull(), F.col("source")).withColumn("part", F.spark_partition_id())
     ranges = scratch.save(ranges, "sources")
-    before = ranges.groupBy("part").count()
-    before = before.alias("x").join(before.alias("y"), F.expr("y.part < x.part"), "left").groupBy("x.part").agg(F.coalesce(F.sum("y.count"), F.lit(0)).alias("before"))
+    # a row for each range
+    before = ranges.groupBy("part").count().select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
     place = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").isNull(), "source")) - 1 + F.col("before")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in pattern]), (place % len(pattern) + 1).cast("int"))
     return ranges.join(F.broadcast(before), "part").select("source", "source_size", weight.alias("weight"))
@@ -129,7 +129,7 @@ def mix(docs: DataFrame, share: float = 1.5, pattern: tuple[float, ...] = (5.0,
     scratch = scratch or Scratch(docs.sparkSession, "mixing")
     rows = scratch.save(docs.select(F.col("doc_id"), F.col("source"), size_of().alias("size")), "rows")
     hist = scratch.save(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "hist")
-    sources = scratch.save(water_filled(ranked_sources(hist, scratch, pattern), share, cap), "targets")
+    sources = scratch.save(water_filled(scratch.save(ranked_sources(hist, scratch, pattern), "ranked"), share, cap), "targets")
     duals = newton_duals(hist, sources, scratch, cap, mean_size).select(F.col("source").alias("of"), "mean", "l0", "l1")
     rate = F.least(F.lit(float(cap)), F.exp(F.col("l0") + F.col("l1") * F.col("size") / F.col("mean")))
     rated = hist.where("size > 0").join(duals, F.col("source").eqNullSafe(F.col("of"))).select("source", "size", "n", rate.alias("rate"))
