@@ -7,6 +7,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rating of the first engine and the least rating.
 ANCHOR, FLOOR = 1500.0, 100.0
@@ -111,7 +112,7 @@ def normalized_elo_interval(w: Column, d: Column, losses: Column, level: float =
     return F.when((w + d + losses == 0) | (mean <= 0) | (mean >= 1), _none()).otherwise(found)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_cdf(z: pd.Series) -> pd.Series:
     return z.map(NormalDist().cdf)
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.safe import binned, guarded, ratio, sample_rows
 from ..operators.search import FH_BUCKETS
 
-SCORE = F.when(F.col("result") == "white", 1.0).when(F.col("result") == "draw", 0.5).otherwise(0.0)
+def white_points() -> Column:
+    return F.when(F.col("result") == "white", 1.0).when(F.col("result") == "draw", 0.5).otherwise(0.0)
 
 
 def filled(c: str) -> Column:
@@ -55,7 +56,7 @@ def openings_summary(games: DataFrame) -> DataFrame:
 
 
 def opening_win_rate(games: DataFrame, least: int = 3, k: int = 25) -> DataFrame:
-    out = games.where(filled("opening")).groupBy("opening").agg(F.count("*").alias("games"), F.avg(SCORE).alias("white_score"))
+    out = games.where(filled("opening")).groupBy("opening").agg(F.count("*").alias("games"), F.avg(white_points()).alias("white_score"))
     return out.where(F.col("games") >= least).orderBy(F.desc("white_score"), "opening").limit(k)
 
 
@@ -155,8 +156,13 @@ def fail_high_by_engine(wide: DataFrame) -> DataFrame:
 
 # positions and quality of evaluation
 
-MATCH = F.when(F.col("move") == F.col("sf_best_move"), 1.0).otherwise(0.0)
-ERROR = F.abs(F.col("eval") - F.col("sf_eval"))
+
+def matched() -> Column:
+    return F.when(F.col("move") == F.col("sf_best_move"), 1.0).otherwise(0.0)
+
+
+def error() -> Column:
+    return F.abs(F.col("eval") - F.col("sf_eval"))
 
 
 def judged(wide: DataFrame) -> DataFrame:
@@ -164,11 +170,11 @@ def judged(wide: DataFrame) -> DataFrame:
 
 
 def eval_accuracy(wide: DataFrame) -> DataFrame:
-    return summary(judged(wide), total_with_sf=F.count("*"), mae=F.avg(ERROR), median_ae=F.median(ERROR), best_move_match_rate=F.avg(MATCH), stddev_diff=F.stddev_samp(F.col("eval") - F.col("sf_eval")))
+    return summary(judged(wide), total_with_sf=F.count("*"), mae=F.avg(error()), median_ae=F.median(error()), best_move_match_rate=F.avg(matched()), stddev_diff=F.stddev_samp(F.col("eval") - F.col("sf_eval")))
 
 
 def eval_differences(wide: DataFrame, step: float = 25) -> DataFrame:
-    return histogram(judged(wide).where(ERROR < 500).select((F.col("eval") - F.col("sf_eval")).alias("d")), "d", step)
+    return histogram(judged(wide).where(error() < 500).select((F.col("eval") - F.col("sf_eval")).alias("d")), "d", step)
 
 
 def move_ranks(wide: DataFrame) -> DataFrame:
@@ -178,11 +184,11 @@ def move_ranks(wide: DataFrame) -> DataFrame:
 
 def agreement_by_depth(wide: DataFrame, least: int = 5) -> DataFrame:
     rows = wide.where("sf_best_move IS NOT NULL AND move IS NOT NULL AND completed_depth BETWEEN 1 AND 30")
-    return rows.groupBy(F.col("completed_depth").alias("depth")).agg(F.avg(MATCH).alias("agreement_rate"), F.count("*").alias("n")).where(F.col("n") >= least)
+    return rows.groupBy(F.col("completed_depth").alias("depth")).agg(F.avg(matched()).alias("agreement_rate"), F.count("*").alias("n")).where(F.col("n") >= least)
 
 
 def blunders(wide: DataFrame, least: int = 200) -> DataFrame:
-    return summary(judged(wide).where(ERROR > least), count=F.count("*"))
+    return summary(judged(wide).where(error() > least), count=F.count("*"))
 
 
 def eval_scatter(wide: DataFrame, n: int = 3000) -> DataFrame:
@@ -195,7 +201,7 @@ def phase_summary(wide: DataFrame) -> DataFrame:
 
 
 def accuracy_by_phase(wide: DataFrame) -> DataFrame:
-    return judged(wide).where(filled("game_phase")).groupBy("game_phase").agg(F.avg(MATCH).alias("match_rate"), F.avg(ERROR).alias("mae"), F.count("*").alias("n"))
+    return judged(wide).where(filled("game_phase")).groupBy("game_phase").agg(F.avg(matched()).alias("match_rate"), F.avg(error()).alias("mae"), F.count("*").alias("n"))
 
 
 def depth_by_type(wide: DataFrame, least: int = 5) -> DataFrame:

@@ -1,0 +1 @@
+"""Parameter tuning against a match function."""

@@ -1,0 +1,73 @@
+"""Simultaneous perturbation: a small numpy loop on the driver around matches that run elsewhere."""
+
+from __future__ import annotations
+
+import json
+import math
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+
+#: Decay exponents, the learning rate at REFERENCE_GAMES, and Adam's.
+ALPHA, GAMMA, RATE, REFERENCE_GAMES = 0.602, 0.101, 0.002, 2
+ADAM_RATE, BETA1, BETA2, EPSILON = 0.1, 0.9, 0.999, 1e-8
+
+
+@dataclass(frozen=True)
+class Parameter:
+    name: str
+    start: float
+    low: float
+    high: float
+    c_end: float
+    whole: bool = False
+
+
+def learning_rate(games: int) -> float:
+    """Grows with the root of the games of a match, as the gradient's noise falls."""
+    return RATE * math.sqrt(games / REFERENCE_GAMES)
+
+
+def gains(k: int, total: int, c_end: float | np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray]:
+    """Step and perturbation sizes of iteration k."""
+    c = np.asarray(c_end, float)
+    settled = 0.1 * total
+    step = r * c**2 * ((settled + 2) / (settled + k + 1)) ** ALPHA
+    return step, c / (k + 1) ** GAMMA
+
+
+def tune(parameters: list[Parameter], match: Callable[[np.ndarray, np.ndarray], tuple[int, int, int]], iterations: int, games: int = 4, adam: bool = False, polyak: bool = True, seed: int = 0, state: str | None = None) -> dict:
+    """``match`` plays two parameter vectors and returns the first's wins, draws and losses.
+
+    ``state`` is the JSON text of an earlier result's ``state``, to go on from; the result has values, the averaged values of the second half, and the history.
+    """
+    low, high, c_end = (np.array([getattr(p, n) for p in parameters], float) for n in ("low", "high", "c_end"))
+    theta, k0, m, v, total, count = np.array([p.start for p in parameters], float), 0, np.zeros(len(low)), np.zeros(len(low)), np.zeros(len(low)), 0
+    if state:
+        s = json.loads(state)
+        theta, m, v, total = (np.array(s[n]) for n in ("theta", "m", "v", "total"))
+        k0, count = s["k"], s["count"]
+    r, history = learning_rate(games), []
+    for k in range(k0, iterations):
+        a, c = gains(k, iterations, c_end, r)
+        sign = np.where(np.random.default_rng((seed, k)).random(len(low)) < 0.5, -1.0, 1.0)
+        w, d, losses = match(np.clip(theta + c * sign, low, high), np.clip(theta - c * sign, low, high))
+        n = w + d + losses
+        if not n:
+            continue
+        plus = (w + d / 2) / n
+        gradient = (2 * plus - 1) / (2 * c * sign)
+        if adam:
+            m, v = BETA1 * m + (1 - BETA1) * gradient, BETA2 * v + (1 - BETA2) * gradient**2
+            decay = ((0.1 * iterations + 2) / (0.1 * iterations + k + 1)) ** ALPHA
+            step = ADAM_RATE * c_end * decay * (m / (1 - BETA1 ** (k + 1))) / (np.sqrt(v / (1 - BETA2 ** (k + 1))) + EPSILON)
+        else:
+            step = a * gradient
+        before, theta = theta, np.clip(theta + step, low, high)
+        if polyak and k >= iterations // 2:
+            total, count = total + theta, count + 1
+        history.append({"k": k, "score_plus": plus, "step": float(np.linalg.norm(theta - before)), "theta": theta.tolist()})
+    saved = {"theta": theta.tolist(), "m": m.tolist(), "v": v.tolist(), "total": total.tolist(), "count": count, "k": iterations}
+    final = total / count if count else theta
+    return {"values": theta, "averaged": np.array([round(x) if p.whole else x for x, p in zip(final, parameters, strict=True)]), "history": history, "state": json.dumps(saved)}
