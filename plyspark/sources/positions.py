@@ -10,7 +10,7 @@ from ..operators.positions import uci_prefix
 
 def epd(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, fen, id, ce, c0, expected, avoid) of every record; blank lines, comments and lines of under four fields are left out."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
+    lines = spark.read.text(paths, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
     parts = F.split("line", ";")
     fields = F.split(F.trim(parts[0]), r"\s+")
     rows = lines.where(~F.startswith("line", F.lit("#"))).withColumns({"_p": parts, "_f": fields}).where(F.size("_f") >= 4)
@@ -31,7 +31,7 @@ def epd(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def pgn_openings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(eco, name, moves): tags and moves in UCI of each game of a book; moves end at the first that isn't legal."""
-    book = spark.read.option("wholetext", "true").text(paths)
+    book = spark.read.text(paths, wholetext=True)
     games = book.select(F.posexplode(F.split(F.regexp_replace("value", r"\{[^}]*\}", " "), r"(?m)(?=^\[ECO )")).alias("at", "g")).where("g LIKE '[ECO%'")
     tag = lambda name: F.regexp_extract("g", rf'\[{name} "([^"]*)"\]', 1)
     moves = F.trim(F.regexp_replace(F.regexp_replace("g", r"\[[^\]]*\]", " "), r"\d+\.+|\*|1-0|0-1|1/2-1/2|\$\d+", " "))

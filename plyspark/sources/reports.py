@@ -18,7 +18,7 @@ _N = r"[+-]?(?:\d+(?:\.\d+)?|inf|nan)"
 
 def lines_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, at, line) in order: a report is read whole, so its lines keep their order."""
-    whole = spark.read.option("wholetext", "true").text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("at", "line")).select("file", "at", F.trim("line").alias("line"))
 
 
