@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .runtime import Scratch
+from .shingles import similar
 
 SEGMENTS = 16
 WIDTH = 64 // SEGMENTS
@@ -148,21 +149,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch:
     return rows.join(named.join(group, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch: Scratch | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, words: int = 5, similarity: float = 0.8, scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the least of their group, one for each such doc_id.
 
-    Rows that share that doc_id differ in text at most by chance: the one with
-    the least text (null first) stays.  Rows with a null doc_id stay, since
+    Groups are connected by fingerprints within ``radius``, and by shingles of ``words`` words that are alike by ``similarity``
+    or more: at the radius that chains can be joined on, fingerprints alone link only texts that are nearly equal.
+    Rows that share the doc_id that stays: the one with the least text (null first) stays. Rows with a null doc_id stay, since
     nothing tells them apart.
     """
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
     rows = docs.where("doc_id IS NOT NULL")
-    groups = near_duplicates(rows, shingle, radius, scratch)
-    drop = scratch.save(groups.where("doc_id <> component_id").select("doc_id", F.col("fp")).distinct(), "drop")
-    plain = rows.join(drop.select("doc_id").distinct(), "doc_id", "left_anti")
+    groups = scratch.save(near_duplicates(rows, shingle, radius, scratch), "groups")
+    # one row for each fingerprint stands for its copies; what differs from it in text is compared with it below, as all others are
+    least = groups.groupBy("fp").agg(F.min("doc_id").alias("id")).select("id")
+    texts = rows.select(F.col("doc_id").cast("long").alias("id"), "text").join(least, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    near = similar(texts, scratch, words, similarity)
+    by_print = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    node = connected_components(by_print.union(near), scratch)
+    drop = scratch.save(node.where("node <> component").select(F.col("node").alias("doc_id")), "drop")
+    plain = rows.join(drop, "doc_id", "left_anti")
     twice = scratch.save(plain.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "twice")
     once = plain.join(twice, "doc_id", "left_anti")
-    rest = plain.join(twice, "doc_id", "left_semi")
-    rest = rest.groupBy("doc_id").agg(F.min(F.struct(*[F.col(c) for c in ["text", *[x for x in docs.columns if x not in ("text", "doc_id")]]])).alias("row"))
+    others = [c for c in docs.columns if c not in ("text", "doc_id")]
+    rest = plain.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
     rest = rest.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
     return once.select(docs.columns).union(rest).union(docs.where("doc_id IS NULL"))

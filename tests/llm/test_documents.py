@@ -85,6 +85,27 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{k: 0 for k in range(201)}, 1000: 1000, 1001: 1000}
 
 
+def jaccard(a, b, n=5):
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for w in (x.lower().split() for x in (a, b))]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_edited_copies_go_and_others_stay(spark):
+    rng, rows, near = random.Random(8), [], []
+    for k in range(40):
+        base = prose(k, 300).split()
+        rows.append((10 * k, " ".join(base)))
+        for j in range(1, 4):
+            words = list(base)
+            for i in rng.sample(range(300), (1, 5, 30)[j - 1]):
+                words[i] = "changed"
+            rows.append((10 * k + j, " ".join(words)))
+    near = {k for k, t in rows if k % 10 and jaccard(t, dict(rows)[k - k % 10]) >= 0.8}
+    far = {k for k, t in rows if k % 10 and jaccard(t, dict(rows)[k - k % 10]) < 0.6}
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(near) >= 75 and len(far) >= 39 and len(near & kept) <= 1 and far <= kept and {k for k, _ in rows if k % 10 == 0} <= kept
+
+
 def test_one_of_each_group_stays(spark, odd, nothing):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
