@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import running_total
+
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """The continued fraction of the incomplete beta function, by Lentz's method."""
@@ -69,8 +71,7 @@ def paired_tests(rows: DataFrame, a: str, b: str) -> dict[str, tuple[float, floa
     if not n:
         return out
     sizes = pairs.where(d != 0).groupBy(F.abs(d).alias("v")).agg(F.count("*").alias("k"), F.count_if(d > 0).alias("up"))
-    before = F.sum("k").over(Window.orderBy("v")) - F.col("k")
-    ranks = sizes.withColumn("rank", before + (F.col("k") + 1) / 2)
+    ranks = running_total(sizes, ["v"], "k", "upto").withColumn("rank", F.col("upto") - (F.col("k") - 1) / 2)
     m, up, ties, largest = ranks.agg(F.sum("k"), F.sum(F.col("rank") * F.col("up")), F.sum(F.pow("k", F.lit(3)) - F.col("k")), F.max("k")).first()
     if m:
         total = m * (m + 1) / 2
@@ -82,6 +83,6 @@ def paired_tests(rows: DataFrame, a: str, b: str) -> dict[str, tuple[float, floa
             p = 2 * NormalDist().cdf((w - total / 2) / spread)
         out["wilcoxon"] = (w, min(1.0, p))
     both = pairs.select(F.explode(F.array(F.struct(F.col("x").alias("v"), F.lit(1).alias("s")), F.struct(F.col("y").alias("v"), F.lit(-1).alias("s")))).alias("z")).groupBy("z.v").agg(F.sum("z.s").alias("s"))
-    gap = both.select(F.abs(F.sum("s").over(Window.orderBy("v"))).alias("g")).agg(F.max("g")).first()[0] / n
+    gap = running_total(both, ["v"], "s", "gap").agg(F.max(F.abs("gap"))).first()[0] / n
     out["ks_2samp"] = (gap, kolmogorov(gap * math.sqrt(n / 2)))
     return out

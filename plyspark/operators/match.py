@@ -166,9 +166,11 @@ def trailing(iterations: DataFrame, n: int = 20) -> DataFrame:
 
 
 def smoothed(rows: DataFrame, key: str, order: str, metric: str, alpha: float = 0.2) -> DataFrame:
-    """Exponential moving average by key, from the first value on; one key's series is one row while it is folded."""
-    series = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(metric).cast("double").alias("v")))).alias("s"))
-    folded = F.expr(
-        f"aggregate(s, cast(array() AS array<struct<o:bigint,v:double>>), (acc, x) -> concat(acc, array(struct(x.o AS o, CASE WHEN size(acc) = 0 THEN x.v ELSE {alpha} * x.v + {1 - alpha} * element_at(acc, -1).v END AS v))))"
-    )
-    return series.select(key, F.explode(folded).alias("x")).select(key, F.col("x.o").alias(order), F.col("x.v").alias("ema"))
+    """Exponential moving average by key, from the first value on; a group is one key's series."""
+    part = rows.select(F.col(key).cast("long").alias(key), F.col(order).cast("long").alias(order), F.col(metric).cast("double").alias("ema"))
+
+    def fold(series: pd.DataFrame) -> pd.DataFrame:
+        series = series.sort_values(order)
+        return series.assign(ema=series["ema"].ewm(alpha=alpha, adjust=False).mean())
+
+    return part.groupBy(key).applyInPandas(fold, part.schema)

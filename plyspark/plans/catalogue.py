@@ -178,11 +178,12 @@ add("F17a_min_max_scaled", lambda events: events.select("event_id", match.scaled
 add("F18_half_even_cast", lambda orders: orders.select("o_orderkey", safe.half_even_int(F.col("o_orderkey") / 2).alias("h")), "SELECT o_orderkey, CAST(o_orderkey / 2 AS INTEGER) AS h FROM orders")
 
 # joins, sets
-add("J08_ratings_with_engines", lambda records, engines: records.join(F.broadcast(engines), F.col("engine_id") == F.col("id"), "left").select("engine_id", "name", "version", "wins"), "SELECT engine_id, name, version, CAST(wins AS BIGINT) AS wins FROM records LEFT JOIN engines ON engine_id = id")
+add("J08_ratings_with_engines", lambda records, engines: records.join(engines, F.col("engine_id") == F.col("id"), "left").select("engine_id", "name", "version", "wins"), "SELECT engine_id, name, version, CAST(wins AS BIGINT) AS wins FROM records LEFT JOIN engines ON engine_id = id")
 add("J10_unseen_positions", lambda searches, positions: searches.join(positions, F.col("id") == F.col("search_id"), "left_anti").select("id"), "SELECT id FROM searches WHERE id NOT IN (SELECT search_id FROM positions)")
 add("J11_orphans", lambda searches, engines: quality.orphans(searches, "engine_id", engines, "V01"), "SELECT 'V01' AS code, 'error' AS severity, count(*) AS n FROM searches WHERE engine_id NOT IN (SELECT id FROM engines)")
 add("J14_aligned_by_depth", lambda iteration_rows: match.aligned(iteration_rows.where("search_id IN (1, 2, 3)"), "depth", "search_id", [1, 2, 3], "total_nodes"), "SELECT depth, max(nodes + qnodes) FILTER (search_id = 1) AS \"1\", max(nodes + qnodes) FILTER (search_id = 2) AS \"2\", max(nodes + qnodes) FILTER (search_id = 3) AS \"3\" FROM iterations WHERE search_id IN (1, 2, 3) GROUP BY depth")
-add("J16_A33_elo_deltas", lambda records: match.elo_deltas(match.paired_results(records)), None)
+_DELTA = "32 * (wins + 0.5 * draws - (wins + draws + losses) / (1 + 10 ** (-(CAST(engine_id % 100 AS DOUBLE) - (engine_id + 1) % 100) / 400)))"
+add("J16_A33_elo_deltas", lambda records: match.elo_deltas(match.paired_results(records)), f"SELECT name, sum(d) AS delta FROM (SELECT engine_id AS name, {_DELTA} AS d FROM records UNION ALL SELECT engine_id + 1, -({_DELTA}) FROM records) AS x GROUP BY name", "delta")
 add("O01_unpivoted_buckets", lambda wide: views.fail_high_distribution(wide), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{b}' AS bucket, CAST(sum(fh_index_{b}) AS DOUBLE) / NULLIF(sum(fail_highs), 0) AS ratio, {k} AS ord FROM searches WHERE fh_index_0 IS NOT NULL" for k, b in enumerate(FH_BUCKETS)) + ") AS x", "ratio")
 add("O02_W17_first_and_last_engines", lambda engines: match.first_and_last(engines, 3).select("id"), "SELECT id FROM engines WHERE id IN (SELECT id FROM engines ORDER BY id DESC LIMIT 3) OR id IN (SELECT min(id) FROM engines)")
 add("O06_missing_keys", lambda searches, suites: searches.select(F.col("sts_id").alias("id")).distinct().join(suites, "id", "left_anti"), "SELECT DISTINCT sts_id AS id FROM searches WHERE sts_id NOT IN (SELECT id FROM suites)")
@@ -220,7 +221,15 @@ _Z = "1.959963984540054"
 _CLAMP = lambda sign: f"(CASE WHEN q <= 0 THEN 0 WHEN q >= 1 THEN 800 ELSE -400 * log10(1 / q - 1) END)".replace("q", f"({'greatest(0.001, s - ci)' if sign < 0 else 'least(0.999, s + ci)'})")
 add("U17_elo_interval", lambda records: records.select("engine_id", elo.elo_interval(F.col("wins"), F.col("draws"), F.col("losses")).alias("x")).select("engine_id", "x.*"),
     f"SELECT engine_id, elo, CASE WHEN v <= 0 THEN elo ELSE {_CLAMP(-1)} END AS low, CASE WHEN v <= 0 THEN elo ELSE {_CLAMP(1)} END AS high FROM (SELECT *, {_Z} * sqrt(greatest(v, 0)) AS ci, CASE WHEN s <= 0 THEN 0 WHEN s >= 1 THEN 800 ELSE -400 * log10(1 / s - 1) END AS elo FROM (SELECT *, ((sw + sd / 4.0) / k - s * s) / k AS v FROM (SELECT *, (sw + sd / 2.0) / k AS s FROM ({_REC}) AS r) AS a) AS b) AS c", "elo low high")
-add("U17_other_intervals", lambda records: records.select("engine_id", elo.bayes_elo_interval(F.col("wins"), F.col("draws"), F.col("losses")).alias("b"), elo.normalized_elo_interval(F.col("wins"), F.col("draws"), F.col("losses")).alias("n")).select("engine_id", F.col("b.elo").alias("bayes"), F.col("b.low").alias("bayes_low"), F.col("b.high").alias("bayes_high"), F.col("n.elo").alias("normalized"), F.col("n.low").alias("normalized_low"), F.col("n.high").alias("normalized_high")), None)
+_ELO = lambda q: f"(CASE WHEN {q} <= 0 THEN 0 WHEN {q} >= 1 THEN 800 ELSE -400 * log10(1 / ({q}) - 1) END)"
+add("U17_other_intervals", lambda records: records.select("engine_id", elo.bayes_elo_interval(F.col("wins"), F.col("draws"), F.col("losses")).alias("b"), elo.normalized_elo_interval(F.col("wins"), F.col("draws"), F.col("losses")).alias("n")).select("engine_id", F.col("b.elo").alias("bayes"), F.col("b.low").alias("bayes_low"), F.col("b.high").alias("bayes_high"), F.col("n.elo").alias("normalized"), F.col("n.low").alias("normalized_low"), F.col("n.high").alias("normalized_high")), 
+    f"""SELECT engine_id, be * sc AS bayes, {_ELO('greatest(0.001, bm - bci)')} * sc AS bayes_low, {_ELO('least(0.999, bm + bci)')} * sc AS bayes_high,
+    CASE WHEN m <= 0 OR m >= 1 THEN 0 ELSE {_ELO('m')} * ns END AS normalized, CASE WHEN m <= 0 OR m >= 1 THEN 0 WHEN v <= 0 THEN {_ELO('m')} * ns ELSE {_ELO('greatest(0.001, m - ci)')} * ns END AS normalized_low,
+    CASE WHEN m <= 0 OR m >= 1 THEN 0 WHEN v <= 0 THEN {_ELO('m')} * ns ELSE {_ELO('least(0.999, m + ci)')} * ns END AS normalized_high FROM (
+    SELECT *, 4 * x / ((1 + x) * (1 + x)) AS sc, {_Z} * sqrt(((w + d / 4) / n - bm * bm) / n) AS bci, {_Z} * sqrt(greatest(v, 0)) AS ci, CASE WHEN pv > 0 THEN sqrt(0.25 / pv) ELSE 1 END AS ns FROM (
+    SELECT *, 10 ** (-dr / 400) AS x, ((sw + sd / 4.0) / k - m * m) / k AS v, (sw * (1 - m) * (1 - m) + sd * (0.5 - m) * (0.5 - m) + sl * m * m) / k AS pv FROM (
+    SELECT *, (w + d / 2) / n AS bm, (sw + sd / 2.0) / k AS m, 200 * log10((w / (n - w)) / (l / (n - l))) AS be, -200 * log10((w / (n - w)) * (l / (n - l))) AS dr FROM (
+    SELECT *, {_LLR} FROM ({_REC}) AS r) AS a) AS b) AS c) AS e""", "bayes bayes_low bayes_high normalized normalized_low normalized_high")
 add("U18_superiority", lambda records: records.select("engine_id", elo.likelihood_of_superiority(F.col("wins"), F.col("losses")).alias("x")).select("engine_id", "x.*"), None)
 add("U20_elo_difference", lambda records: records.select("engine_id", elo.elo_difference(F.col("wins"), F.col("losses"), F.col("draws")).alias("elo")), "SELECT engine_id, CASE WHEN s <= 0 THEN -800.0 WHEN s >= 1 THEN 800.0 ELSE round(-400 * log10(1 / s - 1), 1) END AS elo FROM (SELECT engine_id, (wins + 0.5 * draws) / (wins + draws + losses) AS s FROM records) AS q", "elo")
 add("U21_performance_rating", lambda records: match.performance_ratings(records.select((F.col("engine_id") % 40).alias("candidate"), "wins", "draws", "losses", (1400.0 + F.col("engine_id") % 300).alias("opponent_elo"))), None)

@@ -78,7 +78,7 @@ def engine_labels(engines: DataFrame) -> DataFrame:
 
 def by_engine(searches: DataFrame, engines: DataFrame, **metrics: Column) -> DataFrame:
     """Aggregates by engine, with its label; searches of unknown engines are left out."""
-    labels = F.broadcast(engine_labels(engines))
+    labels = engine_labels(engines)
     joined = searches.join(labels, F.col("engine_id") == F.col("id"))
     return joined.groupBy("id", "name", "version").agg(F.first("label").alias("engine_label"), *[m.alias(n) for n, m in metrics.items()]).select("id", "engine_label", *metrics)
 

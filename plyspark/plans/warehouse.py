@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.safe import decoded, last_part, trimmed_part
+from ..operators.order import ranked
 from ..operators.search import iteration_features, tree_features, wide_features
 from ..schemas import FEATURES, OPTIONAL, REQUIRED
 from ..sources.positions import classified
@@ -94,10 +95,8 @@ def upsert(old: DataFrame, new: DataFrame, key: str, add: tuple[str, ...] = ())
 
 def registered(engines: DataFrame, new: DataFrame) -> DataFrame:
     """``engines`` and those of ``new`` whose version it doesn't have, with ids that follow."""
-    from ..sources.logs import _ranked
-
     last = engines.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    fresh = _ranked(new.join(engines.select("version"), "version", "left_anti").drop("id"), ["version"], last)
+    fresh = ranked(new.join(engines.select("version"), "version", "left_anti").drop("id"), ["version"], last)
     return engines.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -116,7 +115,7 @@ def _sprt_runs(sprt: DataFrame) -> DataFrame:
 
 def _ratings(raw: Store) -> DataFrame:
     ratings, e = raw.read("engine_ratings"), raw.read("engines").select(F.col("id").alias("_e"), F.col("name").alias("engine_name"), F.col("version").alias("engine_version"))
-    return ratings.join(F.broadcast(e), F.col("engine_id") == F.col("_e"), "left").drop("_e").withColumns({c: F.bround(c).cast("int") for c in ratings.columns if c.startswith("elo_")})
+    return ratings.join(e, F.col("engine_id") == F.col("_e"), "left").drop("_e").withColumns({c: F.bround(c).cast("int") for c in ratings.columns if c.startswith("elo_")})
 
 
 def derived(raw: Store, book: DataFrame | None = None) -> dict[str, tuple[str, str]]:

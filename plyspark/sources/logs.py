@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.safe import at_or_zero
+from ..operators.order import ranked
 from ..operators.search import FH_BUCKETS
 from ..schemas import GAME_LOG, ROOT_MOVES_LOG, SEARCH_LOG, TIMING_KEYS
 
@@ -32,25 +33,16 @@ def line_count(spark: SparkSession, paths: str | list[str]) -> int:
     return spark.read.text(paths).where("trim(value) <> ''").count()
 
 
-def _ranked(df: DataFrame, order: list[str], start: int = 0) -> DataFrame:
-    """Dense ids from ``start`` + 1 in an order: ranks within ranges of the order plus the rows before each range."""
-    ranges = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    ranges = ranges.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = ranges.groupBy("_part").agg(F.max("_rank").alias("_n"))
-    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each partition
-    return ranges.join(F.broadcast(before), "_part").withColumn("id", (F.col("_before") + F.col("_rank") + start).cast("long")).drop("_part", "_rank", "_before")
-
-
 def games(log: DataFrame, engines: DataFrame, start: int = 0, second_engine: int | None = None, experiment: int | None = None) -> DataFrame:
     """One row for each game: the first record gives what it is, each side's last record its engine; ``game_uuid`` stays as the key."""
     ids = engines.select(F.col("version").alias("engine_id"), F.col("id").alias("_engine"))
-    rows = log.where("game_uuid IS NOT NULL").join(F.broadcast(ids), "engine_id", "left").withColumn("_o", F.struct("_file", "_at"))
+    rows = log.where("game_uuid IS NOT NULL").join(ids, "engine_id", "left").withColumn("_o", F.struct("_file", "_at"))
     white = F.coalesce(F.col("side") == "white", F.lit(False))
     last = lambda side: F.max_by(F.when(side, F.col("_engine")), F.when(side, F.col("_o")))
     kept = ["wtime", "btime", "winc", "binc", "movestogo", "depth", "nodes", "movetime", "result", "reason", "opening", "start_fen", "moves", "time_s"]
     one = rows.groupBy("game_uuid").agg(F.min_by(F.struct(*kept), "_o").alias("g"), F.min("_o").alias("_o"), last(white).alias("white_engine_id"), last(~white).alias("black_engine_id"))
     other = F.lit(second_engine).cast("long")
-    out = _ranked(one, ["_o"], start)
+    out = ranked(one, ["_o"], start)
     return out.select(
         "id", "game_uuid", F.lit(experiment).cast("long").alias("experiment_id"), F.coalesce("white_engine_id", other).alias("white_engine_id"), F.coalesce("black_engine_id", other).alias("black_engine_id"),
         *[F.col(f"g.{c}") for c in kept if c not in ("reason", "moves", "time_s")], F.col("g.reason").alias("termination"), F.to_json("g.moves").alias("moves"), F.col("g.time_s").alias("run_time_s"),
@@ -77,9 +69,9 @@ def searches(log: DataFrame, engines: DataFrame, game_rows: DataFrame, start: in
     Arrays of a record are read side by side; the array of nodes tells how many rows there are, and where another is shorter the value is 0 (a bucket: NULL).
     """
     ids = engines.select(F.col("version").alias("engine_id"), F.col("id").alias("_engine"))
-    known = log.join(F.broadcast(ids), "engine_id", "left")
+    known = log.join(ids, "engine_id", "left")
     skip = F.col("_engine").isNull() | F.coalesce(F.col("engine_id").isin(SKIPPED_VERSIONS), F.lit(True))
-    kept = _ranked(known.where(~skip), ["_file", "_at"], start)
+    kept = ranked(known.where(~skip), ["_file", "_at"], start)
     kept = kept.join(game_rows.select("game_uuid", F.col("id").alias("game_id")), "game_uuid", "left")
     names = {"root_eval": "eval", "max_depth": "depth", "max_qdepth": "qdepth", "best_move": "move", "aspiration_fail_high_researches": "fail_high_researches", "aspiration_fail_low_researches": "fail_low_researches"}
     plain = ["fen", "ply", "time_ms", "root_eval", "completed_depth", "max_depth", "max_qdepth", "best_move", "nodes", "qnodes", "tt_stores", "tt_hits", "tt_fill", "fail_highs", "fail_lows", "aspiration_fail_high_researches", "aspiration_fail_low_researches", "see_prunes", "delta_prunes", "nmp", "nmp_failhigh", "tt_overwritten"]
