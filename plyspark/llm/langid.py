@@ -105,7 +105,7 @@ def fit(docs: DataFrame, least_share: float = 0.1, least_count: int = 3, bits: i
     totals = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total"))
     languages = [x[0] for x in totals.select("lang").orderBy("lang").collect()]
     slices = max(1, -(-len(languages) // 64))
-    rates = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.greatest("total", F.lit(1)))
+    rates = counts.join(totals, "lang").withColumn("rate", F.col("n") / F.greatest("total", F.lit(1)))
     place = {x: k for k, x in enumerate(languages)}
     # the languages that hold an n-gram, as (word, bits)
     by_gram = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate", "n")).alias("uses"))
