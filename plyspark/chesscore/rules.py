@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 START = "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1"
@@ -22,9 +21,7 @@ def name(sq: int) -> str:
     return "abcdefgh"[sq % 8] + str(sq // 8 + 1)
 
 
-@lru_cache(None)
-def rays(kind: str, sq: int) -> tuple[tuple[int, ...], ...]:
-    """The squares in each direction of a piece, nearest first; one for kings and knights."""
+def _rays(kind: str, sq: int) -> tuple[tuple[int, ...], ...]:
     out = []
     for dr, df in _LINES[kind]:
         line = []
@@ -39,12 +36,16 @@ def rays(kind: str, sq: int) -> tuple[tuple[int, ...], ...]:
     return tuple(out)
 
 
-@lru_cache(None)
-def pawn_takes(white: bool, sq: int) -> tuple[int, ...]:
+def _pawn_takes(white: bool, sq: int) -> tuple[int, ...]:
     r, f = sq // 8 + (1 if white else -1), sq % 8
     return tuple(8 * r + x for x in (f - 1, f + 1) if 0 <= x < 8 and 0 <= r < 8)
 
 
+#: By piece and square: the squares in each direction, nearest first (one for kings and knights); and what pawns take.
+RAYS = {k: [_rays(k, sq) for sq in range(64)] for k in _LINES}
+PAWN_TAKES = {w: [_pawn_takes(w, sq) for sq in range(64)] for w in (True, False)}
+
+
 class Move(NamedTuple):
     source: int
     to: int
@@ -77,9 +78,9 @@ class Position:
         """Squares that the piece on ``sq`` attacks, taken or not."""
         kind = self.cells[sq].lower()
         if kind == "p":
-            yield from pawn_takes(self.cells[sq] == "P", sq)
+            yield from PAWN_TAKES[self.cells[sq] == "P"][sq]
         elif kind != ".":
-            for line in rays(kind, sq):
+            for line in RAYS[kind][sq]:
                 for to in line:
                     yield to
                     if self.cells[to] != ".":
@@ -90,13 +91,13 @@ class Position:
         up = str.upper if white else str.lower
         for kind, takers in (("n", "n"), ("k", "k"), ("r", "rq"), ("b", "bq")):
             wanted = {up(c) for c in takers}
-            for line in rays(kind, sq):
+            for line in RAYS[kind][sq]:
                 for to in line:
                     if self.cells[to] != ".":
                         if self.cells[to] in wanted:
                             return True
                         break
-        return any(self.cells[s] == up("p") for s in pawn_takes(not white, sq))
+        return any(self.cells[s] == up("p") for s in PAWN_TAKES[not white][sq])
 
     def king(self, white: bool) -> int | None:
         k = "K" if white else "k"
@@ -112,7 +113,7 @@ class Position:
             if c == "." or c.isupper() != w:
                 continue
             if c in "pP":
-                targets = [to for to in pawn_takes(w, sq) if self.own(to, not w) or to == self.passing]
+                targets = [to for to in PAWN_TAKES[w][sq] if self.own(to, not w) or to == self.passing]
                 if self.cells[sq + ahead] == ".":
                     targets.append(sq + ahead)
                     if sq // 8 == (1 if w else 6) and self.cells[sq + 2 * ahead] == ".":
