@@ -32,7 +32,7 @@ SUITE_LOG = struct(("epd_file category fen engine_move", _TEXT), ("index expecte
 #: Keys of a timing record that name no function.
 TIMING_KEYS = ["engine_id", "instance_id", "type", "session", "game_uuid", "search_uuid", "fen", "total_search_time_ms"]
 
-#: Columns that reports need; tables of the second kind may not be built yet, those of the third may be absent.
+#: Fixed values of the data model: columns that reports need; tables of the second kind may not be built yet, those of the third may be absent.
 REQUIRED = {
     "search_stats": "id engine_id fen ply time_ms eval completed_depth depth qdepth move nodes qnodes tt_stores tt_hits fail_highs fail_lows nmp nmp_failhigh",
     "engines": "id name version", "game_stats": "id result opening run_time_s", "iterative_deepening_stats": "search_id depth qdepth time_ms eval move nodes qnodes tt_hits fail_highs",

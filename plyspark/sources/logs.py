@@ -13,8 +13,8 @@ from ..operators.order import ranked
 from ..operators.search import FH_BUCKETS
 from ..schemas import GAME_LOG, ROOT_MOVES_LOG, SEARCH_LOG, TIMING_KEYS
 
-#: Versions that are never logged.
-SKIPPED_VERSIONS = ["dev", "DEV", "Dev", "debug", "DEBUG", "Debug", "tomahawk", "Tomahawk"]
+#: Versions that are never logged; an engine's bare name is another, to be passed with these.
+SKIPPED_VERSIONS = ("dev", "DEV", "Dev", "debug", "DEBUG", "Debug")
 
 
 def json_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -63,14 +63,14 @@ def _bucket(array: str, i: Column, k: int) -> Column:
     return F.get(F.get(F.col(array), i), F.lit(k))
 
 
-def searches(log: DataFrame, engines: DataFrame, game_rows: DataFrame, start: int = 0, sts_id: int | None = None) -> Searches:
+def searches(log: DataFrame, engines: DataFrame, game_rows: DataFrame, start: int = 0, sts_id: int | None = None, skipped: tuple[str, ...] = SKIPPED_VERSIONS) -> Searches:
     """Searches with ids, and a row for each iteration and each depth of the tree.
 
     Arrays of a record are read side by side; the array of nodes tells how many rows there are, and where another is shorter the value is 0 (a bucket: NULL).
     """
     ids = engines.select(F.col("version").alias("engine_id"), F.col("id").alias("_engine"))
     known = log.join(ids, "engine_id", "left")
-    skip = F.col("_engine").isNull() | F.coalesce(F.col("engine_id").isin(SKIPPED_VERSIONS), F.lit(True))
+    skip = F.col("_engine").isNull() | F.coalesce(F.col("engine_id").isin(*skipped), F.lit(True))
     kept = ranked(known.where(~skip), ["_file", "_at"], start)
     kept = kept.join(game_rows.select("game_uuid", F.col("id").alias("game_id")), "game_uuid", "left")
     names = {"root_eval": "eval", "max_depth": "depth", "max_qdepth": "qdepth", "best_move": "move", "aspiration_fail_high_researches": "fail_high_researches", "aspiration_fail_low_researches": "fail_low_researches"}
