@@ -191,19 +191,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: i
     return train(found["key"].tolist(), found["label"].to_numpy(np.int64))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score`` (double, 0 to 1) in place of any of that name.
+def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
+    """``docs`` with a column named ``column`` (double, 0 to 1) in place of any of that name.
 
     A null text scores as an empty one; every row comes back, in its partition, with its other columns as they were.
     """
-    docs = docs.drop("score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    docs = docs.drop(column)
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch):
                 data, offsets = utf8(part.column("text"))
                 found = probability(model, data, offsets)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=[*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=[*part.schema.names, column])
 
     return docs.mapInArrow(run, schema)

@@ -320,6 +320,17 @@ def test_pipeline_stages(spark):
     assert out.groupBy("doc_id").count().where("count > 2").count() == 0
 
 
+@pytest.mark.parametrize("k", range(5))
+def test_stages_take_odd_and_no_rows(spark, sf_dir, odd, nothing, k):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    _, stage = pipeline.STAGES[k]
+    for docs in (odd, nothing):
+        out = stage(spark, docs, sf_dir)
+        assert out.columns[: len(docs.columns)] == docs.columns and (k == 4 or out.columns == docs.columns)
+        assert out.select(docs.columns).distinct().exceptAll(docs.distinct()).count() == 0
+        assert docs is odd or out.count() == 0
+
+
 def test_queries_are_registered():
     names = {q.split("_")[0] for q in queries.QUERIES}
     assert names == {f"op{n}" for n in range(1, 11)}
