@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.5) -> DataFrame:
     """Documents whose score is ``threshold`` or more; the model learns from the labels of all of them."""
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("score") >= threshold).drop("score").select(docs.columns)
+    return quality.score(docs, model, "_quality").where(F.col("_quality") >= threshold).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
