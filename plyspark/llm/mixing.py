@@ -138,7 +138,7 @@ def mix(docs: DataFrame, share: float = 1.5, pattern: tuple[float, ...] = (5.0,
     return _dealt(rows, scratch.save(classes, "classes"), sources, scratch)
 
 
-def _dealt(rows: DataFrame, classes: DataFrame, sources: DataFrame, scratch: Scratch, bucket: int = 4096) -> DataFrame:
+def _dealt(rows: DataFrame, classes: DataFrame, sources: DataFrame, scratch: Scratch, bucket: int = 512) -> DataFrame:
     """Copies to documents: floor(copies / n) each and one more for those of least hash in their class.
 
     Large classes are ranked in buckets of about ``bucket`` rows, by hash, so that no task ranks a whole class.
