@@ -33,10 +33,10 @@ ENTITIES = {
         'm' || CAST(o_custkey % 6 AS VARCHAR(9)) AS sf_best_move,
         CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN '[]' ELSE '["m' || CAST(o_custkey % 6 AS VARCHAR(9)) || '","m1","m2"]' END AS sf_pv, '[]' AS principal_variation,
         o_orderkey * 37 % 1009 AS nodes, o_orderkey * 53 % 911 AS qnodes, o_orderkey % 5 AS fail_high_researches, o_orderkey % 4 AS fail_low_researches, o_orderkey % 3 AS tt_overwritten, {_COUNTERS.format(k='o_orderkey')} FROM orders""",
-    "iterations": f"""SELECT user_id AS search_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS depth, event_id % 9 AS qdepth, value AS time_ms, value - 245.0 AS eval, event_type AS move,
-        event_id * 31 % 997 AS nodes, event_id * 17 % 499 AS qnodes, event_id % 3 AS fail_high_researches, event_id % 2 AS fail_low_researches, {_COUNTERS.format(k='event_id')} FROM events""",
-    "tree": f"""SELECT l_orderkey AS search_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS depth,
-        l_partkey % 200 AS nodes, l_suppkey % 90 AS qnodes, {_COUNTERS.format(k='l_partkey')} FROM lineitem""",
+    "iterations": f"""SELECT search_id, CAST(row_number() OVER (PARTITION BY search_id ORDER BY event_id) AS BIGINT) AS depth, event_id % 9 AS qdepth, value AS time_ms, value - 245.0 AS eval, event_type AS move,
+        event_id * 31 % 997 AS nodes, event_id * 17 % 499 AS qnodes, event_id % 3 AS fail_high_researches, event_id % 2 AS fail_low_researches, {_COUNTERS.format(k='event_id')} FROM (SELECT user_id AS search_id, event_id, value, event_type FROM events) AS r""",
+    "tree": f"""SELECT search_id, CAST(row_number() OVER (PARTITION BY search_id ORDER BY l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS depth,
+        l_partkey % 200 AS nodes, l_suppkey % 90 AS qnodes, {_COUNTERS.format(k='l_partkey')} FROM (SELECT l_orderkey AS search_id, l_linenumber, l_partkey, l_suppkey FROM lineitem) AS r""",
     "timings": """SELECT user_id AS search_id, CASE event_type WHEN 'view' THEN 'ROOT' WHEN 'click' THEN 'MAKEMOVE' WHEN 'purchase' THEN 'NNUE' WHEN 'signup' THEN 'EVAL' ELSE 'SEE' END AS function,
         CAST(round(sum(value)) AS DOUBLE) AS total_time_ms, count(*) AS num_calls FROM events GROUP BY user_id, event_type""",
     "root_moves": """SELECT l_orderkey AS search_id, CAST(l_linenumber AS BIGINT) AS depth, l_returnflag || l_linestatus || CAST(l_linenumber AS VARCHAR(9)) AS move,
@@ -48,7 +48,8 @@ ENTITIES = {
         NULLIF(s_suppkey * 3 % 400, 0) AS num_games, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'book' || CAST(s_nationkey % 4 AS VARCHAR(9)) END AS book, 0.0 AS elo0, CAST(s_suppkey % 3 * 5 AS DOUBLE) AS elo1 FROM supplier""",
     "records": """SELECT o_custkey AS engine_id, sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS wins, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS draws,
         sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS losses FROM orders GROUP BY o_custkey""",
-    "played": """SELECT o_custkey AS run, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS game_num, CASE o_orderstatus WHEN 'O' THEN 'w' WHEN 'P' THEN 'd' ELSE 'l' END AS outcome FROM orders""",
+    "played": """SELECT run, CAST(row_number() OVER (PARTITION BY run ORDER BY o_orderkey) AS BIGINT) AS game_num, CASE o_orderstatus WHEN 'O' THEN 'w' WHEN 'P' THEN 'd' ELSE 'l' END AS outcome
+        FROM (SELECT o_custkey AS run, o_orderkey, o_orderstatus FROM orders) AS r""",
 }
 _USES = {name: [x for x in [*ENTITIES, *TABLES] if re.search(rf"\b(FROM|JOIN) {x}\b", sql)] for name, sql in ENTITIES.items()}
 
