@@ -80,6 +80,13 @@ def half_even_int(value: Column | str) -> Column:
     return F.bround(_col(value)).cast("int")
 
 
+def compact(value: Column | str) -> Column:
+    """Text of a count for display: 12.3K, 4.5M, or as it is."""
+    v = _col(value)
+    short = lambda unit, letter: F.format_string(f"%.1f{letter}", F.round(v / float(unit), 1))
+    return F.when(v >= 1_000_000, short(1_000_000, "M")).when(v >= 1000, short(1000, "K")).otherwise(v.cast("string"))
+
+
 def sample_rows(df, keys: list[str], n: int, seed: int = 42):
     """``n`` rows of least seeded hash of ``keys``: the same rows on every run."""
     return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)

@@ -307,3 +307,30 @@ add("D42_sprt_summary", lambda sprt_runs: views.sprt_summary(sprt_runs), "SELECT
 add("D42_sprt_by_book", lambda sprt_runs: views.counted(sprt_runs.where(views.filled("book")), "book", "book"), "SELECT book, count(*) AS count FROM sprt_runs WHERE book <> '' GROUP BY book")
 add("D42_sprt_elo_histogram", lambda sprt_runs: views.histogram(sprt_runs, "elo_diff", 20), "SELECT floor(elo_diff / 20) * 20 AS bin, count(*) AS count FROM sprt_runs WHERE elo_diff IS NOT NULL GROUP BY 1", "bin")
 add("D43_S34_freshness", lambda searches: views.freshness(searches), "SELECT count(*) AS n, coalesce(max(id), 0) AS last_id FROM searches")
+
+# further rows of the inventory
+add("P01_P04_star_modifiers", lambda games: games.withColumn("result", F.upper("result")).drop("opening_eco").withColumn("sf_eval", F.lit(None).cast("int")).select("id", "result", "sf_eval", F.coalesce("opening", F.lit("?")).alias("opening")), "SELECT id, result, sf_eval, coalesce(opening, '?') AS opening FROM (SELECT * EXCLUDE (opening_eco) REPLACE (upper(result) AS result), CAST(NULL AS INTEGER) AS sf_eval FROM games) AS q")
+add("P06_outcome_scores", lambda searches, games: searches.alias("s").join(games.alias("g"), F.col("s.game_id") == F.col("g.id"), "left").select("s.id", search.outcome_score().alias("score")), "SELECT s.id AS id, CASE WHEN s.engine_id = g.white_engine_id AND g.result = 'white' OR s.engine_id = g.black_engine_id AND g.result = 'black' THEN 1 WHEN g.result = 'draw' THEN 0 ELSE -1 END AS score FROM searches s LEFT JOIN games g ON s.game_id = g.id")
+add("P10_P12_unguarded_shares", lambda searches: searches.select("id", safe.divided(100 * F.col("nmp"), "time_ms").alias("percent"), (F.col("fail_lows") / F.greatest(F.lit(1), F.col("depth") - 5)).alias("per_depth")), "SELECT id, CASE WHEN time_ms <> 0 THEN 100.0 * nmp / time_ms END AS percent, CAST(fail_lows AS DOUBLE) / greatest(1, depth - 5) AS per_depth FROM searches", "percent per_depth")
+add("J04_J09_searches_with_engines", lambda searches, engines: searches.join(views.engine_labels(engines).withColumnRenamed("id", "eid"), F.col("engine_id") == F.col("eid"), "left").select("id", "label"), "SELECT s.id AS id, e.name || ' (' || e.version || ')' AS label FROM searches s LEFT JOIN engines e ON s.engine_id = e.id")
+add("J13_records_merged_by_game", lambda events: events.groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("first_type"), safe.latest_known(F.when(F.col("event_type") == "view", F.col("value")), "event_id").alias("last_view"), safe.latest_known(F.when(F.col("event_type") != "view", F.col("value")), "event_id").alias("last_other")), "SELECT user_id, arg_min(event_type, event_id) AS first_type, arg_max(value, event_id) FILTER (event_type = 'view') AS last_view, arg_max(value, event_id) FILTER (event_type <> 'view') AS last_other FROM events GROUP BY user_id", "last_view last_other")
+add("J15_aligned_samples", lambda events: events.where("event_type = 'view'").select("user_id", F.col("value").alias("a")).groupBy("user_id").agg(F.max("a").alias("a")).join(events.where("event_type = 'error'").groupBy("user_id").agg(F.max("value").alias("b")), "user_id"), "SELECT user_id, max(value) FILTER (event_type = 'view') AS a, max(value) FILTER (event_type = 'error') AS b FROM events GROUP BY user_id HAVING a IS NOT NULL AND b IS NOT NULL", "a b")
+add("A01_A04_counts", lambda games: games.agg(F.count("*").alias("n"), F.count_distinct("opening").alias("openings"), F.count_distinct("opening_eco").alias("ecos"), F.count_if(F.col("opening").isNull() | (F.col("opening") == "")).alias("unnamed")), "SELECT count(*) AS n, count(DISTINCT opening) AS openings, count(DISTINCT opening_eco) AS ecos, count(*) FILTER (opening IS NULL OR opening = '') AS unnamed FROM games")
+add("A08_T01_grouped_having", lambda games: games.groupBy("opening").agg(F.count("*").alias("n"), F.avg("run_time_s").alias("mean")).where("n >= 2").orderBy(F.desc("n"), F.asc_nulls_last("opening")).limit(15), "SELECT opening, count(*) AS n, avg(run_time_s) AS mean FROM games GROUP BY opening HAVING count(*) >= 2 ORDER BY n DESC, opening NULLS LAST LIMIT 15", "mean")
+add("A22_binned", lambda events: events.select(safe.binned("value", 25.0).alias("bin")).groupBy("bin").agg(F.count("*").alias("n")), "SELECT floor(value / 25) * 25 AS bin, count(*) AS n FROM events GROUP BY 1", "bin")
+add("A31_pairwise_results", lambda orders: match.pairwise(orders.select((F.col("o_custkey") % 12).cast("string").alias("white"), (F.col("o_orderkey") % 11).cast("string").alias("black"), F.when(F.col("o_orderstatus") == "O", "1-0").when(F.col("o_orderstatus") == "F", "0-1").otherwise("1/2-1/2").alias("result"))),
+    "SELECT name, opponent, count(*) FILTER (p = 1) AS wins, count(*) FILTER (p = 0) AS draws, count(*) FILTER (p = -1) AS losses FROM (SELECT CAST(o_custkey % 12 AS VARCHAR) AS name, CAST(o_orderkey % 11 AS VARCHAR) AS opponent, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN -1 ELSE 0 END AS p FROM orders UNION ALL SELECT CAST(o_orderkey % 11 AS VARCHAR), CAST(o_custkey % 12 AS VARCHAR), CASE o_orderstatus WHEN 'O' THEN -1 WHEN 'F' THEN 1 ELSE 0 END FROM orders) AS x GROUP BY 1, 2")
+add("O03_O05_nested_selects", lambda searches, games: searches.join(games.where("result = 'draw'").select(F.col("id").alias("game_id")), "game_id", "left_semi").groupBy("engine_id").agg(F.count("*").alias("n")), "WITH drawn AS (SELECT id FROM games WHERE result = 'draw') SELECT engine_id, count(*) AS n FROM (SELECT * FROM searches WHERE game_id IN (SELECT id FROM drawn)) AS q GROUP BY engine_id")
+add("O07_distinct_paths", lambda pages: pages.select(safe.last_part("url", "/").alias("leaf")).distinct(), "SELECT DISTINCT list_extract(string_split(url, '/'), -1) AS leaf FROM pages")
+add("F16_F17_arithmetic", lambda orders: orders.select("o_orderkey", F.expr("o_orderkey div 7").alias("d"), (F.col("o_orderkey") % 7).alias("m"), F.sqrt("o_orderkey").alias("root"), F.exp(-F.col("o_orderkey") / 1e6).alias("e")), "SELECT o_orderkey, o_orderkey // 7 AS d, o_orderkey % 7 AS m, sqrt(o_orderkey) AS root, exp(-o_orderkey / 1e6) AS e FROM orders", "root e")
+add("F20_compact_numbers", lambda orders: orders.select("o_orderkey", safe.compact(F.col("o_orderkey") * 137).alias("t")), "SELECT o_orderkey, CASE WHEN n >= 1000000 THEN printf('%.1fM', round(n / 1000000.0, 1)) WHEN n >= 1000 THEN printf('%.1fK', round(n / 1000.0, 1)) ELSE CAST(n AS VARCHAR) END AS t FROM (SELECT o_orderkey, o_orderkey * 137 AS n FROM orders) AS q")
+add("F10_json_text", lambda conversations: conversations.groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])).alias("roles")), "SELECT conv_id, CAST(to_json(list(role ORDER BY turn)) AS VARCHAR) AS roles FROM conversations GROUP BY conv_id")
+add("D16_engine_bars", lambda wide, engines: views.by_engine(wide, engines, depth=F.avg("completed_depth"), nodes=F.avg("total_nodes"), time=F.avg("total_time_ms"), tt=F.avg("tt_hit_ratio")), f"SELECT e.id AS id, e.name || ' (' || e.version || ')' AS engine_label, avg(completed_depth) AS depth, avg(nodes + qnodes) AS nodes, avg(time_ms) AS time, avg({_n('tt_hits', '(nodes + qnodes)')}) AS tt FROM searches s JOIN engines e ON s.engine_id = e.id GROUP BY e.id, e.name, e.version", "depth nodes time tt")
+add("D17_iteration_summary", lambda iteration_rows: views.summary(iteration_rows, rows=F.count("*"), searches=F.count_distinct("search_id"), max_depth=F.max("depth"), avg_nodes=F.avg("total_nodes")), "SELECT count(*) AS rows, count(DISTINCT search_id) AS searches, max(depth) AS max_depth, avg(nodes + qnodes) AS avg_nodes FROM iterations", "avg_nodes")
+add("D18_tree_summary", lambda tree_rows: views.summary(tree_rows, rows=F.count("*"), max_ply=F.max("depth"), nodes=F.sum("nodes"), qnodes=F.sum("qnodes"), avg_qratio=F.avg("qratio")), f"SELECT count(*) AS rows, max(depth) AS max_ply, CAST(sum(nodes) AS BIGINT) AS nodes, CAST(sum(qnodes) AS BIGINT) AS qnodes, avg({_n('qnodes', '(nodes + qnodes)')}) AS avg_qratio FROM tree", "avg_qratio")
+add("D28_position_summary", lambda positions: views.summary(positions, n=F.count("*"), types=F.count_distinct("position_type"), phases=F.count_distinct("game_phase"), avg_tactical=F.avg("pos_tactical")), "SELECT count(*) AS n, count(DISTINCT position_type) AS types, count(DISTINCT game_phase) AS phases, avg(pos_tactical) AS avg_tactical FROM positions", "avg_tactical")
+add("D36_mean_time_by_depth", lambda iteration_rows: views.averaged(iteration_rows, "depth", "time_ms"), "SELECT depth, avg(time_ms) AS time_ms FROM iterations GROUP BY depth", "time_ms")
+add("D39_root_moves_by_time", lambda root_moves: views.root_moves_by(root_moves, "time_ms"), "SELECT move, avg(time_ms) AS avg_time_ms, count(*) AS n FROM root_moves GROUP BY move ORDER BY avg_time_ms DESC, move LIMIT 20", "avg_time_ms")
+add("D40_quality_gate", lambda searches: searches.where("sf_eval IS NOT NULL").agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM searches WHERE sf_eval IS NOT NULL")
+add("D42_sprt_games", lambda sprt_runs: views.histogram(sprt_runs, "num_games", 50), "SELECT floor(num_games / 50.0) * 50 AS bin, count(*) AS count FROM sprt_runs WHERE num_games IS NOT NULL GROUP BY 1", "bin")
+add("D42_sprt_timeline", lambda sprt_runs: sprt_runs.where("elo_diff IS NOT NULL").select("id", "elo_diff", "result", (F.col("elo1") - F.col("elo0")).alias("bounds")), "SELECT id, elo_diff, result, CAST(elo1 - elo0 AS DOUBLE) AS bounds FROM sprt_runs WHERE elo_diff IS NOT NULL", "elo_diff bounds")
