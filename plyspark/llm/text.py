@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that one step of a kernel handles; bounds its temporaries.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 
 _SPACES = np.array([9, 10, 11, 12, 13, 32])
 _MULTIPLIER = 0x9E3779B97F4A7C15
