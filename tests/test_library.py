@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plyspark.chesscore.rules import START, Position, legal_prefix, perft, read_move
 from plyspark.functions import elo, safe
 from plyspark.functions.paired import paired_tests, rank_sum_exact, t_two_sided
-from plyspark.operators import match, positions, quality, search
+from plyspark.operators import match, order, positions, quality, search
 from plyspark.plans import warehouse
 from plyspark.schemas import GAME_LOG, ROOT_MOVES_LOG, SEARCH_LOG
 from plyspark.sources import logs, reports
@@ -108,6 +108,29 @@ def test_paired_tests(spark):
     assert t_two_sided(0.0, 5) == 1.0 and paired_tests(spark.createDataFrame([], "a double, b double"), "a", "b")["ttest_rel"] is None
 
 
+def test_ranks_and_totals_over_ranges(spark):
+    rows = [(k * 37 % 101, k % 7) for k in range(100)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    total, want = 0, {}
+    for k, v in sorted(rows):
+        total += v
+        want[k] = total
+    assert {r.k: r.t for r in order.running_total(df, ["k"], "v", "t").collect()} == want
+    assert [r.id for r in order.ranked(df, ["k"], start=10).orderBy("k").collect()] == list(range(11, 111))
+    assert order.ranked(df.limit(0), ["k"]).count() == 0
+
+
+def test_filters_see_the_other_clients(spark):
+    from plyspark.plans import views
+
+    df = spark.range(10)
+    preds = {"a": F.col("id") > 3, "b": F.col("id") < 8}
+    assert [views.crossfiltered(df, preds, c).count() for c in ("a", "b", "none")] == [8, 6, 4]
+    assert views.counted(df, F.col("id") % 3, "m", 2).collect() == [(0, 4), (1, 3)]
+    assert [safe.sample_rows(df, ["id"], 4).collect() for _ in range(2)][0] == safe.sample_rows(df.repartition(3), ["id"], 4).collect()
+    assert [r[0] for r in df.where("id > 7").select(safe.compact(F.col("id") * 1250)).collect()] == ["10.0K", "11.3K"]
+
+
 # chess
 
 
