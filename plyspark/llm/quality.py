@@ -3,7 +3,7 @@
 A document's bytes pass an embedding and filters of ``WINDOW`` bytes that
 slide by ``STRIDE``.  Responses are max-pooled over chunks of ``CHUNK`` bytes that
 overlap by half and cover the whole document; a document's features are the
-mean and the maximum of its chunks, and a logistic layer makes one
+mean, the maximum and the minimum of its chunks, and a logistic layer makes one
 probability of them.  Training takes a bounded sample of labelled documents
 (``most_rows`` of them, ``most_chunks`` chunks spread evenly over each); scores
 always read every chunk.
@@ -32,7 +32,7 @@ class Model:
     embed: np.ndarray  # 257 x EMBED, the last for what lies beyond a text
     filters: np.ndarray  # WINDOW * EMBED x FILTERS
     bias: np.ndarray
-    weights: np.ndarray  # 2 * FILTERS
+    weights: np.ndarray  # 3 * FILTERS
     intercept: float
 
 
@@ -54,7 +54,7 @@ def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def features(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Documents x 2 * FILTERS."""
+    """Documents x 3 * FILTERS."""
     codes, starts = _padded(data, offsets)
     view = _windows(codes)[: starts[-1] * HALF]
     halves = np.empty((starts[-1], FILTERS), np.float32)
@@ -66,10 +66,16 @@ def features(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     halves = np.maximum(halves + model.bias, 0)
     chunks = np.maximum(halves[:-1], halves[1:])
     chunks = np.vstack([chunks, np.zeros((1, FILTERS), np.float32)])
-    chunks[starts[1:] - 1] = 0  # would span two texts
-    count = (np.diff(starts) - 1)[:, None]
-    mean = np.add.reduceat(chunks, starts[:-1], axis=0) / count
-    return np.hstack([mean, np.maximum.reduceat(chunks, starts[:-1], axis=0)])
+    inside = np.ones(len(chunks), bool)
+    inside[starts[1:] - 1] = False  # would span two texts
+    return _pooled(chunks[inside], np.diff(starts) - 1)
+
+
+def _pooled(chunks: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Mean, maximum and minimum of each document's chunks."""
+    begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+    mean = np.add.reduceat(chunks, begin, axis=0) / count[:, None]
+    return np.hstack([mean, np.maximum.reduceat(chunks, begin, axis=0), np.minimum.reduceat(chunks, begin, axis=0)])
 
 
 def probability(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -84,7 +90,7 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int =
         rng.normal(0, 0.5, (257, EMBED)).astype(np.float32),
         rng.normal(0, (WINDOW * EMBED) ** -0.5, (WINDOW * EMBED, FILTERS)).astype(np.float32),
         np.zeros(FILTERS, np.float32),
-        rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32),
+        rng.normal(0, 0.1, 3 * FILTERS).astype(np.float32),
         0.0,
     )
     model.embed[256] = 0
@@ -102,8 +108,9 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int =
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            data = np.frombuffer(b"".join(texts[r] for r in rows), np.uint8)
-            offsets = np.concatenate(([0], np.cumsum([len(texts[r]) for r in rows])))
+            seen = [_cropped(texts[r], rng) if labels[r] == 1 else texts[r] for r in rows]
+            data = np.frombuffer(b"".join(seen), np.uint8)
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in seen])))
             grads = _gradients(tensors, data, offsets, labels[rows], weight[rows])
             tick += 1
             now = rate * (1 - 0.9 * epoch / epochs)
@@ -116,6 +123,14 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int =
     return model
 
 
+def _cropped(text: bytes, rng: np.random.Generator, share: float = 0.15) -> bytes:
+    """A text, or in a ``share`` of cases a few words of it. Any part of a good text is good, so short ones are learned from these; a part of a bad one need not be bad."""
+    if rng.random() >= share or len(text) < 40:
+        return text
+    start = text.find(b" ", rng.integers(0, len(text) - 20)) + 1
+    return text[start : start + int(np.exp(rng.uniform(np.log(16), np.log(400))))] or text
+
+
 def _gradients(tensors: list[np.ndarray], data: np.ndarray, offsets: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     embed, filters, bias, weights, intercept = tensors
     codes, starts = _padded(data, offsets)
@@ -132,16 +147,17 @@ def _gradients(tensors: list[np.ndarray], data: np.ndarray, offsets: np.ndarray,
     left = np.concatenate([np.arange(s, e - 1) for s, e in zip(starts[:-1], starts[1:], strict=True)])
     right_wins = halves[left + 1] > halves[left]
     chunks = np.maximum(halves[left], halves[left + 1])
-    begin = np.concatenate(([0], np.cumsum(count)[:-1]))
-    mean = np.add.reduceat(chunks, begin, axis=0) / count[:, None]
-    most = np.maximum.reduceat(chunks, begin, axis=0)
-    z = np.hstack([mean, most]) @ weights + intercept[0]
+    pooled = _pooled(chunks, count)
+    z = pooled @ weights + intercept[0]
     error = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / docs).astype(np.float32)
-    g_weights = np.hstack([mean, most]).T @ error + 1e-4 * weights
-    g_mean, g_most = error[:, None] * weights[:FILTERS], error[:, None] * weights[FILTERS:]
-    top = chunks == most[of]
-    top = top / np.maximum(1, np.add.reduceat(top.astype(np.float32), begin, axis=0))[of]
-    g_chunks = g_mean[of] / count[of][:, None] + g_most[of] * top
+    g_weights = pooled.T @ error + 1e-4 * weights
+    g_chunks = (error[:, None] * weights[:FILTERS])[of] / count[of][:, None]
+    begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+    for k in (1, 2):  # maximum and minimum: shared among the chunks that have it
+        at = slice(k * FILTERS, (k + 1) * FILTERS)
+        hit = chunks == pooled[of, at]
+        hit = hit / np.add.reduceat(hit.astype(np.float32), begin, axis=0)[of]
+        g_chunks = g_chunks + (error[:, None] * weights[at])[of] * hit
     g_halves = np.zeros_like(halves)
     np.add.at(g_halves, left, np.where(right_wins, 0, g_chunks))
     np.add.at(g_halves, left + 1, np.where(right_wins, g_chunks, 0))
