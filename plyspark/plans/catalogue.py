@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import elo, safe
 from ..operators import match, quality, search
-from ..operators.search import COUNTERS, FH_BUCKETS, TIMED
+from ..operators.search import FH_BUCKETS, TIMED
 from . import views
 from .entities import entity, with_entities
 
