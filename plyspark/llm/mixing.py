@@ -13,8 +13,6 @@ least hash get the odd copies, so equal inputs give equal copies.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -105,8 +103,8 @@ def newton_duals(hist: DataFrame, sources: DataFrame, scratch: Scratch, cap: flo
 
 
 def _rounded(cap: float):
-    def run(groups: Iterator[pd.DataFrame] | pd.DataFrame) -> pd.DataFrame:
-        hist = groups.sort_values("size", ascending=False)
+    def run(hist: pd.DataFrame) -> pd.DataFrame:
+        hist = hist.sort_values("size", ascending=False)
         left, copies = 0.0, []
         for size, n, rate in zip(hist["size"], hist["n"], hist["rate"], strict=True):
             want = left + n * rate * size
