@@ -17,6 +17,7 @@ share of all tokens, a few for each part at most, are counted first and dealt by
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
@@ -229,76 +230,90 @@ def _told(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in TOLD.split(", ")])
 
 
+#: A part is counted in so many slices by second word, which bounds what a task holds beside its input.
+SLICES = 4
+
+
+def _count_slice(model: Unigrams, w: np.ndarray, h: np.ndarray, n: np.ndarray, trained: np.ndarray) -> tuple:
+    """Of pair occurrences (w after h, n times, trained or not): base and model scores, whether w is known, counts of the pairs; and the
+    pairs of training as first words, probabilities of the second, and counts up to RELIABLE + 1."""
+    pair = mix(w * np.uint64(0x9E3779B97F4A7C15) + h)
+    order = np.argsort(pair).astype(np.uint32)
+    pair = pair[order]
+    first = np.concatenate(([True], pair[1:] != pair[:-1]))
+    del pair
+    group = (np.cumsum(first) - 1).astype(np.uint32)
+    of_pair = np.bincount(group, trained[order]).astype(np.int64)
+    seen = np.empty(len(w), np.uint32)
+    seen[order] = of_pair[group]
+    types, which = np.unique(w, return_inverse=True)
+    c = np.bincount(which, trained, len(types)).astype(np.int64)
+    hot = _is_hot(types, model.hot)
+    c[hot] = model.hot_counts[np.searchsorted(model.hot, types[hot])]
+    p = model.probability(c)
+    norm = model.tokens + 0.1 * (model.types + 1)
+    base = np.log10((c + 0.1) / norm)[which] * n
+    score = np.where(seen > RELIABLE, np.log10(np.maximum(seen, 1) - REST), np.where(seen == 0, np.log10(p)[which], 0.0))
+    score -= np.where(types == END, 0.0, np.log10(np.maximum(c, 1)))[which]  # as the word before the next token
+    score *= n
+    held = order[np.flatnonzero(first)[of_pair > 0]]
+    return base, score, (c > 0)[which], seen, h[held], p[which[held]], np.minimum(of_pair[of_pair > 0], RELIABLE + 1)
+
+
 def _counter(model: Unigrams, parts: int):
     """Counts one part's pairs and words, and adds up what it knows of each document."""
-    norm = model.tokens + 0.1 * (model.types + 1)
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         if rows[0]["part"] < 0:
             return _told([(IDS, r["batch"], r["batch"], r["doc"], b"", b"", b"") for r in rows])
         rows.sort(key=lambda r: r["batch"])
-        w = np.concatenate([np.repeat(np.frombuffer(r.pop("w"), np.uint64), _unpacked(r.pop("runs"), np.uint32)) for r in rows])
-        h = np.concatenate([_from_six(r.pop("h")) for r in rows])
-        n = np.concatenate([_unpacked(r.pop("n"), np.uint32) for r in rows])
-        doc = [np.frombuffer(r.pop("doc"), np.uint16) for r in rows]
-        train = np.concatenate([np.unpackbits(np.frombuffer(r["train"], np.uint8))[d] for r, d in zip(rows, doc, strict=True)])
-        trained = n * train
-        del train
-        pair = mix(w * np.uint64(0x9E3779B97F4A7C15) + h)
-        order = np.argsort(pair).astype(np.uint32)
-        pair = pair[order]
-        first = np.concatenate(([True], pair[1:] != pair[:-1]))
-        del pair
-        group = (np.cumsum(first) - 1).astype(np.uint32)
-        of_pair = np.bincount(group, trained[order]).astype(np.int64)
-        seen = np.empty(len(w), np.uint32)
-        seen[order] = of_pair[group]
-        del group
-        types, which = np.unique(w, return_inverse=True)
-        which = which.astype(np.uint32)
-        is_end = types == END
-        c = np.bincount(which, trained, len(types)).astype(np.int64)
-        del w, trained
-        hot = _is_hot(types, model.hot)
-        c[hot] = model.hot_counts[np.searchsorted(model.hot, types[hot])]
-        p = model.probability(c)
-        known = (c > 0)[which]
-        base = np.log10((c + 0.1) / norm)[which] * n
-        score = np.where(seen > RELIABLE, np.log10(np.maximum(seen, 1) - REST), np.where(seen == 0, np.log10(p)[which], 0.0))
-        score -= np.where(is_end, 0.0, np.log10(np.maximum(c, 1)))[which]  # as the word before the next token
-        score *= n
+        all_w = np.concatenate([np.repeat(np.frombuffer(r.pop("w"), np.uint64), _unpacked(r.pop("runs"), np.uint32)) for r in rows])
+        all_h = np.concatenate([_from_six(r.pop("h")) for r in rows])
+        all_n = np.concatenate([_unpacked(r.pop("n"), np.uint32) for r in rows])
+        docs = [8 * len(r["train"]) for r in rows]  # documents of each batch, rounded up
+        starts = np.cumsum([0, *docs])
+        all_doc = np.concatenate([np.frombuffer(r.pop("doc"), np.uint16) + np.uint32(at) for r, at in zip(rows, starts, strict=False)])
+        trains = np.concatenate([np.unpackbits(np.frombuffer(r["train"], np.uint8)) for r in rows])
+        total = int(starts[-1])
+        sums, times = np.zeros((2, total)), np.zeros((RELIABLE + 1, total), np.uint32)
+        pairs: list[tuple] = []
+        lost: list[tuple] = []
+        for k in range(SLICES):
+            use = np.flatnonzero((all_w >> np.uint64(20)) % np.uint64(SLICES) == k)
+            if not len(use):
+                continue
+            h, n, doc = all_h[use], all_n[use], all_doc[use]
+            base, score, known, seen, *found = _count_slice(model, all_w[use], h, n, n * trains[doc])
+            add = lambda x: np.bincount(doc, x, total)  # noqa: E731, B023
+            sums += np.stack([add(base), add(score)])
+            times += np.stack([add(n * known), *[add(n * (seen == r)) for r in range(1, RELIABLE + 1)]]).astype(np.uint32)
+            pairs.append(found)
+            new = seen == 0
+            lost.append((h[new], n[new], doc[new]))
+        del all_w, all_h, all_n, all_doc
         out: list[tuple] = []
-        at = 0
-        for r, d in zip(rows, doc, strict=True):
-            s = slice(at, at + len(d))
-            at += len(d)
-            docs = 8 * len(r["train"])
-            add = lambda x: np.bincount(d, x, docs)  # noqa: E731, B023
-            sums = np.stack([add(base[s]), add(score[s])])
-            times = np.stack([add(n[s] * known[s]), *[add(n[s] * (seen[s] == k)) for k in range(1, RELIABLE + 1)]]).astype(np.uint32)
-            out.append((SUMS, r["batch"], r["batch"], _packed(sums), _packed(times), b"", b""))
+        for r, a, b in zip(rows, starts[:-1], starts[1:], strict=True):
+            out.append((SUMS, r["batch"], r["batch"], _packed(sums[:, a:b]), _packed(times[:, a:b]), b"", b""))
         # pairs not seen in training, by first word: of which batch and document, and how often
-        lost = np.flatnonzero(seen == 0)
-        whose = np.repeat(np.arange(len(rows)), [len(d) for d in doc])[lost]
-        to = h[lost] % np.uint64(parts)
+        h, n, doc = (np.concatenate([x[k] for x in lost]) for k in range(3))
+        to = h % np.uint64(parts)
         by = np.argsort(to, kind="stable")
-        lost, whose, to, docs_of = lost[by], whose[by], to[by], np.concatenate(doc)[lost[by]] if len(lost) else lost
+        h, n, doc, to = h[by], n[by], doc[by], to[by]
+        whose = np.searchsorted(starts, doc, "right") - 1
         for a, b in _stretches(to):
             used, place = np.unique(whose[a:b], return_inverse=True)
-            key = (place.astype(np.uint32) << np.uint32(16)) | docs_of[a:b]
-            out.append((UNSEEN, int(to[a]), 0, _six(h[lost[a:b]]), _packed(key), _packed(n[lost[a:b]].astype(np.uint32)), np.array([rows[k]["batch"] for k in used], np.int64).tobytes()))
+            key = (place.astype(np.uint32) << np.uint32(16)) | (doc[a:b] - starts[whose[a:b]]).astype(np.uint32)
+            out.append((UNSEEN, int(to[a]), 0, _six(h[a:b]), _packed(key), _packed(n[a:b].astype(np.uint32)), np.array([rows[k]["batch"] for k in used], np.int64).tobytes()))
         # pairs of training by first word
-        held = np.flatnonzero(first)[of_pair > 0]
-        times = np.minimum(of_pair[of_pair > 0], RELIABLE + 1)
-        hh, pp = h[order][held], p[which[order][held]]
-        out.append((SEEN_TIMES, 0, 0, np.bincount(times, minlength=RELIABLE + 2)[1:].astype(np.int64).tobytes(), b"", b"", b""))
+        hh, pp, many = (np.concatenate([x[k] for x in pairs]) for k in range(3))
+        out.append((SEEN_TIMES, 0, 0, np.bincount(many, minlength=RELIABLE + 2)[1:].astype(np.int64).tobytes(), b"", b"", b""))
         to = hh % np.uint64(parts)
         by = np.lexsort((hh, to))
-        hh, pp, times, to = hh[by], pp[by], times[by], to[by]
+        hh, pp, many, to = hh[by], pp[by], many[by], to[by]
         begins = np.flatnonzero(np.concatenate(([True], hh[1:] != hh[:-1]))) if len(hh) else np.zeros(0, np.int64)
         which_h = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(hh))))
-        of_times = np.stack([np.bincount(which_h, times == k, len(begins)) for k in range(1, RELIABLE + 2)], axis=1).astype(np.uint32)
+        of_times = np.stack([np.bincount(which_h, many == k, len(begins)) for k in range(1, RELIABLE + 2)], axis=1).astype(np.uint32)
         of_p = np.bincount(which_h, pp, len(begins)).astype(np.float32)
         to, hh = to[begins], hh[begins]
         out += [(TYPES, int(to[a]), 0, _six(hh[a:b]), of_p[a:b].tobytes(), _packed(of_times[a:b].T), b"") for a, b in _stretches(to)]
@@ -364,6 +379,14 @@ def _finished(d: list[float], start: float):
     return run
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Lets Spark's cleaner find the shuffle files of steps that are done and that nothing reads again."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def scores(docs: DataFrame, train: Column, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text).
 
@@ -376,11 +399,11 @@ def scores(docs: DataFrame, train: Column, scratch: Scratch | None = None) -> Da
     rows = docs.select("doc_id", F.coalesce(train, F.lit(False)).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
     model, parts = count_unigrams(rows.where("train"), scratch, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    _let_go(spark)
     dealt = rows.select("rid", "train", "text").mapInArrow(_dealer(model.hot, parts), DEALT)
     told = scratch.save(dealt.groupBy("part").applyInArrow(_counter(model, parts), TOLD), "told")
     del dealt
-    gc.collect()
-    spark._jvm.System.gc()  # lets go of the shuffle files, which nothing reads again
+    _let_go(spark)
     times = np.zeros(RELIABLE + 1, np.int64)
     for r in told.where(F.col("kind") == SEEN_TIMES).select("a").toLocalIterator():  # a row for each part
         times += np.frombuffer(r["a"], np.int64)
