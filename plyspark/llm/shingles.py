@@ -1,9 +1,14 @@
 """Links between texts whose sets of word shingles are alike, checked on the whole sets.
 
-A text's four least shingle hashes and its size class are its keys.  Texts that share a key are
-compared with the least id that has it, so comparisons grow with the texts, not with
-the square of a group; two texts of similarity 0.8 share one of their keys but for 2 in 1000, and one of two
-overlapping size classes always.  Each comparison joins the whole texts.
+Prefix filtering: with the shingles of all texts in one order, two sets of sizes m and n that share
+``least`` of their union share at least ceil(least * (m + n) / (1 + least)); so the first shingle that both
+hold stands early in both (``_may`` says how early), and keying the first fifth or so of
+each text's shingles loses no pair.  The order is by how many texts hold a shingle's bucket, rare ones first, so
+shared passages and templates are keys only of texts that consist of little else.  It decides the work, not the result.
+
+Comparisons run in two rounds: with the least text of each key and size, then between all texts of a key that are in different
+components by then.  So a group of copies isn't expanded into pairs once it is connected, and all
+others are compared.  Each comparison joins the whole texts.
 """
 
 from __future__ import annotations
@@ -15,10 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import connected_components
 from .runtime import Scratch
 from .text import fold, lower, span_hashes, steps, utf8, words
 
-KEYS = 4
+#: Buckets in which shingles are counted, and buckets of a row.
+BUCKETS, SLICE = 1 << 20, 1 << 15
+#: Parts into which the texts of a key are dealt where all are compared.
+SALTS = 8
 
 
 def shingle_hashes(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,24 +47,74 @@ def shingle_hashes(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[full], of[full]
 
 
-def _keyed(size: int):
+def _sets(part: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, and the texts they are of, in order."""
+    h, of = shingle_hashes(part.column("text"), size)
+    order = np.lexsort((h, of))
+    h, of = h[order], of[order]
+    new = np.concatenate(([True], (h[1:] != h[:-1]) | (of[1:] != of[:-1]))) if len(h) else np.zeros(0, bool)
+    return h[new], of[new]
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _counted(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for part in steps(batch):
-                h, of = shingle_hashes(part.column("text"), size)
-                order = np.lexsort((h, of))
+                counts += np.bincount(_bucket(_sets(part, size)[0]), minlength=BUCKETS).astype(np.int32)
+        for k in range(0, BUCKETS, SLICE):
+            if counts[k : k + SLICE].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int32()), pa.array([counts[k : k + SLICE].tobytes()], pa.binary())], names=["slice", "counts"])
+
+    return run
+
+
+def _added(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in rows:
+        for k, found in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            total[k] = total.get(k, 0) + np.frombuffer(found, np.int32).astype(np.int64)
+    for k, sums in total.items():
+        # eighths of a doubling, in one byte
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.minimum(np.log2(sums + 1) * 8, 255).astype(np.uint8).tobytes()], pa.binary())], names=["slice", "counts"])
+
+
+def commonness(texts: DataFrame, size: int) -> np.ndarray:
+    """Of each bucket of shingles, how many texts hold one of them, as a logarithm: a byte a bucket, whatever the size of ``texts``."""
+    parts = texts.select("text").mapInArrow(_counted(size), "slice int, counts binary")
+    rows = parts.repartition(BUCKETS // SLICE, "slice").mapInArrow(_added, "slice int, counts binary").collect()
+    out = np.zeros(BUCKETS, np.uint8)
+    for r in rows:
+        out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], np.uint8)
+    return out
+
+
+def _keyed(size: int, least: float, common: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch):
+                h, of = _sets(part, size)
+                order = np.lexsort((h, common[_bucket(h)], of))
                 h, of = h[order], of[order]
-                new = np.concatenate(([True], (h[1:] != h[:-1]) | (of[1:] != of[:-1]))) if len(h) else np.zeros(0, bool)
-                h, of = h[new], of[new]
                 n = np.bincount(of, minlength=part.num_rows)
                 place = np.arange(len(of)) - (np.cumsum(n) - n)[of]
-                use = place < KEYS
-                ids = part.column("id").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(ids[of[use]]), pa.array(h[use].view(np.int64)), pa.array(n[of[use]].astype(np.int64))], names=["id", "key", "n"])
+                # a set shares at least ``least`` of its own size with any that is alike
+                use = place <= n[of] - np.ceil(least * n[of] - 1e-9)
+                of, columns = of[use], [h[use].view(np.int64), place[use].astype(np.int32), n[of[use]].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(of)), part.column("known").take(pa.array(of)), *map(pa.array, columns)], names=["id", "known", "key", "place", "n"])
 
     return run
 
 
+def _may(least: float) -> str:
+    """Whether a text of n shingles and one of n_b can be alike if the first shingle of both stands at place and place_b."""
+    return f"least(n - place, n_b - place_b) >= {least / (1 + least)!r} * (n + n_b) - 1e-6"
+
+
 def _compared(size: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,15 +135,41 @@ def _compared(size: int, least: float):
 
 
 def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.8) -> DataFrame:
-    """(a, b): links between rows of ``texts`` (id long, text), both ways of a comparison counting once; texts without words have none."""
-    keyed = texts.select("id", "text").mapInArrow(_keyed(size), "id long, key long, n long")
-    step = F.log(F.col("n").cast("double")) / float(np.log(1.5))
-    # classes of sizes up to half as much again, and the same shifted by half a class: sizes within 0.8 share one
-    classes = F.explode(F.array((F.floor(step) * 2).cast("int"), (F.floor(step + 0.5) * 2 + 1).cast("int")))
-    rows = scratch.save(keyed.select("id", "key", classes.alias("class")), "keyed")
-    least_of = rows.groupBy("key", "class").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").drop("z")
-    pairs = scratch.save(rows.join(least_of, ["key", "class"]).where("a < id").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    """(a, b): links between rows of ``texts`` (id long, text, known long) that connect all that are alike by ``least`` or more.
+
+    ``known`` names groups that are connected already: rows of one group aren't compared. Ids are unique. Texts without words have no links.
+    """
+    keyed = texts.select("id", "known", "text").mapInArrow(_keyed(size, least, commonness(texts, size)), "id long, known long, key long, place int, n int")
+    rows = scratch.save(keyed, "keyed")
+    held_twice = rows.groupBy("key").agg(F.min("id").alias("id"), F.max("id").alias("z")).where("id < z").select("key")
+    rows = scratch.save(rows.join(held_twice, "key"), "shared").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int"))
+    scratch.drop("keyed")
+    other = lambda df: df.select("key", *[F.col(c).alias(f"{c}_b") for c in df.columns if c != "key"])
+    first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "known", "place", "n")).alias("r")).select("key", "class", "r.*")
+    met = rows.join(first.select("key", "class", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")]), ["key", "class"])
+    ordered = (F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"))
+    pairs = scratch.save(met.where("id <> id_b AND known <> known_b").where(_may(least)).select(*ordered).distinct(), "pairs-0")
+    one = _alike(texts, pairs, scratch, "0", size, least)
+    # groups by now: known ones and links between them
+    groups = rows.select("id", "known").distinct()
+    between = one.join(groups.select(F.col("id").alias("a"), F.col("known").alias("g")), "a").join(groups.select(F.col("id").alias("b"), F.col("known").alias("h")), "b")
+    node = scratch.save(connected_components(between.select(F.col("g").alias("a"), F.col("h").alias("b")), scratch), "nodes")
+    now = rows.drop("class").join(node.withColumnRenamed("node", "known"), "known", "left").withColumn("known", F.coalesce("component", "known")).drop("component")
+    several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z")).where("g < z").select("key")
+    now = scratch.save(now.join(several, "key"), "left")
+    # each text meets all of its key: one side in one part, the other in every part
+    dealt = now.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    every = other(now).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rest = dealt.join(every, ["key", "salt"]).where("id < id_b AND known <> known_b").where(_may(least)).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+    pairs = scratch.save(rest.join(pairs, ["a", "b"], "left_anti"), "pairs-1")
+    return one.union(_alike(texts, pairs, scratch, "1", size, least))
+
+
+def _alike(texts: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, size: int, least: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts are alike."""
     held = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    some = scratch.save(texts.select("id", "text").join(held, "id"), "some")
+    some = scratch.save(texts.select("id", "text").join(held, "id"), f"some-{name}")
     both = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return scratch.save(both.mapInArrow(_compared(size, least), "a long, b long"), "similar")
+    found = scratch.save(both.mapInArrow(_compared(size, least), "a long, b long"), f"similar-{name}")
+    scratch.drop(f"some-{name}")
+    return found

@@ -160,10 +160,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, words: int = 5,
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
     rows = docs.where("doc_id IS NOT NULL")
     groups = scratch.save(near_duplicates(rows, shingle, radius, scratch), "groups")
-    # one row for each fingerprint stands for its copies; what differs from it in text is compared with it below, as all others are
-    least = groups.groupBy("fp").agg(F.min("doc_id").alias("id")).select("id")
-    texts = rows.select(F.col("doc_id").cast("long").alias("id"), "text").join(least, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    near = similar(texts, scratch, words, similarity)
+    # each distinct text counts once, by its hash: its copies have one fingerprint, so they are in one group
+    names = groups.groupBy("doc_id").agg(F.min("component_id").alias("known"))
+    texts = rows.select(F.xxhash64("text").alias("id"), F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    texts = scratch.save(texts.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")).join(names, "doc_id"), "texts")
+    found = similar(texts, scratch, words, similarity)
+    near = found.join(texts.select(F.col("id").alias("a"), F.col("doc_id").alias("p")), "a").join(texts.select(F.col("id").alias("b"), F.col("doc_id").alias("q")), "b").selectExpr("p AS a", "q AS b")
     by_print = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
     node = connected_components(by_print.union(near), scratch)
     drop = scratch.save(node.where("node <> component").select(F.col("node").alias("doc_id")), "drop")

@@ -106,6 +106,33 @@ def test_edited_copies_go_and_others_stay(spark):
     assert len(near) >= 75 and len(far) >= 39 and len(near & kept) <= 1 and far <= kept and {k for k, _ in rows if k % 10 == 0} <= kept
 
 
+def test_no_link_between_different_texts_is_lost(spark):
+    """Variants of variants, and texts that share most of a template with older unlike ones: as all pairs say."""
+    rng, texts = random.Random(9), []
+
+    def edited(words, n):
+        out = list(words)
+        for i in rng.sample(range(len(out)), n):
+            out[i] = f"w{rng.getrandbits(30)}"
+        return out
+
+    for k in range(25):
+        chain = prose(900 + k, 240).split()
+        for _ in range(6):
+            texts.append(" ".join(chain))
+            chain = edited(chain, 4)
+        shared = prose(1900 + k, 200).split()
+        for j in range(6):
+            text = shared + prose(5000 + 10 * k + j, 60).split()
+            texts += [" ".join(text), " ".join(edited(text, 4))] if j else [" ".join(text)]
+    fps = [brute_fingerprint(t, 3) for t in texts]
+    sets = [set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 2
+    want = union_groups(range(len(texts)), [(i, j) for i in range(len(texts)) for j in range(i) if alike(i, j)])
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == set(want.values())
+
+
 def test_one_of_each_group_stays(spark, odd, nothing):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
