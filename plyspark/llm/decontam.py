@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 One scan of the documents finds every n-gram of the test items and cuts the passages
-around them.  Of the items' n-grams that occur, each stretch of ``stretch`` keeps its rarest
-as a seed, by the number of passages; seeds join passages to items, and a local alignment of words scores
-each pair, so edited and paraphrased copies count too.  Words are runs of letters
-and digits in lower case.  A document that shares ``ngram + stretch - 1`` words in a row with an item
-always meets it.  Items are taken in blocks of bounded size, each against all documents.
+around them.  A passage meets an item with which it shares an n-gram of five words, or two different ones of three, so
+copies with every fifth word changed meet their item too; no n-gram is left out.  A local alignment of words scores
+each pair that has words enough in common to reach the least score.  Words are runs of letters
+and digits in lower case; of scripts that write no spaces each character is one.  Items are taken in blocks of bounded
+size, each against all documents.
 """
 
 from __future__ import annotations
@@ -14,13 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
 from .text import alphanumeric, fold, span_hashes, steps, utf8, words
 
 NGRAM = 5
+#: Words of the n-grams of which two are needed.
+SHORT = 3
+#: Characters that are words of their own.
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 MATCH, OTHER, GAP = 2, -1, -1
 #: n-grams of a block of items, at most; they go to every task.
 BLOCK_GRAMS = 1_000_000
@@ -44,8 +48,13 @@ def _grams(hashes: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return h[at], at
 
 
+def _plain(text: str) -> Column:
+    """The text in lower case, with spaces around characters that are words."""
+    return F.regexp_replace(F.lower(text), UNSPACED, " $1 ")
+
+
 def item_grams(items: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """(item_id, place, n, gram, words): all n-grams of each item; an item of fewer words has one of its length, one without words none."""
+    """(item_id, place, n, gram, words, weak): all n-grams of each item, and weak ones of ``SHORT`` words; an item of fewer words has one of its length, one without words none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,43 +62,48 @@ def item_grams(items: DataFrame, ngram: int = NGRAM) -> DataFrame:
             hashes, _, _, of, _ = _word_hashes(batch.column("text"))
             for i, item in enumerate(ids):
                 own = hashes[of == i]
-                n = min(ngram, len(own))
-                if n:
+                for n in sorted({min(ngram, len(own)), min(SHORT, len(own))} - {0}):
                     h, at = _grams(own, np.zeros(len(own), np.int64), n)
                     k = len(h)
-                    yield pa.RecordBatch.from_arrays([pa.array([item] * k, pa.int64()), pa.array(at.astype(np.int32)), pa.array(np.full(k, n, np.int32)), pa.array(h.view(np.int64)), pa.array(np.full(k, len(own), np.int32))], names=["item_id", "place", "n", "gram", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * k, pa.int64()), pa.array(at.astype(np.int32)), pa.array(np.full(k, n, np.int32)), pa.array(h.view(np.int64)), pa.array(np.full(k, len(own), np.int32)), pa.array(np.full(k, n < min(ngram, len(own))))], names=["item_id", "place", "n", "gram", "words", "weak"])
 
-    return items.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).mapInArrow(run, "item_id long, place int, n int, gram long, words int")
+    return items.select(F.col("item_id").cast("long").alias("item_id"), _plain("text").alias("text")).mapInArrow(run, "item_id long, place int, n int, gram long, words int, weak boolean")
 
 
-def passages(docs: DataFrame, grams: dict[int, np.ndarray], pad: int) -> DataFrame:
-    """(doc_id, first, passage, grams): stretches of documents around n-grams that ``grams`` holds by n, sorted.
+def passages(docs: DataFrame, grams: dict[tuple[int, bool], np.ndarray], pad: int) -> DataFrame:
+    """(doc_id, first, passage, grams): stretches of documents around n-grams that ``grams`` holds by n and whether they are weak, sorted.
 
     ``passage`` is the words from ``pad`` before a hit to ``pad`` after, space-joined; hits whose stretches meet share one; ``first`` is the
-    number of its first word in the document; ``grams`` are the hits.
+    number of its first word in the document; ``grams`` are the hits. A weak hit with no other within ``pad`` words is none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(grams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {}
-        for n, values in shared.value.items():
+        for kind, values in shared.value.items():
             sieve = np.zeros(1 << 22, bool)
             sieve[(values >> np.uint64(42)).astype(np.int64)] = True
-            held[n] = values, sieve
+            held[kind] = values, sieve
         for batch in batches:
             for part in steps(batch):
                 ids = part.column("doc_id").to_pylist()
                 hashes, begin, end, of, data = _word_hashes(part.column("text"))
-                found_at, found = [], []
-                for n, (values, sieve) in held.items():
+                found_at, found, weaker = [], [], []
+                for (n, weak), (values, sieve) in held.items():
                     h, at = _grams(hashes, of, n)
                     use = np.flatnonzero(sieve[(h >> np.uint64(42)).astype(np.int64)])
                     use = use[values[np.minimum(np.searchsorted(values, h[use]), len(values) - 1)] == h[use]]
                     found_at.append(at[use])
                     found.append(h[use])
-                at, gram = np.concatenate(found_at), np.concatenate(found)
+                    weaker.append(np.full(len(use), weak))
+                at, gram, weak = np.concatenate(found_at), np.concatenate(found), np.concatenate(weaker)
                 order = np.argsort(at, kind="stable")
-                at, gram = at[order], gram[order]
+                at, gram, weak = at[order], gram[order], weak[order]
+                close = (np.diff(at) <= pad) & (np.diff(of[at]) == 0)
+                use = ~weak
+                use[1:] |= close
+                use[:-1] |= close
+                at, gram = at[use], gram[use]
                 cuts = np.flatnonzero((np.diff(at) > 2 * pad) | (np.diff(of[at]) > 0)) + 1
                 rows: list[tuple] = []
                 base = np.searchsorted(of, np.arange(len(ids)))
@@ -107,7 +121,7 @@ def passages(docs: DataFrame, grams: dict[int, np.ndarray], pad: int) -> DataFra
                         names=["doc_id", "first", "passage", "grams"],
                     )
 
-    lowered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
+    lowered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _plain("text").alias("text"))
     return lowered.mapInArrow(run, "doc_id long, first int, passage string, grams array<long>")
 
 
@@ -137,21 +151,27 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: list[tuple] = []
-        for r in batch.to_pylist():
-            ids: dict[str, int] = {}
-            item = np.array([ids.setdefault(w, len(ids)) for w in r["item_words"].split()], np.int64)
-            passage = np.array([ids.get(w, -1) for w in r["passage"].split(" ")], np.int64)
-            score, begin, end = align(item, passage)
-            out.append((r["doc_id"], r["item_id"], score / (MATCH * len(item)), r["first"] + begin, r["first"] + end))
-        columns = zip(*out, strict=True) if out else [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "first_word", "end_word"])
-
-
-def contaminated(docs: DataFrame, items: DataFrame, ngram: int = NGRAM, stretch: int = 3, least_score: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
+def _aligned(least_score: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                ids: dict[str, int] = {}
+                item = np.array([ids.setdefault(w, len(ids)) for w in r["item_words"].split()], np.int64)
+                passage = np.array([ids.get(w, -1) for w in r["passage"].split(" ")], np.int64)
+                # no alignment scores more than all of the item's words that the passage has
+                if np.isin(item, passage).sum() < least_score * len(item):
+                    continue
+                score, begin, end = align(item, passage)
+                out.append((r["doc_id"], r["item_id"], score / (MATCH * len(item)), r["first"] + begin, r["first"] + end))
+            columns = zip(*out, strict=True) if out else [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "first_word", "end_word"])
+
+    return run
+
+
+def contaminated(docs: DataFrame, items: DataFrame, ngram: int = NGRAM, least_score: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): documents that hold a test item, in whole or edited.
 
     ``score`` is the alignment's score over that of the whole item; the best place of each pair
@@ -164,22 +184,20 @@ def contaminated(docs: DataFrame, items: DataFrame, ngram: int = NGRAM, stretch:
     grams = scratch.save(item_grams(items, ngram), "grams")
     n, longest = grams.agg(F.count("*"), F.max("words")).first()
     blocks = -(-n // BLOCK_GRAMS)
-    clean = F.regexp_replace(F.lower("text"), r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
+    clean = F.regexp_replace(_plain("text"), r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
     texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.trim(clean).alias("item_words")).where("item_words <> ''").distinct()
     found = None
     for b in range(blocks):
         own = grams.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        held = {k: np.unique(x["gram"].to_numpy(np.int64).view(np.uint64)) for k, x in own.select("n", "gram").distinct().toPandas().groupby("n")}
+        held = {k: np.unique(x["gram"].to_numpy(np.int64).view(np.uint64)) for k, x in own.select("n", "weak", "gram").distinct().toPandas().groupby(["n", "weak"])}
         if not held:
             continue
         cut = scratch.save(passages(docs, held, int(longest)).withColumn("key", F.xxhash64("doc_id", "first", "passage")), f"passages-{b}")
-        hits = cut.select("key", F.explode("grams").alias("gram"))
-        often = hits.groupBy("gram").agg(F.count("*").alias("often"))
-        ahead = Window.partitionBy("item_id").orderBy("place").rowsBetween(0, stretch - 1)
-        seeds = own.join(often, "gram").select("item_id", F.min_by("gram", F.struct("often", "gram")).over(ahead).alias("gram")).distinct()
-        pairs = hits.join(seeds, "gram").select("key", "item_id").distinct()
+        hits = cut.select("key", F.explode("grams").alias("gram")).distinct()
+        met = hits.join(own.select("item_id", "gram", "weak").distinct(), "gram").groupBy("key", "item_id").agg(F.count("*").alias("n"), F.min("weak").alias("weak"))
+        pairs = met.where("n > 1 OR NOT weak").select("key", "item_id")
         cases = cut.select("key", "doc_id", "first", "passage").distinct().join(pairs, "key").join(texts, "item_id")
-        part = cases.select("doc_id", "first", "passage", "item_id", "item_words").mapInArrow(_aligned, "doc_id long, item_id long, score double, first_word int, end_word int")
+        part = cases.select("doc_id", "first", "passage", "item_id", "item_words").mapInArrow(_aligned(least_score), "doc_id long, item_id long, score double, first_word int, end_word int")
         part = scratch.save(part.where(F.col("score") >= least_score), f"found-{b}")
         found = part if found is None else found.union(part)
     if found is None:
