@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import elo
 from ..functions.safe import ratio
+from ..scratch import saved
+from .order import ranked
 
 K = 32.0
 
@@ -119,23 +120,17 @@ def performance_ratings(results: DataFrame) -> DataFrame:
     Opponents are first added up by rating, so a group has a row for each distinct rating.
     """
     games = F.col("wins") + F.col("draws") + F.col("losses")
-    sums = results.where(games > 0).groupBy("candidate", "opponent_elo").agg(F.sum(games).alias("games"), F.sum(F.col("wins") + 0.5 * F.col("draws")).alias("points"))
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        n, points = rows["games"].sum(), rows["points"].sum()
-        mean = (rows["opponent_elo"] * rows["games"]).sum() / n
-        if points >= n or points <= 0:
-            rating = mean + (800.0 if points >= n else -800.0)
-        else:
-            low, high = -1000.0, 5000.0
-            for _ in range(100):
-                rating = (low + high) / 2
-                expected = (rows["games"] / (1 + 10 ** ((rows["opponent_elo"] - rating) / 400))).sum()
-                low, high = (rating, high) if expected < points else (low, rating)
-            rating = (low + high) / 2
-        return pd.DataFrame({"candidate": [rows["candidate"].iloc[0]], "rating": [round(float(rating), 1)], "games": [int(n)]})
-
-    return sums.groupBy("candidate").applyInPandas(solve, "candidate long, rating double, games long")
+    sums = results.where(games > 0).groupBy("candidate", "opponent_elo").agg(F.sum(games).cast("double").alias("n"), F.sum(F.col("wins") + 0.5 * F.col("draws")).cast("double").alias("points"))
+    rows = sums.groupBy("candidate").agg(
+        F.sum("n").alias("games"), F.sum("points").alias("points"), (F.sum(F.col("opponent_elo") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.array_sort(F.collect_list(F.struct(F.col("opponent_elo").cast("double").alias("elo"), "n"))).alias("met"),
+    )
+    points = "aggregate(met, 0D, (sum, o) -> sum + o.n / (1 + pow(10D, (o.elo - {at}) / 400)))"
+    middle = "(bounds.low + bounds.high) / 2"
+    solved = f"""aggregate(sequence(1, 100), struct(-1000D AS low, 5000D AS high), (bounds, step) -> CASE WHEN {points.format(at=f"({middle})")} < points
+        THEN struct({middle} AS low, bounds.high AS high) ELSE struct(bounds.low AS low, {middle} AS high) END, bounds -> {middle})"""
+    rating = F.when(F.col("points") >= F.col("games"), F.col("mean") + 800).when(F.col("points") <= 0, F.col("mean") - 800).otherwise(F.expr(solved))
+    return rows.select(F.col("candidate").cast("long").alias("candidate"), F.round(rating, 1).alias("rating"), F.col("games").cast("long").alias("games"))
 
 
 def looked_up(engines: DataFrame, ratings: DataFrame, default: float = elo.ANCHOR) -> DataFrame:
@@ -166,11 +161,35 @@ def trailing(iterations: DataFrame, n: int = 20) -> DataFrame:
 
 
 def smoothed(rows: DataFrame, key: str, order: str, metric: str, alpha: float = 0.2) -> DataFrame:
-    """Exponential moving average by key, from the first value on; a group is one key's series."""
-    part = rows.select(F.col(key).cast("long").alias(key), F.col(order).cast("long").alias(order), F.col(metric).cast("double").alias("ema"))
+    """(key, order, ema): exponential moving average by key, from the first value on; rows without a value are left out.
+
+    Each step is x -> (1 - alpha) x + alpha v, so an average is a running composition of such maps (``composed``).
+    """
+    part = rows.select(F.col(key).cast("long").alias(key), F.col(order).cast("long").alias(order), F.col(metric).cast("double").alias("ema")).where("ema IS NOT NULL")
+    numbered = ranked(part, [key, order, "ema"], name="at")
+    first = numbered.groupBy(F.col(key).alias("of")).agg(F.min("at").alias("first"))
+    steps = numbered.join(first, F.col(key).eqNullSafe(F.col("of"))).withColumn("place", F.col("at") - F.col("first"))
+    begins = F.col("place") == 0
+    steps = steps.select(key, order, "place", F.when(begins, 0.0).otherwise(1 - alpha).alias("factor"), F.when(begins, F.col("ema")).otherwise(alpha * F.col("ema")).alias("term"))
+    return composed(steps, key).select(key, order, F.col("value").alias("ema"))
+
 
-    def fold(series: pd.DataFrame) -> pd.DataFrame:
-        series = series.sort_values(order)
-        return series.assign(ema=series["ema"].ewm(alpha=alpha, adjust=False).mean())
+def composed(steps: DataFrame, key: str, block: int = 64) -> DataFrame:
+    """``steps`` with ``value``: the maps x -> factor * x + term of a key, in order of ``place`` (0, 1, ...), all up to each row's applied to 0.
 
-    return part.groupBy(key).applyInPandas(fold, part.schema)
+    Places are cut into blocks; a block's maps make one map, and these are composed alike, so no task holds more than
+    ``block`` rows of a key at once, and each level has a ``block``-th of the rows of the one below.
+    """
+    rest = [c for c in steps.columns if c not in (key, "place", "factor", "term")]
+    grouped = steps.groupBy(key, F.floor(F.col("place") / block).alias("block")).agg(F.array_sort(F.collect_list(F.struct("place", "factor", "term", *rest))).alias("rows"))
+    grouped = grouped.withColumn("upto", F.expr("""aggregate(rows, cast(array() AS array<struct<f: double, t: double>>), (done, r) -> concat(done, array(CASE WHEN size(done) = 0
+        THEN struct(r.factor AS f, r.term AS t) ELSE struct(element_at(done, -1).f * r.factor AS f, element_at(done, -1).t * r.factor + r.term AS t) END)))"""))
+    grouped = saved(grouped, "composed")
+    values = grouped.select(key, "block", F.explode(F.arrays_zip("rows", "upto")).alias("z"))
+    carry = F.lit(0.0)
+    if (grouped.agg(F.max("block")).first()[0] or 0) > 0:
+        whole = grouped.select(key, F.col("block").alias("place"), F.element_at("upto", -1).alias("m")).select(key, "place", F.col("m.f").alias("factor"), F.col("m.t").alias("term"))
+        before = composed(whole, key, block).select(F.col(key).alias("of"), (F.col("place") + 1).alias("next"), F.col("value").alias("carry"))
+        values = values.join(before, F.col(key).eqNullSafe(F.col("of")) & (F.col("block") == F.col("next")), "left")
+        carry = F.coalesce("carry", F.lit(0.0))
+    return values.select(key, *[F.col(f"z.rows.{c}").alias(c) for c in ("place", "factor", "term", *rest)], (F.col("z.upto.f") * carry + F.col("z.upto.t")).alias("value"))

@@ -118,6 +118,33 @@ def test_ranks_and_totals_over_ranges(spark):
     assert {r.k: r.t for r in order.running_total(df, ["k"], "v", "t").collect()} == want
     assert [r.id for r in order.ranked(df, ["k"], start=10).orderBy("k").collect()] == list(range(11, 111))
     assert order.ranked(df.limit(0), ["k"]).count() == 0
+    assert set(order.ranked(df.withColumnRenamed("v", "_range"), ["k"]).columns) == {"k", "_range", "id"}
+
+
+def test_ranks_over_many_shuffled_partitions(spark, tmp_path):
+    """Wide rows whose ranges adaptive execution coalesces by size, in several files, twice."""
+    n, old = 60_000, spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 8).alias("wide")).repartition(6).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        for _ in range(2):
+            assert order.ranked(rows, ["k"]).where("id <> k + 1").count() == 0
+        total = order.running_total(rows.withColumn("one", F.lit(1)), ["k"], "one", "t")
+        assert total.where("t <> k + 1").count() == 0 and total.count() == n
+        # the signed-rank statistic of pairs over as many ranges
+        pairs = rows.select((F.col("k") * 31 % 10_007 - 4_000).cast("double").alias("a"), F.lit(0.0).alias("b"))
+        d = np.array([r.a for r in pairs.collect()])
+        d = d[d != 0]
+        by = np.argsort(np.abs(d), kind="stable")
+        _, first, count = np.unique(np.abs(d)[by], return_index=True, return_counts=True)
+        rank = np.empty(len(d))
+        rank[by] = np.repeat(first + (count + 1) / 2, count)
+        assert paired_tests(pairs, "a", "b")["wilcoxon"][0] == pytest.approx(min(rank[d > 0].sum(), rank[d < 0].sum()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_filters_see_the_other_clients(spark):
@@ -335,3 +362,17 @@ def test_smoothing_is_the_recursion(spark):
     for v in (9, 1, 4):
         want.append(0.2 * v + 0.8 * want[-1])
     assert got == pytest.approx(want)
+
+
+def test_smoothing_in_blocks_of_blocks(spark):
+    values = [float(k * 7919 % 101) for k in range(700)]
+    df = spark.createDataFrame([(g, k, v) for g in (1, None) for k, v in enumerate(values)] + [(2, 5, None), (2, 6, 1.5)], "g long, k long, v double").repartition(7)
+    got = match.smoothed(df, "g", "k", "v", alpha=0.01).collect()
+    want = [values[0]]
+    for v in values[1:]:
+        want.append(0.01 * v + 0.99 * want[-1])
+    for g in (1, None):
+        assert [r.ema for r in sorted((r for r in got if r.g == g), key=lambda r: r.k)] == pytest.approx(want)
+    assert [(r.k, r.ema) for r in got if r.g == 2] == [(6, 1.5)]
+    few = spark.createDataFrame([(1, k, 0.5, 1.0) for k in range(20)], "g long, place long, factor double, term double")
+    assert max(r.value for r in match.composed(few, "g", block=2).collect()) == pytest.approx(2 - 2 * 0.5**20)
