@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import Scratch
+from .runtime import Scratch, free
 from .text import alphanumeric, fold, span_hashes, steps, utf8, words
 
 NGRAM = 5
@@ -25,6 +25,8 @@ NGRAM = 5
 SHORT = 3
 #: Characters that are words of their own.
 UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+#: All of those characters lie in this range, which is looked for first.
+BEYOND = r"[\x{0e00}-\x{10ffff}]"
 MATCH, OTHER, GAP = 2, -1, -1
 #: n-grams of a block of items, at most; they go to every task.
 BLOCK_GRAMS = 1_000_000
@@ -50,24 +52,25 @@ def _grams(hashes: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 
 def _plain(text: str) -> Column:
     """The text in lower case, with spaces around characters that are words."""
-    return F.regexp_replace(F.lower(text), UNSPACED, " $1 ")
+    low = F.lower(text)
+    return F.when(low.rlike(BEYOND), F.regexp_replace(low, UNSPACED, " $1 ")).otherwise(low)
 
 
 def item_grams(items: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """(item_id, place, n, gram, words, weak): all n-grams of each item, and weak ones of ``SHORT`` words; an item of fewer words has one of its length, one without words none."""
+    """(item, place, n, gram, words, weak): all n-grams of each item, and weak ones of ``SHORT`` words; an item of fewer words has one of its length, one without words none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("item_id").to_pylist()
+            ids = batch.column("item").to_pylist()
             hashes, _, _, of, _ = _word_hashes(batch.column("text"))
             for i, item in enumerate(ids):
                 own = hashes[of == i]
                 for n in sorted({min(ngram, len(own)), min(SHORT, len(own))} - {0}):
                     h, at = _grams(own, np.zeros(len(own), np.int64), n)
                     k = len(h)
-                    yield pa.RecordBatch.from_arrays([pa.array([item] * k, pa.int64()), pa.array(at.astype(np.int32)), pa.array(np.full(k, n, np.int32)), pa.array(h.view(np.int64)), pa.array(np.full(k, len(own), np.int32)), pa.array(np.full(k, n < min(ngram, len(own))))], names=["item_id", "place", "n", "gram", "words", "weak"])
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * k, pa.int64()), pa.array(at.astype(np.int32)), pa.array(np.full(k, n, np.int32)), pa.array(h.view(np.int64)), pa.array(np.full(k, len(own), np.int32)), pa.array(np.full(k, n < min(ngram, len(own))))], names=["item", "place", "n", "gram", "words", "weak"])
 
-    return items.select(F.col("item_id").cast("long").alias("item_id"), _plain("text").alias("text")).mapInArrow(run, "item_id long, place int, n int, gram long, words int, weak boolean")
+    return items.select("item", _plain("text").alias("text")).mapInArrow(run, "item long, place int, n int, gram long, words int, weak boolean")
 
 
 def passages(docs: DataFrame, grams: dict[tuple[int, bool], np.ndarray], pad: int) -> DataFrame:
@@ -163,10 +166,10 @@ def _aligned(least_score: float):
                 if np.isin(item, passage).sum() < least_score * len(item):
                     continue
                 score, begin, end = align(item, passage)
-                out.append((r["doc_id"], r["item_id"], score / (MATCH * len(item)), r["first"] + begin, r["first"] + end))
+                out.append((r["doc_id"], r["item"], score / (MATCH * len(item)), r["first"] + begin, r["first"] + end))
             columns = zip(*out, strict=True) if out else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "first_word", "end_word"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item", "score", "first_word", "end_word"])
 
     return run
 
@@ -176,37 +179,45 @@ def contaminated(docs: DataFrame, items: DataFrame, ngram: int = NGRAM, least_sc
 
     ``score`` is the alignment's score over that of the whole item; the best place of each pair
     counts, the first of equals. A null or wordless text, of a document or an item, matches nothing; repeated rows
-    give one; a null doc_id is a document like others; items that share an id are one row each of the same name;
-    no rows on either side give none.
+    give one; a null doc_id is a document like others, a null item_id an item like others; items of one id and unlike texts are items
+    of their own, a row each; no rows on either side give none; further columns are ignored.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "decontam")
+    # an item is its id and text
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text", F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item")).dropDuplicates(["item"])
     grams = scratch.save(item_grams(items, ngram), "grams")
     n, longest = grams.agg(F.count("*"), F.max("words")).first()
     blocks = -(-n // BLOCK_GRAMS)
     clean = F.regexp_replace(_plain("text"), r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
-    texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.trim(clean).alias("item_words")).where("item_words <> ''").distinct()
+    texts = items.select("item", F.trim(clean).alias("item_words")).where("item_words <> ''")
     found = None
     for b in range(blocks):
-        own = grams.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+        own = grams.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
         held = {k: np.unique(x["gram"].to_numpy(np.int64).view(np.uint64)) for k, x in own.select("n", "weak", "gram").distinct().toPandas().groupby(["n", "weak"])}
         if not held:
             continue
         cut = scratch.save(passages(docs, held, int(longest)).withColumn("key", F.xxhash64("doc_id", "first", "passage")), f"passages-{b}")
         hits = cut.select("key", F.explode("grams").alias("gram")).distinct()
-        met = hits.join(own.select("item_id", "gram", "weak").distinct(), "gram").groupBy("key", "item_id").agg(F.count("*").alias("n"), F.min("weak").alias("weak"))
-        pairs = met.where("n > 1 OR NOT weak").select("key", "item_id")
-        cases = cut.select("key", "doc_id", "first", "passage").distinct().join(pairs, "key").join(texts, "item_id")
-        part = cases.select("doc_id", "first", "passage", "item_id", "item_words").mapInArrow(_aligned(least_score), "doc_id long, item_id long, score double, first_word int, end_word int")
+        met = hits.join(own.select("item", "gram", "weak").distinct(), "gram").groupBy("key", "item").agg(F.count("*").alias("n"), F.min("weak").alias("weak"))
+        pairs = met.where("n > 1 OR NOT weak").select("key", "item")
+        cases = cut.select("key", "doc_id", "first", "passage").distinct().join(pairs, "key").join(texts, "item")
+        part = cases.select("doc_id", "first", "passage", "item", "item_words").mapInArrow(_aligned(least_score), "doc_id long, item long, score double, first_word int, end_word int")
         part = scratch.save(part.where(F.col("score") >= least_score), f"found-{b}")
         found = part if found is None else found.union(part)
     if found is None:
         return spark.createDataFrame([], "doc_id long, item_id long, score double, first_word int, end_word int")
     best = F.max_by(F.struct("score", "first_word", "end_word"), F.struct("score", -F.col("first_word"), -F.col("end_word"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    best_of = found.groupBy("doc_id", "item").agg(best)
+    return best_of.join(items.select("item", "item_id"), "item").select("doc_id", "item_id", "best.*")
 
 
 def remove(docs: DataFrame, items: DataFrame, **settings: float) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows with a null doc_id go where any such row holds one."""
-    bad = contaminated(docs, items, **settings).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the documents that hold an item.
+
+    Rows that repeat stay or go together; rows with a null doc_id go where any such row holds one; nulls and empty texts of documents or
+    items match nothing, so such documents stay; further columns stay as they are; no rows give no rows.
+    """
+    name = free("bad", docs)
+    bad = contaminated(docs, items, **settings).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")

@@ -12,6 +12,7 @@ that each filter's fill predicts, and the largest decides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .runtime import Scratch
 from .text import lower, mix, steps, utf8
 
 NGRAM = 5
@@ -93,23 +95,27 @@ def _counted(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from passed()
 
 
-def fit(docs: DataFrame, least_share: float = 0.1, least_count: int = 3, bits: int = 21) -> Model:
-    """A model of all rows of ``docs`` (text, lang) with a text and a lang.
+def fit(docs: DataFrame, least_share: float = 0.1, least_rate: float = 1e-6, scratch: Scratch | None = None) -> Model:
+    """A model of all rows of ``docs`` (text, lang) with a text and a lang; repeated rows count as often, further columns are ignored.
 
-    All n-grams of all texts are counted in Spark.  What comes to the driver is the filter: ``2 ** bits`` positions
-    at most, whatever the texts are; it is sized for some 2 ** bits / 5 n-grams a language.
+    All n-grams of all texts are counted in Spark.  A language's set has those with a share of ``least_rate`` or more of its
+    text's bytes, so at most 1 / ``least_rate`` of them at any size of the input.  The filter has a power of two of positions, as many as keep the
+    fullest language's at a fill of one half or less; it is what comes to the driver: 64 MB for each 64 languages at most.
     No such rows give a model without languages.
     """
+    scratch = scratch or Scratch(docs.sparkSession, "langid")
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
     counts = known.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total"))
     languages = [x[0] for x in totals.select("lang").orderBy("lang").collect()]
     slices = max(1, -(-len(languages) // 64))
-    rates = counts.join(totals, "lang").withColumn("rate", F.col("n") / F.greatest("total", F.lit(1)))
+    rates = counts.join(totals, "lang").withColumn("rate", F.col("n") / F.greatest("total", F.lit(1))).where(F.col("rate") >= least_rate)
     place = {x: k for k, x in enumerate(languages)}
-    # the languages that hold an n-gram, as (word, bits)
-    by_gram = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate", "n")).alias("uses"))
-    chosen = by_gram.select("gram", F.expr(f"transform(filter(uses, x -> x.rate >= {least_share} * most AND x.n >= {least_count}), x -> x.lang)").alias("langs"))
+    # the languages that hold an n-gram
+    by_gram = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate")).alias("uses"))
+    chosen = scratch.save(by_gram.select("gram", F.expr(f"transform(filter(uses, x -> x.rate >= {least_share} * most), x -> x.lang)").alias("langs")), "chosen")
+    fullest = chosen.select(F.explode("langs").alias("lang")).groupBy("lang").count().agg(F.max("count")).first()[0] or 1
+    bits = max(10, math.ceil(math.log2(HASHES * fullest / math.log(2))))
 
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +130,7 @@ def fit(docs: DataFrame, least_share: float = 0.1, least_count: int = 3, bits: i
                 for position in where:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(use.sum(), s, np.int32)), pa.array(position[use]), pa.array(words[use, s].view(np.int64))], names=["slice", "position", "word"])
 
-    filled = chosen.where("size(langs) > 0").mapInArrow(set_bits, "slice int, position long, word long").groupBy("slice", "position").agg(F.bit_or("word").alias("word"))
+    filled = chosen.mapInArrow(set_bits, "slice int, position long, word long").groupBy("slice", "position").agg(F.bit_or("word").alias("word"))
     words = np.zeros((1 << bits, slices), np.uint64)
     found = filled.toPandas()
     words[found["position"], found["slice"]] = found["word"].to_numpy(np.int64).view(np.uint64)

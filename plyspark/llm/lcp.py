@@ -120,31 +120,43 @@ def fingerprints(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
 _LEAST = -(1 << 63)
 
 
-def with_next(docs: DataFrame, rows_of_range: int = 4096, most_ranges: int = 10_000) -> DataFrame:
-    """``docs`` (doc_id, text) laid out by ascending doc_id in ranges: (r, look, o, h, doc_id, text).
+def _range_of(bounds: np.ndarray, o: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The last of ``bounds``, rows (o, h) in order, that isn't after each row."""
+    low, high = np.searchsorted(bounds[:, 0], o, "left"), np.searchsorted(bounds[:, 0], o, "right")
+    found = high - 1
+    for k in np.flatnonzero(high > low):  # a bound has the same id
+        found[k] = low[k] + np.searchsorted(bounds[low[k] : high[k], 1], h[k], "right") - 1
+    return found
+
+
+def with_next(docs: DataFrame, rows_of_range: int = 8192) -> DataFrame:
+    """``docs`` (doc_id, text) laid out by ascending doc_id in ranges, one to a partition: (r, look, o, h, doc_id, text).
 
     Range r's rows with look 0 are its own; its first row with look 1, if sorted by o and h, is the row after
     the last of them, from the next range or, after the last range, from the first.  Nulls come first; rows
-    of equal doc_id are ordered by the text's hash.  Only the ranges' least ids, ``most_ranges`` at most, come to the driver.
+    of equal doc_id are ordered by the text's hash.  The ranges' least ids, 16 bytes for each ``rows_of_range`` rows, come to the driver and go to the tasks.
     """
-    ordered = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("o"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("o"))
-    ranges = max(1, min(most_ranges, ids.count() // rows_of_range))
-    least = ids.repartitionByRange(ranges, "o").groupBy(F.spark_partition_id().alias("p")).agg(F.min("o").alias("o")).collect()
-    bounds = np.unique(np.array([x["o"] for x in least], np.int64))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("o")
+    ordered = docs.select(key, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    ids = ordered.select("o", "h")
+    ranges = max(1, -(-ids.count() // rows_of_range))
+    least = ids.repartitionByRange(ranges, "o", "h").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("o", "h")).alias("x")).select("x.*").collect()
+    bounds = np.array(sorted({(x["o"], x["h"]) for x in least}), np.int64).reshape(-1, 2)
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = shared.value
         for batch in batches:
-            o = batch.column("o").to_numpy()
-            r = np.searchsorted(bounds, o, "right") - 1
-            copies = np.flatnonzero(bounds[r] == o)
+            o, h = batch.column("o").to_numpy(), batch.column("h").to_numpy()
+            r = np.maximum(_range_of(bounds, o, h), 0)
+            copies = np.flatnonzero((bounds[r, 0] == o) & (bounds[r, 1] == h))
             yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(np.zeros(len(o), np.int8)), *batch.columns], names=["r", "look", *batch.schema.names])
             if len(copies):
                 part = batch.take(pa.array(copies))
                 yield pa.RecordBatch.from_arrays([pa.array((r[copies] - 1) % len(bounds)), pa.array(np.ones(len(copies), np.int8)), *part.columns], names=["r", "look", *batch.schema.names])
 
-    dealt = ordered.withColumn("h", F.xxhash64("text")).select("o", "h", "doc_id", "text").mapInArrow(deal, "r long, look byte, o long, h long, doc_id long, text string")
-    return dealt.repartition(max(1, len(bounds)), "r").sortWithinPartitions("r", "look", "o", "h")
+    dealt = ordered.select("o", "h", "doc_id", "text").mapInArrow(deal, "r long, look byte, o long, h long, doc_id long, text string")
+    return dealt.repartitionById(max(1, len(bounds)), F.col("r").cast("int")).sortWithinPartitions("r", "look", "o", "h")
 
 
 def neighbours(docs: DataFrame, levels: int = LEVELS) -> DataFrame:

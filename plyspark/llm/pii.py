@@ -3,14 +3,16 @@
 Spans of four fixed kinds are the seeds.  The words around a seed induce lexical
 patterns (word before, word after, both); each round scores patterns by the
 confidence of the values they surround and values by their patterns, over the
-graph of pattern-value edges.  Patterns of high confidence mark identifiers
-(tokens with three digits or more) that no fixed pattern matches.  Everything
-is DataFrame functions; expressions are possessive where a plain form would take
-quadratic time on long runs.
+graph of pattern-value edges.  Patterns of high confidence mark identifiers that no fixed pattern matches: addresses
+written with "at" and "dot", handles and dotted names, numbers in several parts, and tokens with three digits
+or more.  Everything is DataFrame functions; expressions are possessive and begin at word starts where a plain form would take
+quadratic time on long runs or a stack frame for each repeat.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,22 @@ from .spans import all_matches, joined, located
 
 KINDS = ["email", "ip", "card", "phone"]
 ALL_KINDS = [*KINDS, *[f"context_{k}" for k in KINDS]]
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<![A-Za-z0-9_+@-])[A-Za-z_+@-]*+[0-9][A-Za-z0-9_+@-]*+"
+_WORD = r"(?<![A-Za-z0-9_+@.-])"
+_NAME, _HOST = r"[A-Za-z0-9_+-]++(?:\.[A-Za-z0-9_+-]++)*+", "[A-Za-z0-9-]++"
+_AT = r"(?:\x20?[(\[]\x20?(?i:at)\x20?[)\]]\x20?|\x20(?i:at)\x20)"
+_DOT = r"(?:(?:\x20?[(\[]\x20?(?i:dot)\x20?[)\]]\x20?|\x20(?i:dot)\x20|\.)" + _HOST + ")"
+#: Unseen identifiers: an address in words, a dotted or underscored name or handle, a number in parts, a token with a digit.
+TOKEN = "|".join([
+    _WORD + _NAME + _AT + _HOST + _DOT + "++",
+    _WORD + r"(?=[A-Za-z][A-Za-z+-]*+[0-9._])" + _NAME + _AT + _HOST,
+    _WORD + r"@?[A-Za-z]++(?:[._][A-Za-z]++)++(?![A-Za-z0-9_+@-])",
+    _WORD + r"[+(]?[0-9]++(?:[\x20().-]{1,2}[0-9]++)*+(?![A-Za-z0-9_+@])",
+    r"(?<![A-Za-z0-9_+@-])[A-Za-z_+@-]*+[0-9][A-Za-z0-9_+@-]*+",
+])
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
 
@@ -36,15 +49,31 @@ def _luhn(value: str) -> str:
     return f"""aggregate(transform(split(reverse({_digits(value)}), ''), (c, i) -> CASE WHEN c = '' THEN 0 WHEN i % 2 = 1 THEN cast({doubled} AS int) ELSE cast(c AS int) END), 0, (a, x) -> a + x) % 10 = 0"""
 
 
+#: Windows in which the words around a span are looked for; a word that the first cuts is looked for in the second. A word that isn't
+#: whole within the second, by its length or by what lies between, is no context. Long words stand as their hash.
+WINDOWS, LONG_WORD = (64, 4096), 64
+
+
+def _nearest(near: str, far: str, found: str, unsure: str) -> str:
+    """SQL: the word next to a span, from the window ``near`` or, if that doesn't hold it whole, from ``far``."""
+    more = lambda text, size: f"length({text}) > {size} AND {text} RLIKE '{unsure}'"
+    word = lambda text: f"lower(regexp_extract({text}, '{found}', 1))"
+    case = f"CASE WHEN NOT (length({far}) > {WINDOWS[0]} AND {near} RLIKE '{unsure}') THEN {word(near)} WHEN {more(far, WINDOWS[1])} THEN '' ELSE {word(far)} END"
+    return f"transform(array({case}), w -> CASE WHEN length(w) > {LONG_WORD} THEN concat('#', hex(xxhash64(w))) ELSE w END)[0]"
+
+
 def _context(text: str, array: str) -> str:
-    """SQL: spans of ``array`` with the lower-case word before (b) and after (a) each, '' at an end, looked for within 64 characters."""
-    before = f"lower(regexp_extract(substring({text}, greatest(1, x.s - 63), least(64, x.s)), '([^\\\\s]+)\\\\s*$', 1))"
-    after = f"lower(regexp_extract(substring({text}, x.e + 1, 64), '^\\\\s*([^\\\\s]+)', 1))"
-    return f"transform({array}, x -> struct(x.k AS k, x.s AS s, x.e AS e, x.v AS v, {before} AS b, {after} AS a))"
+    """SQL: spans of ``array`` with the lower-case word before (b) and after (a) each, '' at an end or where it is beyond the windows; marks without a letter or digit aren't words."""
+    first, most = WINDOWS
+    # one character more than the window tells whether there is more
+    p, q = f"substring({text}, greatest(1, x.s - {most}), least({most + 1}, x.s))", f"substring({text}, x.e + 1, {most + 1})"
+    b = _nearest(f"substring(z.p, -{first})", "z.p", r"(?<!\\S)([^\\p{L}\\p{N}\\s]*+[\\p{L}\\p{N}]\\S*+)[^\\p{L}\\p{N}]*+$", r"^\\S*+[^\\p{L}\\p{N}]*+$")
+    a = _nearest(f"substring(z.q, 1, {first})", "z.q", r"^[^\\p{L}\\p{N}]*+(\\S++)", r"^[^\\p{L}\\p{N}]*+\\S*+$")
+    return f"transform({array}, x -> transform(array(struct({p} AS p, {q} AS q)), z -> struct(x.k AS k, x.s AS s, x.e AS e, x.v AS v, {b} AS b, {a} AS a))[0])"
 
 
 def located_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, base, tokens) of each row: base spans and other tokens with digits, as arrays of
+    """(doc_id, text_hash, base, tokens) of each row: base spans and other candidates, as arrays of
     (k, s, e, v, b, a): kind in KINDS (-1 for tokens), begin, end, value, the words before and after."""
     step = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_t"))
     names = ("_e", EMAIL), ("_i", IP), ("_c", CARD), ("_p", PHONE), ("_x", TOKEN)
@@ -64,7 +93,7 @@ def located_spans(docs: DataFrame) -> DataFrame:
     }
     base = ", ".join(f"transform(filter({c}, x -> {rule}), x -> struct({k} AS k, x.s AS s, x.e AS e, x.v AS v))" for k, (c, rule) in enumerate(holds.items()))
     step = step.withColumn("_b", F.expr(f"array_sort(concat({base}))"))
-    step = step.withColumn("_x", F.expr(f"transform(filter(_x, x -> {n} >= 3 AND NOT exists(_b, b -> b.s < x.e AND x.s < b.e)), x -> struct(-1 AS k, x.s AS s, x.e AS e, x.v AS v))"))
+    step = step.withColumn("_x", F.expr(f"transform(filter(_x, x -> ({n} >= 3 OR x.v RLIKE '^@|[A-Za-z][._]|[^A-Za-z0-9](?i:at)[^A-Za-z0-9]') AND NOT exists(_b, b -> b.s < x.e AND x.s < b.e)), x -> struct(-1 AS k, x.s AS s, x.e AS e, x.v AS v))"))
     return step.select("doc_id", F.xxhash64("_t").alias("text_hash"), F.expr(_context("_t", "_b")).alias("base"), F.expr(_context("_t", "_x")).alias("tokens"))
 
 

@@ -5,8 +5,7 @@ slide by ``STRIDE``.  Responses are max-pooled over chunks of ``CHUNK`` bytes th
 overlap by half and cover the whole document; a document's features are the
 mean, the maximum and the minimum of its chunks, and a logistic layer makes one
 probability of them.  Training takes a bounded sample of labelled documents
-(``most_rows`` of them, ``most_chunks`` chunks spread evenly over each); scores
-always read every chunk.
+(``most_rows`` of them); training and scores read every chunk of a text.
 """
 
 from __future__ import annotations
@@ -53,16 +52,20 @@ def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return codes, starts
 
 
+def _responses(embed: np.ndarray, filters: np.ndarray, view: np.ndarray, halves: int, step: int = 256) -> Iterator[tuple[int, np.ndarray]]:
+    """Responses of all filters in half chunks, ``step`` of them at a time."""
+    for at in range(0, halves, step):
+        part = view[at * HALF : min(at + step, halves) * HALF]
+        yield at, (embed[part].reshape(len(part), WINDOW * EMBED) @ filters).reshape(-1, HALF, FILTERS)
+
+
 def features(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Documents x 3 * FILTERS."""
     codes, starts = _padded(data, offsets)
     view = _windows(codes)[: starts[-1] * HALF]
     halves = np.empty((starts[-1], FILTERS), np.float32)
-    step = 256
-    for at in range(0, starts[-1], step):
-        part = view[at * HALF : min(at + step, starts[-1]) * HALF]
-        x = model.embed[part].reshape(len(part), WINDOW * EMBED) @ model.filters
-        halves[at : at + step] = x.reshape(-1, HALF, FILTERS).max(axis=1)
+    for at, x in _responses(model.embed, model.filters, view, starts[-1]):
+        halves[at : at + len(x)] = x.max(axis=1)
     halves = np.maximum(halves + model.bias, 0)
     chunks = np.maximum(halves[:-1], halves[1:])
     chunks = np.vstack([chunks, np.zeros((1, FILTERS), np.float32)])
@@ -83,8 +86,8 @@ def probability(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Model:
-    """Adam on the log loss; both classes weigh the same.  Without texts of both classes, the share of label 1 is all it learns."""
+def train(texts: list[bytes], labels: np.ndarray, updates: int = 1536, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Model:
+    """Adam on the log loss in ``updates`` steps, however many texts there are; both classes weigh the same.  Without texts of both classes, the share of label 1 is all it learns."""
     rng = np.random.default_rng(seed)
     model = Model(
         rng.normal(0, 0.5, (257, EMBED)).astype(np.float32),
@@ -102,23 +105,22 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int =
         return model
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     tensors = [model.embed, model.filters, model.bias, model.weights, np.zeros(1, np.float32)]
-    first, second, tick = [np.zeros_like(t) for t in tensors], [np.zeros_like(t) for t in tensors], 0
-    epochs = max(epochs, min(120, 30_000 // len(labels)))
-    for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
-            seen = [_cropped(texts[r], rng) if labels[r] == 1 else texts[r] for r in rows]
-            data = np.frombuffer(b"".join(seen), np.uint8)
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in seen])))
-            grads = _gradients(tensors, data, offsets, labels[rows], weight[rows])
-            tick += 1
-            now = rate * (1 - 0.9 * epoch / epochs)
-            for t, g, m, v in zip(tensors, grads, first, second, strict=True):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                t -= now * (m / (1 - 0.9**tick)) / (np.sqrt(v / (1 - 0.999**tick)) + 1e-8)
-            tensors[0][256] = 0
+    first, second = [np.zeros_like(t) for t in tensors], [np.zeros_like(t) for t in tensors]
+    order = np.zeros(0, np.int64)
+    for tick in range(1, updates + 1):
+        while len(order) < batch:
+            order = np.concatenate([order, rng.permutation(len(texts))])
+        rows, order = order[:batch], order[batch:]
+        seen = [_cropped(texts[r], rng) if labels[r] == 1 else texts[r] for r in rows]
+        data = np.frombuffer(b"".join(seen), np.uint8)
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in seen])))
+        grads = _gradients(tensors, data, offsets, labels[rows], weight[rows])
+        now = rate * (1 - 0.9 * tick / updates)
+        for t, g, m, v in zip(tensors, grads, first, second, strict=True):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            t -= now * (m / (1 - 0.9**tick)) / (np.sqrt(v / (1 - 0.999**tick)) + 1e-8)
+        tensors[0][256] = 0
     model.intercept = float(tensors[4][0])
     return model
 
@@ -135,10 +137,11 @@ def _gradients(tensors: list[np.ndarray], data: np.ndarray, offsets: np.ndarray,
     embed, filters, bias, weights, intercept = tensors
     codes, starts = _padded(data, offsets)
     view = _windows(codes)[: starts[-1] * HALF]
-    flat = embed[view].reshape(len(view), WINDOW * EMBED)
-    x = (flat @ filters).reshape(starts[-1], HALF, FILTERS)
-    where = x.argmax(axis=1)
-    halves = np.take_along_axis(x, where[:, None, :], 1)[:, 0] + bias
+    where, halves = np.empty((starts[-1], FILTERS), np.int64), np.empty((starts[-1], FILTERS), np.float32)
+    for at, x in _responses(embed, filters, view, starts[-1]):
+        where[at : at + len(x)] = x.argmax(axis=1)
+        halves[at : at + len(x)] = x.max(axis=1)
+    halves += bias
     live = halves > 0
     halves = np.where(live, halves, 0)
     docs = len(starts) - 1
@@ -167,44 +170,28 @@ def _gradients(tensors: list[np.ndarray], data: np.ndarray, offsets: np.ndarray,
     for f in range(FILTERS):
         use = np.flatnonzero(g_halves[:, f])
         g, p = g_halves[use, f], position[use, f]
-        g_filters[:, f] = flat[p].T @ g
+        g_filters[:, f] = embed[view[p]].reshape(len(p), WINDOW * EMBED).T @ g
         np.add.at(g_embed, view[p].ravel(), (g[:, None] * filters[:, f]).reshape(-1, EMBED))
     return [g_embed, g_filters, g_halves.sum(axis=0), g_weights.astype(np.float32), np.array([error.sum()], np.float32)]
 
 
-def spread_chunks(text: bytes, most_chunks: int) -> bytes:
-    """The whole text, or ``most_chunks`` chunks spread evenly over it."""
-    if len(text) <= most_chunks * CHUNK:
-        return text
-    starts = np.linspace(0, len(text) - CHUNK, most_chunks).astype(int)
-    return b"".join(text[s : s + CHUNK] for s in starts)
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 4096, most_chunks: int = 32) -> pd.DataFrame:
-    """At most ``most_rows`` training rows (text, label), those with the least hash of their id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 4096) -> pd.DataFrame:
+    """At most ``most_rows`` training rows (text, label), whole texts: those with the least hash of id and text.
 
-    ``docs`` has the ids that may be learned from; an id that is labelled twice counts with
-    its greatest label, null labels and ids not at all.
+    ``docs`` has the rows that may be learned from; an id that is labelled twice counts with
+    its greatest label, null labels and ids not at all; repeated rows count once.
     """
     known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").join(known, "doc_id").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [spread_chunks((x.as_py() or "").encode(), most_chunks) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()), batch.column(2)], names=["doc_id", "text", "label"])
-
-    found = rows.select("doc_id", "text", "label").mapInArrow(cut, "doc_id long, text binary, label int").toPandas()
-    found["key"] = found["text"].map(bytes)
-    return found.sort_values(["doc_id", "key"], ignore_index=True).head(2 * most_rows)
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("h"))
+    chosen = rows.select("doc_id", "h").join(known, "doc_id").distinct().orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h").limit(most_rows)
+    found = rows.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).toPandas()
+    return found.sort_values(["doc_id", "h"], ignore_index=True)[["text", "label"]]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 4096, most_chunks: int = 32) -> Model:
-    """A model of ``labels`` (doc_id, label 0 or 1), trained on the driver from a bounded sample."""
-    found = labelled_sample(docs, labels, label, most_rows, most_chunks)
-    return train(found["key"].tolist(), found["label"].to_numpy(np.int64))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 4096) -> Model:
+    """A model of ``labels`` (doc_id, label 0 or 1), trained on the driver from at most ``most_rows`` labelled documents, each read whole."""
+    found = labelled_sample(docs, labels, label, most_rows)
+    return train([t.encode() for t in found["text"]], found["label"].to_numpy(np.int64))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

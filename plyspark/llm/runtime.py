@@ -8,29 +8,15 @@ the master is local.
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_OWN: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a fresh local one in local mode."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _OWN:
-        _OWN.append(tempfile.mkdtemp(prefix="plyspark-"))
-        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
-    return _OWN[0]
+from ..scratch import free, shared_dir
 
+__all__ = ["Scratch", "delete", "file_system", "free", "hadoop_path", "shared_dir", "table", "whole_row"]
 
 class Scratch:
     """Parquet tables of one run of an operator, below the shared folder."""
@@ -63,5 +49,10 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system(spark, path).delete(hadoop_path(spark, path), True)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that an operator's own columns clash with none of them; ``select("row.*")`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -14,6 +14,7 @@ import string
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import whole_row
 from .spans import all_matches, apart, joined, located
 
 KINDS = ["assign", "access", "hex", "markov"]
@@ -81,8 +82,7 @@ def scan(docs: DataFrame, model: list[float], threshold: float = 0.4) -> DataFra
     of ``docs`` called base or found is replaced.
     """
     kept = docs.drop("base", "found")
-    own = [c for c in kept.columns]
-    step = kept.withColumn("_t", F.coalesce("text", F.lit("")))
+    step = kept.select(whole_row(kept), F.coalesce("text", F.lit("")).alias("_t"))
     for name, regex in (("_a", ASSIGN), ("_k", ACCESS), ("_h", HEX), ("_m", TOKEN)):
         step = step.withColumn(name, all_matches("_t", regex))
     step = step.withColumn("_g", F.expr("CASE WHEN size(_a) = 0 THEN cast(array() AS array<string>) ELSE regexp_extract_all(_t, '" + ASSIGN.replace("\\", "\\\\").replace("'", "\\'") + "', 2) END"))
@@ -96,7 +96,7 @@ def scan(docs: DataFrame, model: list[float], threshold: float = 0.4) -> DataFra
     step = step.withColumn("_m", F.when(F.expr("exists(_high, x -> x)"), located("_t", "_m", TOKEN)).otherwise(F.expr("cast(array() AS array<struct<s:int,e:int,v:string>>)")))
     step = step.withColumn("_m", F.expr("filter(_m, (x, i) -> _high[i])"))
     step = step.withColumn("_m", apart("_m", "base")).withColumn("found", F.expr(of("_m", 3)))
-    return step.select(*own, "base", "found")
+    return step.select("row.*", "base", "found")
 
 
 def digest(scanned: DataFrame) -> DataFrame:

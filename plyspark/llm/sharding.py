@@ -19,7 +19,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import delete, file_system, hadoop_path
+from .runtime import delete, file_system, free, hadoop_path
 
 CODEC = "zstd"
 
@@ -70,8 +70,9 @@ class ShardStore:
         fs.mkdirs(to.getParent())
         out = fs.create(aside, False)
         try:
-            for shard in shards:
-                out.write(bytearray((json.dumps(asdict(shard)) + "\n").encode()))
+            lines = [json.dumps(asdict(shard)) + "\n" for shard in shards]
+            for k in range(0, len(lines), 10_000):
+                out.write(bytearray("".join(lines[k : k + 10_000]).encode()))
         finally:
             out.close()
         rename = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
@@ -127,7 +128,7 @@ class ShardStore:
         return tiers[full[0]] if full else []
 
     def compact(self) -> int:
-        """Merges until no tier is due; the last version. Each merge is one commit."""
+        """Merges until no tier is due; the last version. Each merge is one commit. Rows stay as they are, repeated and null ones too; a store without shards stays at version 0."""
         version = (self.versions() or [0])[-1]
         while version and (chosen := self.due(live := self.manifest(version))):
             total = sum(s.bytes for s in chosen)
@@ -151,16 +152,18 @@ class ShardStore:
             delete(self.spark, f"{self.root}/manifest/v{v:09d}")
 
     def read(self, version: int | None = None, with_shard: bool = False) -> DataFrame | None:
-        """The rows of a version; None where it has no shard. ``with_shard`` adds shard_id, shard_bytes and shard_level."""
+        """The rows of a version; None where it has no shard. ``with_shard`` adds shard_id, shard_bytes and shard_level, each with underscores before it where the rows have such a column."""
         live = self.manifest(version)
         if not live:
             return None
         df = self.spark.read.parquet(*[s.path for s in live])
         if not with_shard:
             return df
-        names = self.spark.createDataFrame([(s.path.rsplit("/", 2)[-2] + "/" + s.path.rsplit("/", 1)[-1], s.shard_id, s.bytes, s.level) for s in live], "_f string, shard_id long, shard_bytes long, shard_level int")
+        key, *own = (free(c, df) for c in ("shard_file", "shard_id", "shard_bytes", "shard_level"))
+        names = self.spark.createDataFrame([(s.path.rsplit("/", 2)[-2] + "/" + s.path.rsplit("/", 1)[-1], s.shard_id, s.bytes, s.level) for s in live], "{} string, {} long, {} long, {} int".format(key, *own))
         file = F.regexp_extract(F.input_file_name(), "([^/]+/[^/]+)$", 1)
-        return df.withColumn("_f", file).join(F.broadcast(names) if len(live) <= 100_000 else names, "_f").drop("_f")
+        # a small line for each shard: broadcast while they are under some 10 MB
+        return df.withColumn(key, file).join(F.broadcast(names) if len(live) <= 100_000 else names, key).drop(key)
 
 
 def shard(docs: DataFrame, root: str, arrivals: int = 4, part_of: Callable[[], F.Column] | None = None, **settings: int) -> ShardStore:
@@ -174,10 +177,11 @@ def shard(docs: DataFrame, root: str, arrivals: int = 4, part_of: Callable[[], F
     store = ShardStore(spark, root, **settings)
     column = part_of() if part_of else F.pmod(F.xxhash64(*docs.columns), F.lit(arrivals)).cast("int")
     staged = f"{store.root}/arrivals/{uuid.uuid4().hex}"
-    docs.withColumn("_arrival", column).write.option("compression", CODEC).partitionBy("_arrival").parquet(staged)
+    name = free("arrival", docs)
+    docs.withColumn(name, column).write.option("compression", CODEC).partitionBy(name).parquet(staged)
     fs = file_system(spark, staged)
     version, live = (store.versions() or [0])[-1], store.manifest()
-    folders = sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path(spark, staged)) if s.isDirectory() and "_arrival=" in s.getPath().getName())
+    folders = sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path(spark, staged)) if s.isDirectory() and f"{name}=" in s.getPath().getName())
     if not folders:
         store.append(docs.limit(0))
         return store

@@ -19,6 +19,7 @@ all pairs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,22 +35,38 @@ from .shingles import similar
 SEGMENTS = 16
 WIDTH = 64 // SEGMENTS
 SEED = 42
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _majority(hashes: np.ndarray) -> int:
-    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    ones = bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
+#: Bytes of a text whose shingles are hashed, and hashes whose bits are added up, at a time.
+TEXT_BLOCK, HASH_BLOCK = 1 << 20, 1 << 16
+
+
+def _words(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in blocks; a word of any length is in one of them."""
+    at = 0
+    while at < len(data):
+        cut = SPACE.search(data, at + TEXT_BLOCK)
+        to = cut.start() if cut else len(data)
+        yield data[at:to].split()
+        at = to
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
-    """The unsigned fingerprint; a text without words has zero."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    digest = xxhash.xxh64_intdigest
-    return _majority(np.fromiter((digest(b" ".join(words[i : i + shingle]), SEED) for i in range(n)), np.uint64, n))
+    """The unsigned fingerprint: of each bit, whether over half the shingles' hashes have it; a text without words has zero."""
+    digest, ones, n, before, short = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, [], []
+    for block in _words((text or "").encode().lower()):
+        words = before + block
+        many = len(words) - shingle + 1
+        for at in range(0, many, HASH_BLOCK):
+            hashes = np.fromiter((digest(b" ".join(words[i : i + shingle]), SEED) for i in range(at, min(at + HASH_BLOCK, many))), ">u8")
+            ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += max(0, many)
+        before = words[-(shingle - 1) :] if shingle > 1 else []
+        short = words
+    if n == 0:
+        return digest(b" ".join(short), SEED) if short else 0
+    return int(np.packbits(2 * ones > n).view(">u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -1,8 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, source string, lang string, fp long, score double, base string, copies int"
+#: Names that operators and stages might use for columns of their own.
+CLASHING = ["_a", "_t", "_k", "_h", "_m", "_size", "_arrival", "arrival", "shard_id", "shard_file", "_bad", "bad", "_quality", "quality", "row", "size", "m", "total", "n", "key", "id", "known"]
 
 
 def prose(seed: int, n: int) -> str:
@@ -24,9 +27,13 @@ def odd_rows():
 
 @pytest.fixture
 def odd(spark, odd_rows):
-    return spark.createDataFrame(odd_rows, SCHEMA)
+    return clashing(spark.createDataFrame(odd_rows, SCHEMA))
+
+
+def clashing(df):
+    return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHING)])
 
 
 @pytest.fixture
 def nothing(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return clashing(spark.createDataFrame([], SCHEMA))

@@ -58,6 +58,15 @@ def test_simhash_equals_brute_force(spark, sf_dir, odd, nothing):
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(odd).where("doc_id IS NULL").collect()) == ["30", "None"]
 
 
+def test_fingerprints_in_blocks_of_words(monkeypatch):
+    texts = [prose(1, 5000), "x" * 3000 + " y", "  a\tb  ", "one", "", None, " ".join("ab" for _ in range(999))]
+    for text_block, hash_block in ((64, 7), (1, 1 << 16), (1 << 20, 5)):
+        monkeypatch.setattr(simhash, "TEXT_BLOCK", text_block)
+        monkeypatch.setattr(simhash, "HASH_BLOCK", hash_block)
+        for shingle in (1, 3, 4):
+            assert [simhash.fingerprint(t, shingle) for t in texts] == [brute_fingerprint(t, shingle) for t in texts]
+
+
 @pytest.mark.parametrize("radius", [1, 2])
 @pytest.mark.parametrize("most_group", [2, 64])
 def test_links_connect_all_that_are_near(spark, radius, most_group):
@@ -177,13 +186,47 @@ def test_mix_meets_targets_and_reruns_agree(spark, odd, nothing):
     assert mixing.repeated(nothing, mixing.mix(nothing)).count() == 0
 
 
-def test_tilted_rates_change_the_mean_size(spark):
+def brute_dual(sizes, target, cap):
+    """The root of the words at dual l less the target, by bisection."""
+    x, low, high = sizes / sizes.mean(), -60.0, 60.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if (sizes * np.minimum(cap, np.exp(middle * x))).sum() < target else (low, middle)
+    return low
+
+
+def test_duals_meet_their_targets(spark):
+    rng = np.random.default_rng(3)
+    sizes = {"a": rng.integers(1, 60, 3000), "b": (rng.pareto(1.2, 3000) * 20 + 1).astype(int), "c": np.full(500, 7), "d": np.array([5000] + [1] * 300), None: rng.integers(1, 9, 100)}
+    share = {"a": 0.4, "b": 1.5, "c": 0.9, "d": 0.3, None: 2.0}
+    hist = spark.createDataFrame([(s, int(z), int(n)) for s, own in sizes.items() for z, n in zip(*np.unique(own, return_counts=True), strict=True)], "source string, size long, n long")
+    aims = spark.createDataFrame([(s, float(share[s] * own.sum())) for s, own in sizes.items()], "source string, target double")
+    duals = {r.source: (r.mean, r.dual) for r in mixing.newton_duals(hist, aims, Scratch(spark, "m"), 2.0).collect()}
+    for s, own in sizes.items():
+        mean, dual = duals[s]
+        rates = np.minimum(2.0, np.exp(np.minimum(700, dual * own / mean)))
+        assert mean == pytest.approx(own.mean()) and (own * rates).sum() == pytest.approx(share[s] * own.sum(), rel=1e-6)
+        if share[s] < 2:
+            assert dual == pytest.approx(brute_dual(own.astype(float), share[s] * own.sum(), 2.0), rel=1e-5, abs=1e-6)
+
+
+def test_rates_are_tilted_by_size(spark):
     docs = spark.createDataFrame([(k, "w " * (1 + k % 40), "a") for k in range(4000)], "doc_id long, text string, source string")
-    rows = mixing.mix(docs, share=0.5, mean_size=1.2).collect()
-    taken = [(r.copies, r.size) for r in rows if r.copies]
-    before = np.mean([r.size for r in rows])
-    assert np.average([z for _, z in taken], weights=[k for k, _ in taken]) == pytest.approx(1.2 * before, rel=0.03)
-    assert sum(k * z for k, z in taken) == pytest.approx(0.5 * sum(r.size for r in rows), rel=0.01)
+    for share, longer in ((0.5, False), (1.5, True)):
+        rows = mixing.mix(docs, share=share).collect()
+        by_size = collections.Counter()
+        for r in rows:
+            by_size[r.size] += r.copies
+        assert sum(r.copies * r.size for r in rows) == pytest.approx(share * sum(r.size for r in rows), rel=0.01)
+        rates = [by_size[z] / 100 for z in range(1, 41)]
+        want = np.minimum(2, np.exp(brute_dual(np.repeat(np.arange(1.0, 41), 100), share * 100 * np.arange(1, 41).sum(), 2.0) * np.arange(1, 41) / 20.5))
+        assert rates == pytest.approx(want, abs=0.02 + 1 / 100) and (rates[-1] > rates[0]) == longer
+
+
+def test_repeated_and_wordless_rows_are_dealt_apart(spark):
+    docs = spark.range(3000).selectExpr("7L AS doc_id", "'two words' AS text", "'a' AS source").union(spark.range(3000).selectExpr("id", "''", "'a'"))
+    rows = mixing.mix(docs, share=1.5).collect()
+    assert len(rows) == 6000 and sum(r.copies for r in rows) == 4500 and all(r.copies == 0 for r in rows if not r.size)
 
 
 def test_large_classes_are_dealt_exactly(spark):
@@ -249,6 +292,16 @@ def test_planted_passages_are_found_and_clean_documents_left(spark, odd, nothing
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_items_that_share_an_id_or_have_none_are_all_found(spark):
+    texts = [prose(800 + k, 30) for k in range(4)]
+    items = spark.createDataFrame([(5, texts[0]), (5, texts[1]), (None, texts[2]), (None, texts[3]), (5, texts[0])], "item_id long, text string")
+    docs = [(k, f"{prose(k, 50)} {texts[0] if k < 20 else texts[k - 19]} {prose(100 + k, 50)}") for k in range(23)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect() if r.doc_id < 21) == [(k, 5) for k in range(21)]
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()} == {*((k, 5) for k in range(21)), (21, None), (22, None)}
+    assert decontam.remove(docs, items).count() == 0
+
+
 def test_edited_copies_meet_their_item_beside_verbatim_ones(spark):
     """Every item stands verbatim in one document, and with a word changed in every seventh, fifth, and at random in others: as alignment of all pairs says."""
     rng, docs = random.Random(6), []
@@ -293,6 +346,8 @@ def test_shards_hold_every_row_once(spark, odd, nothing):
     live = store.manifest()
     assert store.due(live) == [] and any(s.level for s in live) and max(s.bytes for s in live) < 2.5 * store.target_bytes
     assert store.read(with_shard=True).select("shard_id").distinct().count() == len([s for s in live if s.bytes])
+    tagged = sharding.shard(odd, Scratch(spark, "s").root).read(with_shard=True)
+    assert tagged.columns == [*odd.columns, "_shard_id", "shard_bytes", "shard_level"] and tagged.select(odd.columns).exceptAll(odd).count() == 0
     for df in (odd, nothing):
         kept = sharding.shard(df, Scratch(spark, "s").root).read()
         assert kept.columns == df.columns and kept.exceptAll(df).count() == df.exceptAll(kept).count() == 0

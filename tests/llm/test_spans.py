@@ -12,6 +12,7 @@ HARD = [
     "deadbeef" * 2000, "tOkEn=xyz123 " * 400, "PASſWD=abcdefgh passwd = 'qqqqqq' AKIA" + "A" * 15, "",
     "a@b.c_d@e.f 1.2.3.4.5.6.7.8 256.1.1.1 000255.1.1.01 +1 (555) 123-4567 4111-1111 1111 1111 +123 1.2.3.4",
     "1234" * 5000, "ab" * 9000 + "@", "1." * 3000 + "a@b.co " * 300, "+1-" * 2000 + "@" * 500, "😀+4915112345678😀é@é.de x@y.z",
+    "x@" + "a." * 100_000 + " y@" + "b-c." * 50_000 + "d", "(" * 5000 + "1234" + ")" * 5000, "7." * 50_000 + "x", "a_" * 50_000 + " at " + "b." * 50_000,
 ]
 
 
@@ -80,3 +81,24 @@ def test_contexts_discover_identifiers(spark):
     assert got[100] == ["context_phone:12:18"] and got[102] == ["context_phone:12:18"]
     assert got[200] == ["context_phone:11:17"] * 2 and got[201] == [""]
     assert all("context" not in s for k in range(30) for s in got[k])
+
+
+def test_contexts_discover_values_of_many_forms(spark):
+    long_word = "w" * 500
+    rows = [(k, f"phone: +1 555 {1000000 + k} ok mail: user{k}@example.org ok {long_word}phone +1 555 {2000000 + k} ok") for k in range(30)]
+    new = {
+        100: ("phone: (555) 123-4567 ok", "context_phone:7:21"), 101: ("phone: 555 123 4567 ok", "context_phone:7:19"), 102: ("mail: jane.doe at corp ok", "context_email:6:22"),
+        103: ("mail: jane at corp dot org ok", "context_email:6:26"), 104: ("mail - ( mail: jane_doe ok", "context_email:15:23"), 105: (f"{long_word}phone \t 555 9876 ok", f"context_phone:{len(long_word) + 8}:{len(long_word) + 16}"),
+        106: ("phone: " + " " * 200 + "555 9876 ok", "context_phone:207:215"), 107: ("no word before 555 9876 here", ""),
+    }
+    docs = spark.createDataFrame(rows + [(k, t) for k, (t, _) in new.items()], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(pii.scan(docs)).collect()}
+    assert {k: got[k] for k in new} == {k: want for k, (_, want) in new.items()}
+
+
+def test_scans_keep_columns_of_any_name(spark, odd):
+    model = secrets.train(secrets.labelled_samples(odd))
+    out = secrets.scan(odd, model)
+    kept = [c for c in odd.columns if c != "base"]
+    assert out.columns == [*kept, "base", "found"]
+    assert sorted(map(str, out.select(kept).collect())) == sorted(map(str, odd.select(kept).collect()))

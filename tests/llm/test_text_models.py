@@ -30,7 +30,7 @@ def test_language_held_out_accuracy_and_odd_rows(spark, sf_dir, odd, nothing):
     held = [r for r in rows if r.held_out]
     assert held and np.mean([truth[r.doc_id] == r.lang_pred for r in held]) >= 0.95
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
-    model = langid.fit(odd, least_count=1)
+    model = langid.fit(odd)
     out = langid.predict(odd, model)
     assert out.count() == odd.count() and [c for c in out.columns if c != "lang_pred"] == [c for c in odd.columns if c != "score"] + ["score"]
     got = {r.doc_id: r.lang_pred for r in out.collect()}
@@ -41,7 +41,7 @@ def test_language_held_out_accuracy_and_odd_rows(spark, sf_dir, odd, nothing):
 
 def test_language_filters_have_no_false_negatives(spark):
     docs = spark.createDataFrame([("abcdefgh " * 5, "a"), ("zyxwvuts " * 5, "b"), ("abcdefgh zyxwvuts " * 5, "c")], "text string, lang string")
-    model = langid.fit(docs, least_count=1)
+    model = langid.fit(docs)
     import pyarrow as pa
 
     grams, of = langid._grams(*utf8(pa.array(["abcdefgh " * 4])))
@@ -49,6 +49,21 @@ def test_language_filters_have_no_false_negatives(spark):
     assert hits[0][0] == total[0] and hits[0][1] < total[0] / 4
 
 
+def test_filter_grows_with_the_sets(spark):
+    """Texts of many distinct n-grams: the fill stays at a half or less, and languages are told apart."""
+    rng = np.random.default_rng(5)
+    word = lambda low: "".join(chr(low + c) for c in rng.integers(0, 20, 7))
+    rows = [(k, " ".join(word(low) for _ in range(3000)), lang) for k in range(6) for low, lang in ((97, "a"), (103, "g"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small, large = langid.fit(docs.where("doc_id = 0").selectExpr("doc_id", "left(text, 2000) AS text", "lang")), langid.fit(docs)
+    assert len(large.words) > 8 * len(small.words)
+    for model in (small, large):
+        assert (model.false_rate <= 0.5**langid.HASHES * 1.01).all()
+    held = [(k, " ".join(word(low) for _ in range(60)), lang) for k in range(20) for low, lang in ((97, "a"), (103, "g"))]
+    found = langid.predict(spark.createDataFrame(held, "doc_id long, text string, lang string"), large).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) >= 0.9
+
+
 def brute_katz(rows, train):
     split = lambda x: (x or "").encode().lower().split() + [None]
     uni, bi, docs = collections.Counter(), collections.Counter(), 0
@@ -133,9 +148,41 @@ def test_quality_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (5, 300, 900, 70_000)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    y, weight = np.array([1, 0, 1, 0]), np.ones(4, np.float32)
+    shapes = [(257, quality.EMBED), (quality.WINDOW * quality.EMBED, quality.FILTERS), (quality.FILTERS,), (3 * quality.FILTERS,), (1,)]
+    tensors = [rng.normal(0, 0.3, s) for s in shapes]
+
+    def loss():
+        model = quality.Model(*tensors[:4], float(tensors[4][0]))
+        z = quality.features(model, data, offsets).astype(np.float64) @ tensors[3] + tensors[4][0]
+        return np.mean(np.log1p(np.exp(np.where(y == 1, -z, z)))) + 0.5e-4 * (tensors[3] ** 2).sum()
+
+    grads = quality._gradients(tensors, data, offsets, y, weight)
+    for t, g in zip(tensors, grads, strict=True):
+        for at in np.argsort(-np.abs(g).ravel())[:3]:
+            step, flat = 1e-4, t.reshape(-1)
+            flat[at] += step
+            up = loss()
+            flat[at] -= 2 * step
+            down = loss()
+            flat[at] += step
+            assert (up - down) / (2 * step) == pytest.approx(g.ravel()[at], rel=0.05, abs=1e-4)
+
+
+def test_quality_sample_is_bounded_and_whole(spark):
+    docs = spark.createDataFrame([(k % 50, f"text {k} " + "x" * 20_000) for k in range(200)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, quality int")
+    found = quality.labelled_sample(docs, labels, most_rows=60)
+    assert len(found) == 60 and found["text"].is_unique and (found["text"].str.len() > 20_000).all()
+
+
 def test_quality_reads_every_chunk_and_odd_rows(spark, odd, nothing):
     clean, junk = b"the quiet river runs along the valley " * 8, b"%%% ### $$$ &&& *** !!! " * 12
-    model = quality.train([clean, junk, clean[7:], junk[5:]] * 8, np.array([1, 0, 1, 0] * 8), epochs=30)
+    model = quality.train([clean, junk, clean[7:], junk[5:]] * 8, np.array([1, 0, 1, 0] * 8), updates=300)
     assert model.embed.shape == (257, quality.EMBED)
     one = lambda t: quality.probability(model, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
     assert one(clean) > 0.9 > 0.1 > one(junk)
