@@ -18,6 +18,10 @@ from ..scratch import free, shared_dir
 
 __all__ = ["Scratch", "delete", "file_system", "free", "hadoop_path", "shared_dir", "table", "whole_row"]
 
+#: Spark's own setting for removing a finished execution's shuffle files.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Parquet tables of one run of an operator, below the shared folder."""
 
@@ -29,7 +33,13 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """``df`` as a table; what its plan shuffled is let go of once it is written, since nothing reads that again."""
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

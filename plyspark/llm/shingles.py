@@ -6,9 +6,9 @@ hold stands early in both (``_may`` says how early), and keying the first fifth
 each text's shingles loses no pair.  The order is by how many texts hold a shingle's bucket, rare ones first, so
 shared passages and templates are keys only of texts that consist of little else.  It decides the work, not the result.
 
-Comparisons run in two rounds: with the least text of each key and size, then between all texts of a key that are in different
-components by then.  So a group of copies isn't expanded into pairs once it is connected, and all
-others are compared.  Each comparison joins the whole texts.
+Comparisons run in three rounds: each text with one other, the least that it shares a key and a size with; with the least of each of
+its keys and sizes; and all texts of a key with each other.  Each round takes only pairs that earlier ones
+haven't connected, so a group of copies isn't expanded into pairs, and all others are compared.  Each comparison joins the whole texts.
 """
 
 from __future__ import annotations
@@ -105,7 +105,7 @@ def _keyed(size: int, least: float, common: np.ndarray):
                 # a set shares at least ``least`` of its own size with any that is alike
                 use = place <= n[of] - np.ceil(least * n[of] - 1e-9)
                 of, columns = of[use], [h[use].view(np.int64), place[use].astype(np.int32), n[of[use]].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(of)), part.column("known").take(pa.array(of)), *map(pa.array, columns)], names=["id", "known", "key", "place", "n"])
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(of)), *map(pa.array, columns)], names=["id", "key", "place", "n"])
 
     return run
 
@@ -139,37 +139,57 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
 
     ``known`` names groups that are connected already: rows of one group aren't compared. Ids are unique. Texts without words have no links.
     """
-    keyed = texts.select("id", "known", "text").mapInArrow(_keyed(size, least, commonness(texts, size)), "id long, known long, key long, place int, n int")
+    keyed = texts.select("id", "text").mapInArrow(_keyed(size, least, commonness(texts, size)), "id long, key long, place int, n int")
     rows = scratch.save(keyed, "keyed")
-    held_twice = rows.groupBy("key").agg(F.min("id").alias("id"), F.max("id").alias("z")).where("id < z").select("key")
-    rows = scratch.save(rows.join(held_twice, "key"), "shared").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int"))
+    twice = rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")  # a text has a key once
+    rows = scratch.save(rows.join(twice, "key"), "shared")
     scratch.drop("keyed")
-    other = lambda df: df.select("key", *[F.col(c).alias(f"{c}_b") for c in df.columns if c != "key"])
-    first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "known", "place", "n")).alias("r")).select("key", "class", "r.*")
-    met = rows.join(first.select("key", "class", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")]), ["key", "class"])
-    ordered = (F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"))
-    pairs = scratch.save(met.where("id <> id_b AND known <> known_b").where(_may(least)).select(*ordered).distinct(), "pairs-0")
-    one = _alike(texts, pairs, scratch, "0", size, least)
-    # groups by now: known ones and links between them
-    groups = rows.select("id", "known").distinct()
-    between = one.join(groups.select(F.col("id").alias("a"), F.col("known").alias("g")), "a").join(groups.select(F.col("id").alias("b"), F.col("known").alias("h")), "b")
-    node = scratch.save(connected_components(between.select(F.col("g").alias("a"), F.col("h").alias("b")), scratch), "nodes")
-    now = rows.drop("class").join(node.withColumnRenamed("node", "known"), "known", "left").withColumn("known", F.coalesce("component", "known")).drop("component")
+    # texts of a key and of like size, with the least of them
+    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int"))
+    first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "place", "n")).alias("r")).select("key", "class", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "place", "n")])
+    met = rows.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).select("id", "id_b").distinct()
+    met = scratch.save(met, "met")
+    groups = texts.select("id", "known")
+    # each with one other first: what that connects needs no more pairs
+    one = _alike(texts, _apart(met.groupBy("id").agg(F.min("id_b").alias("id_b")), groups), scratch, "0", size, least)
+    groups = _joined(groups, one, scratch, "groups-1")
+    two = _alike(texts, _apart(met, groups), scratch, "1", size, least)
+    groups = _joined(groups, two, scratch, "groups-2")
+    now = rows.drop("class").join(groups, "id")
     several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z")).where("g < z").select("key")
     now = scratch.save(now.join(several, "key"), "left")
+    scratch.drop("shared", "met")
     # each text meets all of its key: one side in one part, the other in every part
+    other = now.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")])
     dealt = now.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    every = other(now).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    every = other.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rest = dealt.join(every, ["key", "salt"]).where("id < id_b AND known <> known_b").where(_may(least)).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
-    pairs = scratch.save(rest.join(pairs, ["a", "b"], "left_anti"), "pairs-1")
-    return one.union(_alike(texts, pairs, scratch, "1", size, least))
+    three = _alike(texts, scratch.save(rest, "rest"), scratch, "2", size, least)
+    scratch.drop("left", "rest")
+    return one.union(two).union(three)
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b), in order and once, of the ``pairs`` (id, id_b) whose groups differ."""
+    two = groups.select(F.col("id").alias("id_b"), F.col("known").alias("known_b"))
+    found = pairs.join(groups, "id").join(two, "id_b").where("known <> known_b")
+    return found.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
+
+
+def _joined(groups: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``groups`` (id, known) after ``links`` (a, b) between their members."""
+    of = lambda end, group: groups.select(F.col("id").alias(end), F.col("known").alias(group))
+    between = links.join(of("a", "g"), "a").join(of("b", "h"), "b").select(F.col("g").alias("a"), F.col("h").alias("b"))
+    node = connected_components(between, scratch).withColumnRenamed("node", "known")
+    return scratch.save(groups.join(node, "known", "left").select("id", F.coalesce("component", "known").alias("known")), name)
 
 
 def _alike(texts: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, size: int, least: float) -> DataFrame:
     """The ``pairs`` (a, b) whose texts are alike."""
+    pairs = scratch.save(pairs, f"pairs-{name}")
     held = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     some = scratch.save(texts.select("id", "text").join(held, "id"), f"some-{name}")
     both = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     found = scratch.save(both.mapInArrow(_compared(size, least), "a long, b long"), f"similar-{name}")
-    scratch.drop(f"some-{name}")
+    scratch.drop(f"some-{name}", f"pairs-{name}")
     return found

@@ -159,6 +159,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, scratch:
     rows = scratch.save(fingerprints(docs, shingle), "rows")
     least = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = scratch.save(links(least.select("fp"), scratch, radius), "links")
+    scratch.drop("chains")
     node = connected_components(found, scratch)
     named = least.join(node.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = scratch.save(named, "named")
@@ -186,6 +187,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, words: int = 5,
     by_print = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
     node = connected_components(by_print.union(near), scratch)
     drop = scratch.save(node.where("node <> component").select(F.col("node").alias("doc_id")), "drop")
+    scratch.drop("rows", "distinct", "named", "groups", "texts")
     plain = rows.join(drop, "doc_id", "left_anti")
     twice = scratch.save(plain.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "twice")
     once = plain.join(twice, "doc_id", "left_anti")
