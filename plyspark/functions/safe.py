@@ -88,5 +88,5 @@ def compact(value: Column | str) -> Column:
 
 
 def sample_rows(df, keys: list[str], n: int, seed: int = 42):
-    """``n`` rows of least seeded hash of ``keys``: the same rows on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """``n`` rows of least seeded digest of ``keys``: the same rows on every run, and on any engine."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)

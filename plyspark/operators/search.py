@@ -114,45 +114,58 @@ def outcome_score() -> Column:
 _POSITION_NAMES = {"game_phase": "game_phase", "position_type": "position_type", "pos_tactical": "position_tactical_score", "pos_positional": "position_positional_score", "pos_endgame": "position_endgame_score", "balance": "position_balance"}
 
 
+def search_features(searches: DataFrame) -> DataFrame:
+    """What a search row gives by itself, without a join: its counters under the names of reports, ratios, and how its move and evaluation compare."""
+    c = lambda name, alias: F.col(name).alias(alias)
+    total = F.col("nodes") + F.col("qnodes")
+    depths = F.greatest(F.lit(1), 1 + F.col("depth") - FIRST_ASPIRATION_DEPTH)
+    rank = move_rank(F.col("move"), F.col("sf_pv"))
+    first = move_rank(F.col("move"), F.col("sf_pv"), 1)
+    counted = ["tt_stores", "tt_hits", "fail_highs", "fail_high_researches", "fail_low_researches", *[f"fh_index_{b}" for b in FH_BUCKETS], "see_prunes", "delta_prunes", "nmp", "tt_overwritten"]
+    return searches.select(
+        c("id", "search_id"), "fen", "ply", "engine_id", "game_id", "sts_id",
+        c("time_ms", "total_time_ms"), c("eval", "final_eval"), c("move", "best_move"), "move", "principal_variation", "completed_depth", c("depth", "max_depth"), c("qdepth", "max_qdepth"),
+        c("nodes", "total_internal_nodes"), c("qnodes", "total_qnodes"), total.alias("total_nodes"), *[c(x, f"total_{x}") for x in counted], c("fail_lows", "total_fail_low"),
+        c("nmp_failhigh", "total_nmp_fail"), c("nmp_failhigh", "total_nmp_failhigh"), "tt_hits", "fail_highs", "sf_eval", "sf_best_move", "sf_pv", "eval", "depth",
+        (F.col("eval") - F.col("sf_eval")).alias("eval_diff"), rank.alias("engine_move_rank"),
+        F.when(F.col("move").isNull() | F.col("sf_pv").isNull(), None).otherwise(F.coalesce(first, F.lit(0)).cast("int")).alias("best_move_match"),
+        ratio(total, F.col("time_ms") / 1000).alias("nps"), ratio("qnodes", total).alias("qratio"), ratio("tt_hits", total).alias("tt_hit_ratio"), ratio("tt_stores", total).alias("tt_store_ratio"),
+        ratio("fail_highs", total).alias("fail_high_ratio"), ratio("fail_lows", total).alias("fail_low_ratio"), *[ratio_not_one(f"fh_index_{b}", "fail_highs").alias(f"fh_index_{b}_ratio") for b in FH_BUCKETS],
+        ratio("fail_high_researches", depths).alias("fail_high_researches_per_depth"), ratio("fail_low_researches", depths).alias("fail_low_researches_per_depth"),
+        ratio("nmp", total).alias("nmp_ratio"), ratio("nmp_failhigh", "nmp").alias("nmp_failhigh_ratio"),
+    )
+
+
+def with_positions(rows: DataFrame, positions: DataFrame) -> DataFrame:
+    """Search rows with what their position gives, under the names of reports."""
+    names = {x: _POSITION_NAMES.get(x, f"position_{x}") for x in positions.columns if x not in ("search_id", "game_id", "fen")}
+    own = positions.select(F.col("search_id").alias("of_search"), F.col("position_type").alias("pos_label"), *[F.col(x).alias(n) for x, n in names.items()])
+    return rows.join(own, F.col("search_id") == F.col("of_search"), "left").drop("of_search")
+
+
 def wide_features(searches: DataFrame, iteration_features: DataFrame, timings: DataFrame, positions: DataFrame, engines: DataFrame, games: DataFrame, suites: DataFrame, after: int | None = None) -> DataFrame:
     """One wide row for each search: the engine, game and suite it is of, its counters and ratios, and what its iterations, timings and position give.
 
     Children are aggregated to one row for each search before they are joined. With ``after``, every branch is cut to later searches first.
+    Reports that need less than all of this read ``search_features`` and join what they need.
     """
     cut = lambda df, key: df if after is None else df.where(F.col(key) > after)
     rollup = iteration_rollup(cut(iteration_features, "search_id"))
     times = pivoted_timings(cut(timings, "search_id"))
-    s = cut(searches, "id").alias("s")
+    s = with_positions(search_features(cut(searches, "id")), cut(positions, "search_id")).alias("s")
     joined = (
-        s.join(rollup.alias("i"), F.col("s.id") == F.col("i.search_id"), "left")
-        .join(times.alias("t"), F.col("s.id") == F.col("t.search_id"), "left")
-        .join(cut(positions, "search_id").alias("p"), F.col("s.id") == F.col("p.search_id"), "left")
+        s.join(rollup.alias("i"), F.col("s.search_id") == F.col("i.search_id"), "left")
+        .join(times.alias("t"), F.col("s.search_id") == F.col("t.search_id"), "left")
         .join(engines.alias("e"), F.col("s.engine_id") == F.col("e.id"), "left")
         .join(games.alias("g"), F.col("s.game_id") == F.col("g.id"), "left")
         .join(suites.alias("u"), F.col("s.sts_id") == F.col("u.id"), "left")
     )
     c = lambda name, alias: F.col(name).alias(alias)
-    total = F.col("s.nodes") + F.col("s.qnodes")
-    depths = F.greatest(F.lit(1), 1 + F.col("s.depth") - FIRST_ASPIRATION_DEPTH)
-    rank = move_rank(F.col("s.move"), F.col("s.sf_pv"))
-    first = move_rank(F.col("s.move"), F.col("s.sf_pv"), 1)
-    counted = ["tt_stores", "tt_hits", "fail_highs", "fail_high_researches", "fail_low_researches", *[f"fh_index_{b}" for b in FH_BUCKETS], "see_prunes", "delta_prunes", "nmp", "tt_overwritten"]
     columns = [
-        c("s.id", "search_id"), "s.fen", "s.ply", "s.engine_id", c("e.name", "engine_name"), c("e.version", "engine_version"), "s.game_id", outcome_score().alias("game_score"),
-        c("g.opening", "game_opening"), c("g.opening_eco", "game_eco"), "s.sts_id", c("u.suite", "sts_suite"), c("u.position_name", "sts_position_name"), c("u.move_is_correct", "sts_move_is_correct"),
-        c("s.time_ms", "total_time_ms"), c("s.eval", "final_eval"), c("s.move", "best_move"), c("s.move", "move"), "s.principal_variation", "s.completed_depth", c("s.depth", "max_depth"), c("s.qdepth", "max_qdepth"),
-        c("s.nodes", "total_internal_nodes"), c("s.qnodes", "total_qnodes"), total.alias("total_nodes"), *[c(f"s.{x}", f"total_{x}") for x in counted], c("s.fail_lows", "total_fail_low"),
-        c("s.nmp_failhigh", "total_nmp_fail"), c("s.nmp_failhigh", "total_nmp_failhigh"), "s.tt_hits", "s.fail_highs", "s.sf_eval", "s.sf_best_move", "s.sf_pv", "s.eval", "s.depth",
-        (F.col("s.eval") - F.col("s.sf_eval")).alias("eval_diff"), rank.alias("engine_move_rank"),
-        F.when(F.col("s.move").isNull() | F.col("s.sf_pv").isNull(), None).otherwise(F.coalesce(first, F.lit(0)).cast("int")).alias("best_move_match"),
-        ratio(total, F.col("s.time_ms") / 1000).alias("nps"), ratio("s.qnodes", total).alias("qratio"), ratio("s.tt_hits", total).alias("tt_hit_ratio"), ratio("s.tt_stores", total).alias("tt_store_ratio"),
-        ratio("s.fail_highs", total).alias("fail_high_ratio"), ratio("s.fail_lows", total).alias("fail_low_ratio"), *[ratio_not_one(f"s.fh_index_{b}", "s.fail_highs").alias(f"fh_index_{b}_ratio") for b in FH_BUCKETS],
-        ratio("s.fail_high_researches", depths).alias("fail_high_researches_per_depth"), ratio("s.fail_low_researches", depths).alias("fail_low_researches_per_depth"),
-        ratio("s.nmp", total).alias("nmp_ratio"), ratio("s.nmp_failhigh", "s.nmp").alias("nmp_failhigh_ratio"),
+        "s.*", c("e.name", "engine_name"), c("e.version", "engine_version"), outcome_score().alias("game_score"), c("g.opening", "game_opening"), c("g.opening_eco", "game_eco"),
+        c("u.suite", "sts_suite"), c("u.position_name", "sts_position_name"), c("u.move_is_correct", "sts_move_is_correct"),
         *[F.col(f"i.{x}") for x in rollup.columns if x != "search_id"], ratio_not_one("i.eval_sign_flips", "s.depth").alias("eval_sign_flips_per_depth"),
     ]
     for name in TIMED:
-        columns += [F.col(f"t.{name}_avg_ms"), divided(100 * F.col(f"t.{name}_total_ms"), "s.time_ms").alias(f"{name}_perc_total_time")]
-    columns += [c("p.position_type", "pos_label")]
-    columns += [c(f"p.{x}", _POSITION_NAMES.get(x, f"position_{x}")) for x in positions.columns if x not in ("search_id", "game_id", "fen")]
+        columns += [F.col(f"t.{name}_avg_ms"), divided(100 * F.col(f"t.{name}_total_ms"), "s.total_time_ms").alias(f"{name}_perc_total_time")]
     return joined.select(*columns)

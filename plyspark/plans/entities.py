@@ -18,6 +18,12 @@ _COUNTERS = """
   {k} % 29 AS see_prunes, {k} % 31 AS delta_prunes, {k} % 17 AS pvs_researches, {k} % 23 AS nmp, {k} % 11 AS nmp_failhigh
 """
 
+#: Positions that boards are made of.
+BOARDS = [
+    "rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1", "r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1", "8/2p5/3p4/KP5r/1R3p1k/8/4P1P1/8 w - - 0 41",
+    "r1bq1rk1/pp2bppp/2n1pn2/3p4/3P4/2NB1N2/PP3PPP/R1BQ1RK1 b - - 4 22", "4k3/8/8/8/8/8/4P3/4K3 w - - 5 60", "r2q1rk1/pP1p2pp/Q4n2/bbp1p3/Np6/1B3NBn/pPPP1PPP/R3K2R b KQ - 0 16",
+]
+
 ENTITIES = {
     "engines": "SELECT CAST(n_nationkey AS BIGINT) + 1 AS id, n_name AS name, 'v' || CAST(n_regionkey AS VARCHAR(9)) AS version FROM nation WHERE n_nationkey < 20",
     "games": """SELECT c_custkey AS id, c_custkey % 21 + 1 AS white_engine_id, (c_custkey + 7) % 21 + 1 AS black_engine_id,
@@ -48,6 +54,7 @@ ENTITIES = {
         NULLIF(s_suppkey * 3 % 400, 0) AS num_games, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'book' || CAST(s_nationkey % 4 AS VARCHAR(9)) END AS book, 0.0 AS elo0, CAST(s_suppkey % 3 * 5 AS DOUBLE) AS elo1 FROM supplier""",
     "records": """SELECT o_custkey AS engine_id, sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS wins, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS draws,
         sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS losses FROM orders GROUP BY o_custkey""",
+    "boards": "SELECT o_orderkey AS id, CASE o_orderkey % 6 " + " ".join(f"WHEN {k} THEN '{fen}'" for k, fen in enumerate(BOARDS)) + " END AS fen FROM orders",
     "played": """SELECT run, CAST(row_number() OVER (PARTITION BY run ORDER BY o_orderkey) AS BIGINT) AS game_num, CASE o_orderstatus WHEN 'O' THEN 'w' WHEN 'P' THEN 'd' ELSE 'l' END AS outcome
         FROM (SELECT o_custkey AS run, o_orderkey, o_orderstatus FROM orders) AS r""",
 }

@@ -48,11 +48,11 @@ class Store:
         return self.read(table).columns if self.exists(table) else []
 
     def write(self, table: str, df: DataFrame) -> None:
-        """Replaces a table, also by what is derived from it."""
+        """Replaces a table, also by what is derived from it. The version before stays, for readers that have begun on it."""
         old = self._versions(table)
         name = f"v{int(old[-1][1:7]) + 1 if old else 1:06d}-{uuid.uuid4().hex[:6]}"
         df.write.parquet(f"{self.root}/{table}/{name}")
-        for version in old:
+        for version in old[:-1]:
             fs, p = self._fs(f"{self.root}/{table}/{version}")
             fs.delete(p, True)
 

@@ -25,9 +25,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A path below the shared folder that nothing else uses."""
+    return f"{shared_dir(spark)}/plyspark/{label}-{uuid.uuid4().hex[:12]}"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet and read back: computed once, whatever reads it, and safe from lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/plyspark/{label}-{uuid.uuid4().hex[:12]}"
+    path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
