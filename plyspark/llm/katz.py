@@ -6,26 +6,23 @@ and else the backoff weight of the word before times the token's own probability
 turn discounted, with the mass that is left for all unknown words as one class.  Backoff
 weights are exact: a word's pairs and what backs off sum to one.
 
-Counts and scores need no dictionary in any task.  Occurrences of pairs are dealt by their
-second word into ``parts``, packed into arrays by the task that read the text; a part counts its pairs and
-words, and adds what it knows of each document's score.  It passes on, by first word, what
-backoff weights need: how many pairs have counts 1, 2, ... and the
-probability of their second words, and the pairs not seen in training.  Words of over a quarter of a part's fair
+Counts and scores need no dictionary in any task.  Unigram counts are a table.  Occurrences of pairs are dealt by their
+second word into ``parts``, as arrays made by the task that read the text; a part counts its pairs and
+words, and adds what it knows of each document's score.  It passes on, by first word, how many pairs have counts 1, 2, ... and the
+probability of their second words: added up, these give the table of backoff weights, which
+is joined to the pairs not seen in training.  Words of over a quarter of a part's fair
 share of all tokens, a few for each part at most, are counted first and dealt by both words.
 """
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
@@ -134,70 +131,71 @@ def _is_hot(w: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, w), len(hot) - 1)] == w
 
 
-def _six(h: np.ndarray) -> bytes:
-    """48-bit numbers as six bytes each."""
-    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Lists of consecutive values: one from each of ``cuts`` to the next, the last cut being their number."""
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values))
 
 
-def _from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view(np.uint64)
+def _flat(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and how many each row has."""
+    column = table.column(column).combine_chunks()
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
-
-
-def _unpacked(raw: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
-
-
-def _stretches(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
-    """Begin and end of each run of an equal key."""
+def _cuts(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where runs of an equal key begin, and the number of keys."""
     if not len(sorted_keys):
-        return []
-    cuts = np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1
-    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(sorted_keys)], strict=True))
+        return np.zeros(1, np.int64)
+    return np.concatenate(([0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1, [len(sorted_keys)]))
 
 
-DEALT = "part long, batch long, w binary, runs binary, h binary, doc binary, n binary, train binary"
+#: Occurrences of pairs in a part and a batch of documents: distinct second words and how many pairs each has, first words, documents, and times,
+#: which are negative in documents that aren't learned from. The ids of a batch's documents go along, as ``h``, under a negative part.
+DEALT = "part long, batch long, w array<long>, runs array<int>, h array<long>, doc array<short>, n array<int>"
 
 
 def _dealer(hot: np.ndarray, parts: int):
-    """Packs a task's pair occurrences by part; ids of its documents go along under a negative part."""
+    """Lays a task's pair occurrences out by part."""
     names = [x.split()[0] for x in DEALT.split(", ")]
     bits = (64 - int(parts).bit_length()) // 2
 
-    def rows(w: np.ndarray, h: np.ndarray, doc: np.ndarray, rids: np.ndarray, train: np.ndarray, batch: int) -> pa.RecordBatch:
-        h = h >> np.uint64(16)
+    def rows(w: np.ndarray, h: np.ndarray, doc: np.ndarray, rids: np.ndarray, train: np.ndarray, batch: int) -> Iterator[pa.RecordBatch]:
         part = w % np.uint64(parts)
         salted = _is_hot(w, hot)
         part[salted] = mix(w[salted] ^ h[salted]) % np.uint64(parts)
-        key = (part << np.uint64(2 * bits)) | ((w >> np.uint64(64 - bits)) << np.uint64(bits)) | (h >> np.uint64(max(0, 48 - bits)))
+        key = (part << np.uint64(2 * bits)) | ((w >> np.uint64(64 - bits)) << np.uint64(bits)) | (h >> np.uint64(64 - bits))
         order = np.argsort(key, kind="stable")
         w, h, doc, part = w[order], h[order], doc[order], part[order]
         new = np.ones(len(w), bool)
         new[1:] = (w[1:] != w[:-1]) | (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
         at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(w))).astype(np.uint32)
-        w, h, doc, part = w[at], h[at], doc[at].astype(np.uint16), part[at]
-        flags = np.packbits(train).tobytes()
-        out = [(-1 - batch % parts, batch, b"", b"", b"", rids.tobytes(), b"", flags)]
-        for a, b in _stretches(part):
-            own = w[a:b]
-            run = np.array([x for x, _ in _stretches(own)])
-            lengths = np.diff(np.append(run, b - a)).astype(np.uint32)
-            out.append((int(part[a]), batch, own[run].tobytes(), _packed(lengths), _six(h[a:b]), doc[a:b].tobytes(), _packed(n[a:b]), flags))
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+        n = np.diff(np.append(at, len(w))).astype(np.int32)
+        w, h, doc, part = w[at], h[at], doc[at], part[at]
+        n[~train[doc]] *= -1
+        of_part = _cuts(part)
+        both = np.ones(len(w) + 1, bool)
+        both[1:-1] = (w[1:] != w[:-1]) | (part[1:] != part[:-1])
+        runs = np.flatnonzero(both)
+        of_run = np.searchsorted(runs, of_part)
+        many = len(of_part) - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(part[of_part[:-1]].astype(np.int64)), pa.array(np.full(many, batch, np.int64)), _lists(w[runs[:-1]].view(np.int64), of_run), _lists(np.diff(runs).astype(np.int32), of_run),
+                _lists(h.view(np.int64), of_part), _lists(doc.astype(np.uint16).view(np.int16), of_part), _lists(n, of_part),
+            ],
+            names=names,
+        )
+        none = [_lists(np.zeros(0, k), np.zeros(2)) for k in (np.int64, np.int32, np.int16, np.int32)]
+        ids = _lists(rids, np.array([0, len(rids)]))
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - batch % parts], pa.int64()), pa.array([batch], pa.int64()), none[0], none[1], ids, none[2], none[3]], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         tokens = docs = 0
 
-        def flushed() -> pa.RecordBatch:
+        def flushed() -> Iterator[pa.RecordBatch]:
             starts = np.cumsum([0] + [len(x[3]) for x in held])
             doc = np.concatenate([x[2] + s for x, s in zip(held, starts, strict=False)])
             w, h, rids, train = (np.concatenate([x[k] for x in held]) for k in (0, 1, 3, 4))
@@ -208,26 +206,30 @@ def _dealer(hot: np.ndarray, parts: int):
                 for at in range(0, part.num_rows, HELD_DOCS):
                     piece = part.slice(at, HELD_DOCS)
                     if held and (docs + piece.num_rows > HELD_DOCS or tokens > HELD_TOKENS):
-                        yield flushed()
+                        yield from flushed()
                         held, tokens, docs, count = [], 0, 0, count + 1
                     w, h, doc = _tokens(piece.column("text"))
                     held.append((w, h, doc, piece.column("rid").to_numpy(), piece.column("train").to_numpy(zero_copy_only=False)))
                     tokens, docs = tokens + len(w), docs + piece.num_rows
         if held:
-            yield flushed()
+            yield from flushed()
 
     return run
 
 
-TOLD = "kind int, key long, batch long, a binary, b binary, c binary, d binary"
-#: Kinds of rows that a part passes on.
-IDS, SUMS, TYPES, UNSEEN, SEEN_TIMES = range(5)
+#: What a part passes on, by kind. IDS: a batch's documents, as h. SUMS, by batch: documents, base (p) and model scores (q), and how many of each one's
+#: words are known and of its pairs have count 1, 2, ... (n). UNSEEN, by batch: first words, documents and times of pairs not seen. TYPES: first words,
+#: probabilities of second words seen after each (p), and how many have count 1, 2, ..., more (n). SEEN: how many pairs have count 1, 2, ..., more (n).
+TOLD = "kind int, batch long, h array<long>, doc array<int>, n array<int>, p array<double>, q array<double>"
+IDS, SUMS, UNSEEN, TYPES, SEEN = range(5)
 
 
-def _told(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
-    columns = zip(*rows, strict=True) if rows else [[]] * 7
-    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in TOLD.split(", ")])
+def _told(kind: int, batch: np.ndarray, **lists: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    """Rows of one kind; ``lists`` gives values and cuts of the columns that aren't empty."""
+    kinds = {"h": np.int64, "doc": np.int32, "n": np.int32, "p": np.float64, "q": np.float64}
+    empty = np.zeros(len(batch) + 1)
+    columns = [_lists(*((lists[c][0].astype(k), lists[c][1]) if c in lists else (np.zeros(0, k), empty))) for c, k in kinds.items()]
+    return pa.Table.from_arrays([pa.array(np.full(len(batch), kind, np.int32)), pa.array(batch.astype(np.int64)), *columns], names=["kind", "batch", *kinds])
 
 
 #: A part is counted in so many slices by second word, which bounds what a task holds beside its input.
@@ -260,158 +262,121 @@ def _count_slice(model: Unigrams, w: np.ndarray, h: np.ndarray, n: np.ndarray, t
     return base, score, (c > 0)[which], seen, h[held], p[which[held]], np.minimum(of_pair[of_pair > 0], RELIABLE + 1)
 
 
-def _counter(model: Unigrams, parts: int):
-    """Counts one part's pairs and words, and adds up what it knows of each document."""
+def _counter(model: Unigrams):
+    """Counts one part's pairs and words, and adds up what it knows of each document. What it holds follows its own occurrences."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        if rows[0]["part"] < 0:
-            return _told([(IDS, r["batch"], r["batch"], r["doc"], b"", b"", b"") for r in rows])
-        rows.sort(key=lambda r: r["batch"])
-        all_w = np.concatenate([np.repeat(np.frombuffer(r.pop("w"), np.uint64), _unpacked(r.pop("runs"), np.uint32)) for r in rows])
-        all_h = np.concatenate([_from_six(r.pop("h")) for r in rows])
-        all_n = np.concatenate([_unpacked(r.pop("n"), np.uint32) for r in rows])
-        docs = [8 * len(r["train"]) for r in rows]  # documents of each batch, rounded up
-        starts = np.cumsum([0, *docs])
-        all_doc = np.concatenate([np.frombuffer(r.pop("doc"), np.uint16) + np.uint32(at) for r, at in zip(rows, starts, strict=False)])
-        trains = np.concatenate([np.unpackbits(np.frombuffer(r["train"], np.uint8)) for r in rows])
-        total = int(starts[-1])
-        sums, times = np.zeros((2, total)), np.zeros((RELIABLE + 1, total), np.uint32)
+        table = table.select(["part", "batch", "w", "runs", "h", "doc", "n"]).sort_by("batch")
+        batch = table.column("batch").to_numpy()
+        h, many = _flat(table, "h")
+        if table.column("part")[0].as_py() < 0:
+            return _told(IDS, batch, h=(h, np.concatenate(([0], np.cumsum(many)))))
+        h = h.view(np.uint64)
+        w = np.repeat(_flat(table, "w")[0].view(np.uint64), _flat(table, "runs")[0])
+        n = _flat(table, "n")[0]
+        # documents that occur here, in order of batch
+        where = (np.repeat(np.arange(len(batch)), many) << 16) | _flat(table, "doc")[0].view(np.uint16)
+        whose, doc = np.unique(where, return_inverse=True)
+        total = len(whose)
+        del table, where
+        trained, n = np.maximum(n, 0), np.abs(n)
+        sums, times = np.zeros((2, total)), np.zeros((RELIABLE + 1, total), np.int32)
         pairs: list[tuple] = []
-        lost: list[tuple] = []
+        lost: list[np.ndarray] = []
         for k in range(SLICES):
-            use = np.flatnonzero((all_w >> np.uint64(20)) % np.uint64(SLICES) == k)
+            use = np.flatnonzero((w >> np.uint64(20)) % np.uint64(SLICES) == k)
             if not len(use):
                 continue
-            h, n, doc = all_h[use], all_n[use], all_doc[use]
-            base, score, known, seen, *found = _count_slice(model, all_w[use], h, n, n * trains[doc])
-            add = lambda x: np.bincount(doc, x, total)  # noqa: E731, B023
+            n_k, doc_k = n[use], doc[use]
+            base, score, known, seen, *found = _count_slice(model, w[use], h[use], n_k, trained[use])
+            add = lambda x: np.bincount(doc_k, x, total)  # noqa: E731, B023
             sums += np.stack([add(base), add(score)])
-            times += np.stack([add(n * known), *[add(n * (seen == r)) for r in range(1, RELIABLE + 1)]]).astype(np.uint32)
+            times += np.stack([add(n_k * known), *[add(n_k * (seen == r)) for r in range(1, RELIABLE + 1)]]).astype(np.int32)
             pairs.append(found)
-            new = seen == 0
-            lost.append((h[new], n[new], doc[new]))
-        del all_w, all_h, all_n, all_doc
-        out: list[tuple] = []
-        for r, a, b in zip(rows, starts[:-1], starts[1:], strict=True):
-            out.append((SUMS, r["batch"], r["batch"], _packed(sums[:, a:b]), _packed(times[:, a:b]), b"", b""))
-        # pairs not seen in training, by first word: of which batch and document, and how often
-        h, n, doc = (np.concatenate([x[k] for x in lost]) for k in range(3))
-        to = h % np.uint64(parts)
-        by = np.argsort(to, kind="stable")
-        h, n, doc, to = h[by], n[by], doc[by], to[by]
-        whose = np.searchsorted(starts, doc, "right") - 1
-        for a, b in _stretches(to):
-            used, place = np.unique(whose[a:b], return_inverse=True)
-            key = (place.astype(np.uint32) << np.uint32(16)) | (doc[a:b] - starts[whose[a:b]]).astype(np.uint32)
-            out.append((UNSEEN, int(to[a]), 0, _six(h[a:b]), _packed(key), _packed(n[a:b].astype(np.uint32)), np.array([rows[k]["batch"] for k in used], np.int64).tobytes()))
-        # pairs of training by first word
-        hh, pp, many = (np.concatenate([x[k] for x in pairs]) for k in range(3))
-        out.append((SEEN_TIMES, 0, 0, np.bincount(many, minlength=RELIABLE + 2)[1:].astype(np.int64).tobytes(), b"", b"", b""))
-        to = hh % np.uint64(parts)
-        by = np.lexsort((hh, to))
-        hh, pp, many, to = hh[by], pp[by], many[by], to[by]
-        begins = np.flatnonzero(np.concatenate(([True], hh[1:] != hh[:-1]))) if len(hh) else np.zeros(0, np.int64)
-        which_h = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(hh))))
-        of_times = np.stack([np.bincount(which_h, many == k, len(begins)) for k in range(1, RELIABLE + 2)], axis=1).astype(np.uint32)
-        of_p = np.bincount(which_h, pp, len(begins)).astype(np.float32)
-        to, hh = to[begins], hh[begins]
-        out += [(TYPES, int(to[a]), 0, _six(hh[a:b]), of_p[a:b].tobytes(), _packed(of_times[a:b].T), b"") for a, b in _stretches(to)]
-        return _told(out)
+            lost.append(use[seen == 0])
+        cuts = _cuts(whose >> 16)
+        out = [_told(SUMS, batch[whose[cuts[:-1]] >> 16], doc=(whose & 0xFFFF, cuts), n=(times.T.ravel(), cuts * (RELIABLE + 1)), p=(sums[0], cuts), q=(sums[1], cuts))]
+        gone = np.sort(np.concatenate(lost))
+        gone = gone[np.argsort(doc[gone], kind="stable")]
+        at = whose[doc[gone]]
+        cuts = _cuts(at >> 16)
+        if len(gone):
+            out.append(_told(UNSEEN, batch[at[cuts[:-1]] >> 16], h=(h[gone].view(np.int64), cuts), doc=(at & 0xFFFF, cuts), n=(n[gone], cuts)))
+        hh, pp, count = (np.concatenate([x[k] for x in pairs]) for k in range(3))
+        one = np.zeros(1, np.int64)
+        out.append(_told(SEEN, one, n=(np.bincount(count, minlength=RELIABLE + 2)[1:], np.array([0, RELIABLE + 1]))))
+        if len(hh):
+            types, which = np.unique(hh, return_inverse=True)
+            of_times = np.stack([np.bincount(which, count == r, len(types)) for r in range(1, RELIABLE + 2)], axis=1)
+            out.append(_told(TYPES, one, h=(types.view(np.int64), np.array([0, len(types)])), p=(np.bincount(which, pp, len(types)), np.array([0, len(types)])), n=(of_times.ravel(), np.array([0, of_times.size]))))
+        return pa.concat_tables(out)
 
     return run
 
 
-def _backoff(d: list[float]):
-    """Corrects scores of unseen pairs: the backoff weight in place of one over the count of the word before.
-
-    With both, that is log10 of the mass left over the probability of words not seen after it; 0 where it was never before a word.
-    """
-    lost = np.array([(1 - d[r]) * r for r in range(1, RELIABLE + 1)] + [REST])
+def _types(d: list[float]):
+    """(h, p, mass) of TYPES rows: the probability of second words seen after h, and what discounting takes from their counts."""
+    taken = np.array([(1 - d[r]) * r for r in range(1, RELIABLE + 1)] + [REST])
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        unseen = [r for r in rows if r["kind"] == UNSEEN]
-        known = [r for r in rows if r["kind"] == TYPES]
-        if not unseen or not known:
-            return _told([])
-        h = np.concatenate([_from_six(r["a"]) for r in known])
-        p = np.concatenate([np.frombuffer(r["b"], np.float32) for r in known]).astype(np.float64)
-        times = np.concatenate([_unpacked(r["c"], np.uint32).reshape(RELIABLE + 1, -1).T for r in known])
-        types, which = np.unique(h, return_inverse=True)
-        mass = np.bincount(which, times @ lost, len(types))
-        rest = 1 - np.bincount(which, p, len(types))
-        weight = np.log10(np.maximum(mass, 1e-300)) - np.log10(np.maximum(rest, 1e-12))
-        added: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for r in sorted(unseen, key=lambda r: (r["d"], r["a"])):
-            own, key, n = _from_six(r["a"]), _unpacked(r["b"], np.uint32), _unpacked(r["c"], np.uint32)
-            at = np.minimum(np.searchsorted(types, own), len(types) - 1)
-            add = np.where(types[at] == own, weight[at], 0.0) * n
-            for k, batch in enumerate(np.frombuffer(r["d"], np.int64).tolist()):
-                use = np.flatnonzero(key >> np.uint32(16) == k)
-                added.setdefault(batch, []).append((key[use] & np.uint32(0xFFFF), add[use]))
-        out = []
-        for batch, found in added.items():
-            docs, which_doc = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
-            out.append((UNSEEN, batch, batch, docs.astype(np.uint16).tobytes(), np.bincount(which_doc, np.concatenate([x[1] for x in found])).tobytes(), b"", b""))
-        return _told(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            times = _flat(table, "n")[0].reshape(-1, RELIABLE + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(_flat(table, "h")[0]), pa.array(_flat(table, "p")[0]), pa.array(times @ taken)], names=["h", "p", "mass"])
 
     return run
 
 
 def _finished(d: list[float], start: float):
+    """Scores of a batch's documents from all parts' sums and from the weights of their unseen pairs."""
+    factor = np.log10([d[r] * r for r in range(1, RELIABLE + 1)])
+
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        rids = np.concatenate([np.frombuffer(r["a"], np.int64) for r in rows if r["kind"] == IDS])
+        kind = table.column("kind").to_numpy()
+        of = lambda k: table.filter(pa.array(kind == k)).select(["h", "doc", "n", "p", "q"])
+        rids = _flat(of(IDS), "h")[0]
         n = len(rids)
-        base, score, known = np.zeros(n), np.full(n, start), np.zeros(n, np.int64)
-        factor = np.log10([d[r] * r for r in range(1, RELIABLE + 1)])
-        for r in sorted(rows, key=lambda r: (r["kind"], r["a"])):
-            if r["kind"] == SUMS:
-                sums, times = _unpacked(r["a"], np.float64).reshape(2, -1)[:, :n], _unpacked(r["b"], np.uint32).reshape(RELIABLE + 1, -1)[:, :n]
-                base += sums[0]
-                score += sums[1] + factor @ times[1:]
-                known += times[0].astype(np.int64)
-            elif r["kind"] == UNSEEN:
-                score[np.frombuffer(r["a"], np.uint16)] += np.frombuffer(r["b"], np.float64)
+        sums = of(SUMS)
+        doc, times = _flat(sums, "doc")[0], _flat(sums, "n")[0].reshape(-1, RELIABLE + 1)
+        base = np.bincount(doc, _flat(sums, "p")[0], n)
+        score = start + np.bincount(doc, _flat(sums, "q")[0] + times[:, 1:] @ factor, n)
+        known = np.bincount(doc, times[:, 0], n).astype(np.int64)
+        unseen = of(UNSEEN)
+        score += np.bincount(_flat(unseen, "doc")[0], _flat(unseen, "p")[0], n)
         return pa.Table.from_arrays([pa.array(rids), pa.array(known), pa.array(base), pa.array(score)], names=["rid", "n_known", "base_score", "score"])
 
     return run
 
 
-def _let_go(spark: SparkSession) -> None:
-    """Lets Spark's cleaner find the shuffle files of steps that are done and that nothing reads again."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def scores(docs: DataFrame, train: Column, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text).
 
     ``train`` says of a row whether its text is learned from (null: no). ``base_score`` is that of add-0.1 unigrams, ``score`` the
     model's, both as log10 of the whole text's probability. A null or wordless text is its end alone; repeated rows
     count as often and score alike; without training rows every score is 0; further columns are ignored.
+    The scratch folder keeps the tables of the model: ``unigrams`` (w, n) and ``backoff`` (h, weight: log10 of what is left after h over the probability of words not seen after it).
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "katz")
     rows = docs.select("doc_id", F.coalesce(train, F.lit(False)).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
     model, parts = count_unigrams(rows.where("train"), scratch, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    _let_go(spark)
     dealt = rows.select("rid", "train", "text").mapInArrow(_dealer(model.hot, parts), DEALT)
-    told = scratch.save(dealt.groupBy("part").applyInArrow(_counter(model, parts), TOLD), "told")
-    del dealt
-    _let_go(spark)
-    times = np.zeros(RELIABLE + 1, np.int64)
-    for r in told.where(F.col("kind") == SEEN_TIMES).select("a").toLocalIterator():  # a row for each part
-        times += np.frombuffer(r["a"], np.int64)
-    d = discounts(times.tolist())
-    corrected = told.where(F.col("kind").isin(TYPES, UNSEEN)).groupBy("key").applyInArrow(_backoff(d), TOLD)
-    sums = told.where(F.col("kind").isin(IDS, SUMS)).union(corrected)
+    told = scratch.save(dealt.groupBy("part").applyInArrow(_counter(model), TOLD), "told")
+    of_kind = lambda *k: told.where(F.col("kind").isin(*k))
+    times = of_kind(SEEN).agg(*[F.coalesce(F.sum(F.get("n", F.lit(k))), F.lit(0)) for k in range(RELIABLE + 1)]).first()
+    d = discounts(list(times))
+    types = of_kind(TYPES).select("h", "n", "p").mapInArrow(_types(d), "h long, p double, mass double")
+    left = F.log10(F.greatest("mass", F.lit(1e-300))) - F.log10(F.greatest(1 - F.col("p"), F.lit(1e-12)))
+    backoff = scratch.save(types.groupBy("h").agg(F.sum("p").alias("p"), F.sum("mass").alias("mass")).select("h", left.alias("weight")), "backoff")
+    # a first word that is common has many rows here and one there; adaptive execution splits such a side
+    unseen = of_kind(UNSEEN).select("batch", F.explode(F.arrays_zip("h", "doc", "n")).alias("z")).select("batch", "z.*")
+    weighed = unseen.join(backoff, "h").groupBy("batch", "doc").agg(F.sum(F.col("n") * F.col("weight")).alias("x"))
+    weighed = weighed.groupBy("batch").agg(F.collect_list(F.struct("doc", "x")).alias("z"))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    corrected = weighed.select(F.lit(UNSEEN).alias("kind"), "batch", none("long").alias("h"), F.col("z.doc").alias("doc"), none("int").alias("n"), F.col("z.x").alias("p"), none("double").alias("q"))
     start = -float(np.log10(model.docs)) if model.docs else 0.0
-    found = sums.groupBy("batch").applyInArrow(_finished(d, start), "rid long, n_known long, base_score double, score double")
+    found = of_kind(IDS, SUMS).union(corrected).groupBy("batch").applyInArrow(_finished(d, start), "rid long, n_known long, base_score double, score double")
     found = found.groupBy("rid").agg(F.max("n_known").alias("n_known"), F.max("base_score").alias("base_score"), F.max("score").alias("score"))
     told_of = rows.select("doc_id", "train", "rid", (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) + 1).cast("long").alias("n_tokens"))
     return told_of.join(found, "rid").select("doc_id", "train", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
