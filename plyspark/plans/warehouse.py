@@ -77,6 +77,21 @@ class Store:
         return (self.read(table).agg(F.max(key)).first()[0] or 0) if self.exists(table) else 0
 
 
+def imported(to: Store, url: str, tables: dict[str, str | None], parts: int = 8, **options: str) -> None:
+    """Copies ``tables`` of a database (JDBC ``url``; its driver on Spark's class path) into a store.
+
+    A table with a numeric key is read in ``parts`` ranges of it, at once; one without (None), or without rows, in one. ``options`` go to the source.
+    """
+    for table, key in tables.items():
+        source = to.spark.read.format("jdbc").options(url=url, **options)
+        df = source.option("dbtable", table).load()
+        bounds = df.agg(F.min(key), F.max(key)).first() if key else (None, None)
+        if bounds[0] is not None:
+            ranges = {"partitionColumn": key, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(parts)}
+            df = source.options(dbtable=table, **ranges).load()
+        to.write(table, df)
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, add: tuple[str, ...] = ()) -> DataFrame:
     """``old`` with the values of ``new`` that aren't NULL; columns in ``add`` are added up; keys of ``new`` alone come in."""
     o, n = old.alias("o"), new.alias("n")

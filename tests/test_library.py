@@ -1,4 +1,4 @@
-"""Operators on literal rows, chess rules, readers, warehouse, streams, tuning."""
+"""Operators on literal rows, chess rules, readers, warehouse, streams."""
 
 import json
 import math
@@ -17,7 +17,6 @@ from plyspark.schemas import GAME_LOG, ROOT_MOVES_LOG, SEARCH_LOG
 from plyspark.sources import logs, reports
 from plyspark.sources import positions as suites
 from plyspark.streaming import live
-from plyspark.tuning import spsa
 
 KIWI = "r3k2r/p1ppqpb1/bn2pnp1/3PN3/1p2P3/2N2Q1p/PPPBBPPP/R3K2R w KQkq - 0 1"
 
@@ -338,21 +337,16 @@ def test_streams(spark, tmp_path):
     assert live.unseen(df.where("id < 4"), df.union(df), "id").count() == 4
 
 
-@pytest.mark.parametrize("adam", [False, True])
-def test_tuning_climbs_and_resumes(adam):
-    p = [spsa.Parameter("x", 0.0, -50, 50, 2.0), spsa.Parameter("n", 10, 0, 100, 4.0, whole=True)]
-    best = np.array([12.0, 30.0])
-
-    def play(a, b):
-        gap = np.sum((b - best) ** 2) - np.sum((a - best) ** 2)
-        w = int(round(500 + 450 * math.tanh(gap / 200)))
-        return w, 0, 1000 - w
-
-    out = spsa.tune(p, play, 400, games=40000, adam=adam)
-    assert np.linalg.norm(out["values"] - best) < np.linalg.norm(np.array([0, 10]) - best) / 2 and out["averaged"][1] == round(out["averaged"][1])
-    half = spsa.tune(p, play, 400, games=40000, adam=adam)
-    assert half["values"].tolist() == out["values"].tolist() and json.loads(out["state"])["k"] == 400
-    assert spsa.tune(p, play, 400, games=40000, adam=adam, state=out["state"])["history"] == []
+def test_tables_of_a_database_are_read_in_parts(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/base;create=true"
+    games = spark.range(1, 101).selectExpr("id", "CAST(id % 3 AS INT) AS result")
+    games.write.jdbc(url, "games")
+    games.limit(0).write.jdbc(url, "searches")
+    store = warehouse.Store(spark, str(tmp_path / "raw"))
+    warehouse.imported(store, url, {"games": "id", "searches": None})
+    got = store.read("GAMES" if store.exists("GAMES") else "games")
+    assert got.count() == 100 and got.rdd.getNumPartitions() > 1 and sorted(r[0] for r in got.selectExpr("id").collect()) == list(range(1, 101))
+    assert store.read("searches").count() == 0
 
 
 def test_smoothing_is_the_recursion(spark):
