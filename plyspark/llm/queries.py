@@ -15,29 +15,35 @@ def id_remainder(n: int) -> Column:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the mix: null texts have size 0 and are never taken; a null source is one of its own; repeated rows count as rows; no rows give none."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, pattern=(5.0, 2.0, 1.0), cap=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, a row for each pair: null and empty texts on either side hold none; repeated rows give one; no rows give none."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as read from compacted shards: rows, nulls and repeats stay as they are; no rows give none."""
     store = sharding.shard(table(spark, sf_dir, "documents"), Scratch(spark, "shards").root, arrivals=4, target_bytes=128 << 20)
     return store.read(with_shard=True).select("doc_id", "source", "n_chars", "shard_id", "shard_bytes", "shard_level")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all whole texts: a null text is empty and has none; repeated rows each come back; no rows give none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.scan(docs, secrets.train(secrets.labelled_samples(docs))))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all whole texts: a null text is empty and has none; repeated rows each come back; no rows give none."""
     return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all whole texts: und for null texts and those without letters; rows with a null lang aren't learned from; a null doc_id hashes as ''; no rows give none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(id_remainder(5) != 0))
     found = langid.predict(docs.select("doc_id", "text"), model)
@@ -45,20 +51,24 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all whole texts: a null text is its end alone; repeated rows count and score alike; a null doc_id hashes as ''; no rows give none."""
     found = katz.scores(table(spark, sf_dir, "documents"), id_remainder(10) != 0)
     return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and groups of all whole texts: null and wordless texts have fingerprint zero; a null doc_id names no group unless alone; repeated rows each come back; no rows give none."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all whole texts and of their edited ones: a null text is empty; null ids come first, equal ids by text; repeated rows each come back; no rows give none."""
     return lcp.neighbours(table(spark, sf_dir, "documents"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all whole texts: a null text scores as an empty one; null labels and ids aren't learned from; a null doc_id hashes as ''; no rows give none."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs.where(id_remainder(4) != 2), table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model)

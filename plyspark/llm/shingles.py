@@ -137,7 +137,8 @@ def _compared(size: int, least: float):
 def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.8) -> DataFrame:
     """(a, b): links between rows of ``texts`` (id long, text, known long) that connect all that are alike by ``least`` or more.
 
-    ``known`` names groups that are connected already: rows of one group aren't compared. Ids are unique. Texts without words have no links.
+    ``known`` names groups that are connected already: rows of one group aren't compared. Ids are unique. Null texts and texts without words have no links; equal
+    texts under two ids are alike; no rows give no links.
     """
     keyed = texts.select("id", "text").mapInArrow(_keyed(size, least, commonness(texts, size)), "id long, key long, place int, n int")
     rows = scratch.save(keyed, "keyed")

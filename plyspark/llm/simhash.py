@@ -121,7 +121,7 @@ def links(distinct: DataFrame, scratch: Scratch, radius: int = 2, most_group: in
     """(a, b): pairs of fingerprints that connect all that links of ``radius`` or fewer bits (1 or 2) connect.
 
     ``distinct`` has one column ``fp``, without repeats. Pairs within a group are a forest, so they grow
-    with its members, not with their square; a link that is left out is a path of others.
+    with its members, not with their square; a link that is left out is a path of others. No fingerprints, or one, give no links.
     """
     if radius not in (1, 2):
         raise ValueError("radius is 1 or 2: beyond it groups aren't bounded")
