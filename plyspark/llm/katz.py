@@ -32,7 +32,7 @@ from .text import lower, mix, span_hashes, steps, utf8, words
 RELIABLE, REST = 5, 0.5
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35)
 #: Tokens that a task holds before it deals them; documents likewise (16 bits). Tokens of a part.
-HELD_TOKENS, HELD_DOCS, PART_TOKENS = 1 << 19, 60_000, 1 << 22
+HELD_TOKENS, HELD_DOCS, PART_TOKENS = 1 << 19, 60_000, 1 << 21
 
 
 def discounts(counts: list[int]) -> list[float]:
