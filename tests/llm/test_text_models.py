@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plyspark.llm import katz, langid, quality, queries
+from plyspark.llm import katz, katz_tables, langid, quality, queries
+from plyspark.llm.runtime import Scratch
 from plyspark.llm.text import utf8, words
 
 
@@ -127,6 +128,33 @@ def test_katz_deals_hot_words_and_small_batches(spark, odd, monkeypatch):
     assert sorted(round(r.score, 5) for r in got) == pytest.approx(sorted(round(x[4], 5) for v in want.values() for x in v), abs=1e-4)
 
 
+def test_stored_tables_score_another_corpus(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("doc_id < 120")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute_katz(rows, lambda k: k % 3 != 0)
+    train = docs.where("doc_id % 3 <> 0")
+    two = katz_tables.fit(train, Scratch(spark, "k2"), order=2)
+    got = {r.rid: r.score for r in katz_tables.score(docs.withColumnRenamed("doc_id", "rid"), two).collect()}
+    assert got == pytest.approx({k: v[0][4] for k, v in want.items()}, rel=1e-7)
+    three = katz_tables.fit(train, Scratch(spark, "k3"), order=3)
+    better = {r.rid: r.score for r in katz_tables.score(docs.withColumnRenamed("doc_id", "rid"), three).collect()}
+    assert sum(v for k, v in better.items() if k % 3) > sum(v for k, v in got.items() if k % 3)
+    # after any two words seen, all words and the class of unknown ones have probability one
+    seen = katz_tables.contexts(train.withColumnRenamed("doc_id", "rid"), 3).select("h1", "h2").distinct().orderBy("h2").limit(15)
+    words = three.grams(1).select("w").union(spark.createDataFrame([(12345,)], "w long"))
+    totals = katz_tables.probabilities(seen.join(words, F.lit(True)), three).groupBy("h2").agg(F.sum("p").alias("p")).collect()
+    assert len(totals) == 15 and [r.p for r in totals] == pytest.approx([1.0] * 15)
+
+
+def test_stored_tables_with_a_hot_word_and_without_rows(spark, odd, nothing):
+    text = " ".join("the" if k % 5 == 0 else f"w{k % 37}" for k in range(2000))
+    docs = spark.createDataFrame([(k, text, k) for k in range(6)] + [(6, None, 6), (7, "", 7)], "rid long, text string, w long")
+    scores = {r.rid: r.score for r in katz_tables.score(docs, katz_tables.fit(docs, Scratch(spark, "k3"))).collect()}
+    assert len({round(scores[k], 9) for k in range(6)}) == 1 and scores[6] == scores[7] > scores[0]
+    empty = katz_tables.fit(nothing, Scratch(spark, "k3"))
+    assert {r.score for r in katz_tables.score(docs, empty).collect()} == {0.0} and katz_tables.score(docs.limit(0), empty).count() == 0
+
+
 def test_katz_without_training_rows_or_rows(odd, nothing):
     assert {r.score for r in katz.scores(odd, F.lit(False)).collect()} == {0.0}
     assert katz.scores(nothing, F.lit(True)).count() == 0
