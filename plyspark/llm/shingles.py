@@ -6,8 +6,8 @@ hold stands early in both (``_may`` says how early), and keying the first fifth
 each text's shingles loses no pair.  The order is by how many texts hold a shingle's bucket, rare ones first, so
 shared passages and templates are keys only of texts that consist of little else.  It decides the work, not the result.
 
-Comparisons run in three rounds: each text with one other, the least that it shares a key and a size with; with the least of each of
-its keys and sizes; and all texts of a key with each other.  Each round takes only pairs that earlier ones
+Comparisons run in rounds: each text with one other, of the least of its keys and sizes that which it shares most keys with; with the
+least of each of its keys and sizes; with one of a small hand, into which texts of a key are dealt by hash, twice; and all texts of a key with each other.  Each round takes only pairs that earlier ones
 haven't connected, so a group of copies isn't expanded into pairs, and all others are compared.  Each comparison joins the whole texts.
 """
 
@@ -25,9 +25,11 @@ from .runtime import Scratch
 from .text import fold, lower, span_hashes, steps, utf8, words
 
 #: Buckets in which shingles are counted, and buckets of a row.
-BUCKETS, SLICE = 1 << 20, 1 << 15
+BUCKETS, SLICE = 1 << 22, 1 << 15
 #: Parts into which the texts of a key are dealt where all are compared.
 SALTS = 8
+#: How often texts of a key are dealt into small hands before all are compared.
+DEALS = 2
 
 
 def shingle_hashes(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +67,8 @@ def _counted(size: int):
         counts = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for part in steps(batch):
-                counts += np.bincount(_bucket(_sets(part, size)[0]), minlength=BUCKETS).astype(np.int32)
+                found, n = np.unique(_bucket(_sets(part, size)[0]), return_counts=True)
+                counts[found] += n.astype(np.int32)
         for k in range(0, BUCKETS, SLICE):
             if counts[k : k + SLICE].any():
                 yield pa.RecordBatch.from_arrays([pa.array([k // SLICE], pa.int32()), pa.array([counts[k : k + SLICE].tobytes()], pa.binary())], names=["slice", "counts"])
@@ -148,26 +151,51 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     # texts of a key and of like size, with the least of them
     rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int"))
     first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "place", "n")).alias("r")).select("key", "class", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "place", "n")])
-    met = rows.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).select("id", "id_b").distinct()
+    met = rows.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).groupBy("id", "id_b").agg(F.count("*").alias("keys"))
     met = scratch.save(met, "met")
     groups = texts.select("id", "known")
-    # each with one other first: what that connects needs no more pairs
-    one = _alike(texts, _apart(met.groupBy("id").agg(F.min("id_b").alias("id_b")), groups), scratch, "0", size, least)
+    # each with the one that it shares most keys with first: what that connects needs no more pairs
+    nearest = met.groupBy("id").agg(F.max_by("id_b", F.struct("keys", -F.col("id_b"))).alias("id_b"))
+    one = _alike(texts, _apart(nearest, groups), scratch, "0", size, least)
     groups = _joined(groups, one, scratch, "groups-1")
     two = _alike(texts, _apart(met, groups), scratch, "1", size, least)
     groups = _joined(groups, two, scratch, "groups-2")
-    now = rows.drop("class").join(groups, "id")
-    several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z")).where("g < z").select("key")
-    now = scratch.save(now.join(several, "key"), "left")
+    now = scratch.save(_undecided(rows.drop("class"), groups), "left-0")
     scratch.drop("shared", "met")
+    links = one.union(two)
+    for k in range(DEALS):
+        found = _alike(texts, _dealt(now, k, least), scratch, f"deal-{k}", size, least)
+        groups = _joined(groups, found, scratch, f"groups-deal-{k}")
+        now = scratch.save(_undecided(now.drop("known"), groups), f"left-{k + 1}")
+        scratch.drop(f"left-{k}")
+        links = links.union(found)
     # each text meets all of its key: one side in one part, the other in every part
     other = now.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")])
     dealt = now.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     every = other.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rest = dealt.join(every, ["key", "salt"]).where("id < id_b AND known <> known_b").where(_may(least)).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+    both = dealt.join(every, ["key", "salt"]).where("id < id_b AND known <> known_b").where(_may(least)).groupBy(F.col("id").alias("a"), F.col("id_b").alias("b"))
+    # what two texts share is the keys they share and, at most, all that comes after the last of these
+    found = both.agg(F.count("*").alias("keys"), F.max("place").alias("place"), F.max("place_b").alias("place_b"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
+    rest = found.where(f"keys + least(n - place, n_b - place_b) - 1 >= {least / (1 + least)!r} * (n + n_b) - 1e-6").select("a", "b")
     three = _alike(texts, scratch.save(rest, "rest"), scratch, "2", size, least)
-    scratch.drop("left", "rest")
-    return one.union(two).union(three)
+    scratch.drop(f"left-{DEALS}", "rest")
+    return links.union(three)
+
+
+def _undecided(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with ``known`` of their texts, of keys that texts of several groups hold."""
+    now = rows.join(groups, "id")
+    several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z")).where("g < z").select("key")
+    return now.join(several, "key")
+
+
+def _dealt(rows: DataFrame, turn: int, least: float, hand: int = 8) -> DataFrame:
+    """(a, b): texts of a key dealt by hash into hands of about ``hand``, anew each turn, and each with the least of its hand: as many pairs as rows at most."""
+    held = rows.groupBy("key").agg(F.count("*").alias("held"))
+    dealt = rows.join(held, "key").withColumn("hand", F.expr(f"pmod(xxhash64(id, key, {turn}), greatest(1L, held div {hand}))"))
+    lead = dealt.groupBy("key", "hand").agg(F.min(F.struct("id", "known", "place", "n")).alias("r")).select("key", "hand", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "known", "place", "n")])
+    met = dealt.join(lead, ["key", "hand"]).where("id <> id_b AND known <> known_b").where(_may(least))
+    return met.select(F.col("id_b").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
