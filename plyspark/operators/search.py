@@ -114,6 +114,12 @@ def outcome_score() -> Column:
 _POSITION_NAMES = {"game_phase": "game_phase", "position_type": "position_type", "pos_tactical": "position_tactical_score", "pos_positional": "position_positional_score", "pos_endgame": "position_endgame_score", "balance": "position_balance"}
 
 
+def search_shares() -> dict[str, Column]:
+    """Ratios of a search row's own counters to all its nodes."""
+    per_node = {"qratio": "qnodes", "tt_hit_ratio": "tt_hits", "tt_store_ratio": "tt_stores", "fail_high_ratio": "fail_highs", "fail_low_ratio": "fail_lows", "nmp_ratio": "nmp"}
+    return {name: ratio(part, F.col("nodes") + F.col("qnodes")) for name, part in per_node.items()}
+
+
 def search_features(searches: DataFrame) -> DataFrame:
     """What a search row gives by itself, without a join: its counters under the names of reports, ratios, and how its move and evaluation compare."""
     c = lambda name, alias: F.col(name).alias(alias)
@@ -129,10 +135,9 @@ def search_features(searches: DataFrame) -> DataFrame:
         c("nmp_failhigh", "total_nmp_fail"), c("nmp_failhigh", "total_nmp_failhigh"), "tt_hits", "fail_highs", "sf_eval", "sf_best_move", "sf_pv", "eval", "depth",
         (F.col("eval") - F.col("sf_eval")).alias("eval_diff"), rank.alias("engine_move_rank"),
         F.when(F.col("move").isNull() | F.col("sf_pv").isNull(), None).otherwise(F.coalesce(first, F.lit(0)).cast("int")).alias("best_move_match"),
-        ratio(total, F.col("time_ms") / 1000).alias("nps"), ratio("qnodes", total).alias("qratio"), ratio("tt_hits", total).alias("tt_hit_ratio"), ratio("tt_stores", total).alias("tt_store_ratio"),
-        ratio("fail_highs", total).alias("fail_high_ratio"), ratio("fail_lows", total).alias("fail_low_ratio"), *[ratio_not_one(f"fh_index_{b}", "fail_highs").alias(f"fh_index_{b}_ratio") for b in FH_BUCKETS],
+        ratio(total, F.col("time_ms") / 1000).alias("nps"), *[x.alias(n) for n, x in search_shares().items()], *[ratio_not_one(f"fh_index_{b}", "fail_highs").alias(f"fh_index_{b}_ratio") for b in FH_BUCKETS],
         ratio("fail_high_researches", depths).alias("fail_high_researches_per_depth"), ratio("fail_low_researches", depths).alias("fail_low_researches_per_depth"),
-        ratio("nmp", total).alias("nmp_ratio"), ratio("nmp_failhigh", "nmp").alias("nmp_failhigh_ratio"),
+        ratio("nmp_failhigh", "nmp").alias("nmp_failhigh_ratio"),
     )
 
 

@@ -267,6 +267,15 @@ add(
     lambda searches, engines: quality.orphans(searches, "engine_id", engines, "V01"),
     "SELECT 'V01' AS code, 'error' AS severity, count(*) AS n FROM searches WHERE engine_id NOT IN (SELECT id FROM engines)",
 )
+add(
+    "J11_orphans_of_all",
+    lambda searches, games, iterations, tree, timings, root_moves: quality.counted([
+        quality.Source(games, parent=("game", "id")), quality.Source(searches, parent=("search", "id"), children={"search": ("game", "game_id")}),
+        *[quality.Source(df, children={name: ("search", "search_id")}) for name, df in (("iteration", iterations), ("tree", tree), ("timing", timings), ("root_move", root_moves))],
+    ]),
+    "SELECT 'search' AS code, count(*) AS n FROM searches WHERE game_id NOT IN (SELECT id FROM games)"
+    + "".join(f" UNION ALL SELECT '{code}', count(*) FROM {table} WHERE search_id NOT IN (SELECT id FROM searches)" for code, table in (("iteration", "iterations"), ("tree", "tree"), ("timing", "timings"), ("root_move", "root_moves"))),
+)
 _ENGINES = list(range(1, 23))
 add("J14_aligned_by_depth", lambda searches: match.aligned(searches, "completed_depth", "engine_id", _ENGINES, "nodes"),
     "SELECT completed_depth, " + ", ".join(f'max(nodes) FILTER (engine_id = {k}) AS "{k}"' for k in _ENGINES) + " FROM searches GROUP BY completed_depth")
@@ -493,12 +502,12 @@ _CHECKS = [
 ]
 add(
     "V01_V18_quality_report",
-    lambda searches, engines, iterations, tree, games, timings, wide: quality.report(searches, engines, iterations, tree, games, timings, wide),
+    lambda searches, engines, iterations, tree, games, timings: quality.report(searches, engines, iterations, tree, games, timings),
     _of_wide(" UNION ALL ".join(_CHECKS)),
 )
 add(
     "V19_quality_verdict",
-    lambda searches, engines, iterations, tree, games, timings, wide: quality.passed(quality.report(searches, engines, iterations, tree, games, timings, wide)),
+    lambda searches, engines, iterations, tree, games, timings: quality.passed(quality.report(searches, engines, iterations, tree, games, timings)),
     _of_wide(f"SELECT count(*) FILTER (severity = 'error' AND n > 0) = 0 AS passed, count(*) FILTER (severity = 'error' AND n > 0) AS errors, count(*) FILTER (severity = 'warn' AND n > 0) AS warnings FROM ({' UNION ALL '.join(_CHECKS)}) AS c"),
 )
 
