@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from ..sources import reports
 from ..sources.positions import move_tokens
 from . import views, warehouse
 from .entities import entity
+from .store import Store
 
 RATIO = "CAST({} AS DOUBLE) / NULLIF({}, 0)"
 
@@ -74,6 +76,47 @@ def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded_twice(spark, sf_dir, "search_id % 3 <> 0", late=True)
 
 
+def late_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timings of searches of which one function came first and the others late, some rows twice."""
+    root, rows = shared_folder(spark, "late"), entity(spark, sf_dir, "timings")
+    raw, to = warehouse.Store(spark, f"{root}/raw"), warehouse.Store(spark, f"{root}/analytics")
+    raw.write("timing", rows.where("function = 'ROOT'"))
+    warehouse.load(raw, to, late=True)
+    for late in ("function IN ('NNUE', 'SEE') OR function = 'ROOT' AND search_id % 5 = 0", "function NOT IN ('ROOT', 'NNUE', 'SEE')"):
+        raw.append("timing", rows.where(late))
+        warehouse.load(raw, to, late=True)
+    return to.read("search_timings").select("search_id", "function", "total_time_ms", "num_calls")
+
+
+def merged_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches after an upsert of the lowest hundredth of ids: new evaluations, nodes added up."""
+    store = Store(spark, shared_folder(spark, "merge"), {"searches": ("id",)})
+    rows = entity(spark, sf_dir, "searches").select("id", "eval", "nodes")
+    store.write("searches", rows)
+    most = store.last_id("searches") // 100
+    store.merge("searches", rows.where(F.col("id") <= most).select("id", (F.col("eval") + 1).alias("eval"), F.lit(5).cast("long").alias("nodes")), add=("nodes",))
+    return store.read("searches")
+
+
+MERGED_SQL = """SELECT id, CASE WHEN id <= most // 100 THEN eval + 1 ELSE eval END AS eval, CASE WHEN id <= most // 100 THEN nodes + 5 ELSE nodes END AS nodes
+  FROM searches, (SELECT max(id) AS most FROM searches) AS q"""
+
+
+def pinned_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games and searches as each version of a store has them: both of one commit, the second reading what the first wrote."""
+    store = Store(spark, shared_folder(spark, "versions"), {"searches": ("id",)})
+    games, searches = entity(spark, sf_dir, "games").select("id", "result"), entity(spark, sf_dir, "searches").select("id", "game_id", "nodes")
+    for k in range(3):
+        with store.begin() as commit:
+            commit.append("games", games.where(F.col("id") % 3 == k))
+            known = commit.read("games").select(F.col("id").alias("game_id"))
+            commit.append("searches", searches.where(F.col("game_id") % 3 == k).join(known, "game_id", "left_semi").select(searches.columns))
+    rows = [store.at(v).read("searches").agg(F.lit(v).alias("version"), F.count("*").alias("n"), F.sum("nodes").alias("nodes")) for v in store.versions()]
+    return reduce(DataFrame.unionAll, rows)
+
+
+VERSIONS_SQL = """SELECT CAST(v AS INTEGER) AS version, count(*) AS n, CAST(sum(nodes) AS BIGINT) AS nodes FROM searches, range(1, 4) AS r(v)
+  WHERE game_id % 3 < v AND game_id IN (SELECT id FROM games) GROUP BY v"""
 TIMINGS_SQL = "SELECT search_id, function, total_time_ms, num_calls FROM timings"
 
 
@@ -162,6 +205,9 @@ def add_all(add: Callable[..., None]) -> None:
     add("U26_paired_statistics", paired_statistics, PAIRED_SQL, "wilcoxon t ks")
     add("G01_S10_incremental_load", incremental_load, TIMINGS_SQL, "total_time_ms")
     add("G03_late_arrivals", late_arrivals, TIMINGS_SQL, "total_time_ms")
+    add("G04_late_children", late_children, TIMINGS_SQL, "total_time_ms")
+    add("S16_S18_merged_range", merged_range, MERGED_SQL)
+    add("S10_S13_pinned_versions", pinned_versions, VERSIONS_SQL)
     add("U05_board_cells", board_cells, CELLS_SQL)
     add("U06_U07_material", material, MATERIAL_SQL)
     add("U02_move_tokens", listed_moves, MOVES_SQL)

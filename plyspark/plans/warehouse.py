@@ -1,11 +1,12 @@
-"""The warehouse: raw tables to analytics tables, whole or incrementally, as Parquet folders that are swapped in."""
+"""The warehouse: raw tables to analytics tables, whole or incrementally, each load one version of a store."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.safe import decoded, last_part, trimmed_part
@@ -13,68 +14,28 @@ from ..operators.order import ranked
 from ..operators.search import iteration_features, tree_features, wide_features
 from ..schemas import FEATURES, OPTIONAL, REQUIRED
 from ..sources.positions import classified
+from . import store as versions
+from .store import upsert
+
+__all__ = ["Migration", "Store", "build_features", "contract", "derived", "imported", "load", "migrate", "registered", "upsert"]
 
 #: Codes of the logs.
 RESULTS = {1: "white", 2: "black", 3: "draw"}
 TERMINATIONS = {1: "checkmate", 2: "stalemate", 3: "threefold", 4: "fiftymove", 5: "time", 6: "resign"}
+#: Keys of analytics tables.
+KEYS = {
+    "engines": ("id",), "experiments": ("id",), "engine_ratings": ("id",), "sprt_runs": ("id",), "sts_runs": ("id",), "game_stats": ("id",), "search_stats": ("id",), "dim_positions": ("search_id",),
+    "iterative_deepening_stats": ("search_id", "depth"), "search_tree_stats": ("search_id", "depth"), "search_timings": ("search_id", "function"), "root_moves": ("search_id", "depth", "move"),
+    "search_iteration_features": ("search_id", "depth"), "search_tree_features": ("search_id", "depth"), "search_features": ("search_id",), "position_features": ("search_id",),
+}
 TRUTH = {"sf_eval": "int", "sf_best_move": "string", "sf_time_ms": "double", "sf_computed_at": "timestamp", "sf_pv": "string", "eval_diff": "double"}
 
 
-class Store:
-    """Tables below a folder. A table is a folder of versions; the last is read, so a writer that fails leaves the old one."""
+class Store(versions.Store):
+    """A store whose analytics tables have their keys."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _versions(self, table: str) -> list[str]:
-        fs, p = self._fs(f"{self.root}/{table}")
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if fs.exists(self._fs(f"{s.getPath()}/_SUCCESS")[1])) if fs.exists(p) else []
-
-    def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
-
-    def tables(self) -> list[str]:
-        fs, p = self._fs(self.root)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if self.exists(s.getPath().getName())) if fs.exists(p) else []
-
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}/{self._versions(table)[-1]}")
-
-    def columns(self, table: str) -> list[str]:
-        return self.read(table).columns if self.exists(table) else []
-
-    def write(self, table: str, df: DataFrame) -> None:
-        """Replaces a table, also by what is derived from it. The version before stays, for readers that have begun on it."""
-        old = self._versions(table)
-        name = f"v{int(old[-1][1:7]) + 1 if old else 1:06d}-{uuid.uuid4().hex[:6]}"
-        df.write.parquet(f"{self.root}/{table}/{name}")
-        for version in old[:-1]:
-            fs, p = self._fs(f"{self.root}/{table}/{version}")
-            fs.delete(p, True)
-
-    def append(self, table: str, df: DataFrame) -> None:
-        """Adds files to the last version; columns that either side lacks are NULL there."""
-        if not self.exists(table):
-            return self.write(table, df)
-        have = self.read(table).schema
-        out = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in have])
-        out.write.mode("append").parquet(f"{self.root}/{table}/{self._versions(table)[-1]}")
-
-    def drop(self, *tables: str) -> None:
-        for t in tables:
-            fs, p = self._fs(f"{self.root}/{t}")
-            fs.delete(p, True)
-
-    def clear(self, keep_engines: bool = False) -> None:
-        self.drop(*[t for t in self.tables() if not (keep_engines and t == "engines")])
-
-    def last_id(self, table: str, key: str = "id") -> int:
-        """The largest id, 0 without table or rows."""
-        return (self.read(table).agg(F.max(key)).first()[0] or 0) if self.exists(table) else 0
+        super().__init__(spark, root, KEYS)
 
 
 def imported(to: Store, url: str, tables: dict[str, str | None], parts: int = 8, **options: str) -> None:
@@ -92,22 +53,6 @@ def imported(to: Store, url: str, tables: dict[str, str | None], parts: int = 8,
         to.write(table, df)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, add: tuple[str, ...] = ()) -> DataFrame:
-    """``old`` with the values of ``new`` that aren't NULL; columns in ``add`` are added up; keys of ``new`` alone come in."""
-    o, n = old.alias("o"), new.alias("n")
-    joined = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
-
-    def merged(c: str) -> Column:
-        if c not in new.columns:
-            return F.col(f"o.{c}")
-        if c in add:
-            both = F.coalesce(f"o.{c}", F.lit(0)) + F.coalesce(f"n.{c}", F.lit(0))
-            return F.when(F.col(f"o.{c}").isNotNull() | F.col(f"n.{c}").isNotNull(), both)
-        return F.coalesce(f"n.{c}", f"o.{c}")
-
-    return joined.select(*[merged(c).alias(c) for c in old.columns])
-
-
 def registered(engines: DataFrame, new: DataFrame) -> DataFrame:
     """``engines`` and those of ``new`` whose version it doesn't have, with ids that follow."""
     last = engines.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
@@ -158,37 +103,64 @@ def _shaped(table: str, rows: DataFrame, raw: Store, book: DataFrame | None) ->
 
 
 def load(raw: Store, to: Store, full: bool = False, book: DataFrame | None = None, late: bool = False) -> dict[str, int]:
-    """Loads every table that ``raw`` has; the last id of each before.
+    """Loads every table that ``raw`` has, in one commit; the last id of each before.
 
-    Incrementally, rows over the last id loaded are appended; with ``late``, rows whose key isn't loaded, which also finds ids that came late.
+    Incrementally, rows over the last id loaded are appended; with ``late``, rows whose whole key isn't loaded, which also finds
+    ids and children of loaded searches that came late. Of a raw table that has only grown, just the parts that no load has taken are
+    looked through; a key is looked up only in files that can hold it.
     """
-    marks = {}
-    for table, (source, key) in derived(raw).items():
-        if not raw.exists(source):
-            continue
-        rows = raw.read(source)
-        loaded = "search_id" if table == "dim_positions" else key
-        marks[table] = 0 if full else to.last_id(table, loaded)
-        if full or not to.exists(table):
-            to.write(table, _shaped(table, rows, raw, book))
-        else:
-            new = rows.join(to.read(table).select(F.col(loaded).alias(key)).distinct(), key, "left_anti") if late else rows.where(F.col(key) > marks[table])
-            to.append(table, _shaped(table, new, raw, book))
+    marks, seen = {}, raw.at(raw.version)
+    with to.begin() as commit:
+        for table, (source, key) in derived(raw).items():
+            if not seen.exists(source):
+                continue
+            rows, taken = seen.read(source), {source: seen.parts(source)}
+            loaded = "search_id" if table == "dim_positions" else key
+            marks[table] = 0 if full else commit.last_id(table, loaded)
+            if full or not commit.exists(table):
+                commit.write(table, _shaped(table, rows, raw, book), taken)
+                continue
+            if late:
+                grown = seen.added(source, commit.taken(table))
+                names = {k: "id" for k in KEYS[table]} if table == "dim_positions" else {}
+                new = commit.missing(table, rows if grown is None else grown, names)
+            else:
+                new = rows.where(F.col(key) > marks[table])
+            if not new.isEmpty():
+                commit.append(table, _shaped(table, new, raw, book), taken)
     return marks
 
 
-def build_features(to: Store, full: bool = False) -> None:
-    """The feature tables, whole or for searches over the last one built."""
-    def built(name: str, make, key: str = "search_id") -> None:
-        after = None if full or not to.exists(name) else to.last_id(name, key)
-        df = make(after)
-        to.write(name, df) if after is None else to.append(name, df)
+def build_features(to: Store, full: bool = False) -> dict[str, int]:
+    """The feature tables in one commit; of each the files replaced.
 
-    built("search_tree_features", lambda a: tree_features(to.read("search_tree_stats"), a))
-    built("search_iteration_features", lambda a: iteration_features(to.read("iterative_deepening_stats"), a))
-    built("search_features", lambda a: wide_features(to.read("search_stats"), to.read("search_iteration_features"), to.read("search_timings"), to.read("position_features"), to.read("engines"), to.read("game_stats"), to.read("sts_runs"), a))
-    stats = to.read("search_stats")
-    to.write("search_stats", stats.withColumn("eval_diff", F.coalesce("eval_diff", (F.col("eval") - F.col("sf_eval")).cast("double"))))
+    What a search's features are made from may grow late. So the searches that parts taken since the last build name are built anew, and
+    merged into the files that hold them; a table is built whole the first time, with ``full``, or where a source was replaced.
+    """
+    replaced = {}
+    with to.begin() as commit:
+
+        def built(name: str, sources: dict[str, str], make: Callable[[Callable[[str], DataFrame]], DataFrame]) -> None:
+            taken = {s: commit.parts(s) for s in sources}
+            before = commit.taken(name)
+            grown = {s: commit.added(s, before) for s in sources} if commit.exists(name) and not full else {}
+            if not grown or any(df is None for df in grown.values()):
+                commit.write(name, make(commit.read), taken)
+                replaced[name] = 0
+                return
+            ids = reduce(DataFrame.unionAll, [df.select(F.col(sources[s]).cast("long").alias("_changed")) for s, df in grown.items()]).distinct()
+            if not ids.isEmpty():
+                of = lambda t: commit.read(t).join(ids, F.col(sources[t]) == F.col("_changed"), "left_semi") if t in sources else commit.read(t)
+                replaced[name] = commit.merge(name, make(of), taken=taken)
+
+        built("search_tree_features", {"search_tree_stats": "search_id"}, lambda of: tree_features(of("search_tree_stats")))
+        built("search_iteration_features", {"iterative_deepening_stats": "search_id"}, lambda of: iteration_features(of("iterative_deepening_stats")))
+        wide = {"search_stats": "id", "iterative_deepening_stats": "search_id", "search_timings": "search_id", "position_features": "search_id"}
+        built("search_features", wide, lambda of: wide_features(of("search_stats"), iteration_features(of("iterative_deepening_stats")), of("search_timings"), of("position_features"), of("engines"), of("game_stats"), of("sts_runs")))
+        differing = commit.read("search_stats").where("eval_diff IS NULL AND eval IS NOT NULL AND sf_eval IS NOT NULL")
+        if not differing.isEmpty():
+            replaced["search_stats"] = commit.merge("search_stats", differing.select("id", (F.col("eval") - F.col("sf_eval")).cast("double").alias("eval_diff")))
+    return replaced
 
 
 # migrations and contracts
@@ -213,9 +185,10 @@ def migrate(store: Store, migrations: list[Migration], only: str | None = None,
         applied.append(m.id)
         if dry_run or not store.exists(m.table):
             continue
-        df = store.read(m.table)
-        store.write(m.table, df.withColumns({n: F.lit(v).cast(t) for n, t, v in m.columns if n not in df.columns}))
-        store.append("schema_migrations", store.spark.createDataFrame([(m.id,)], "id string").withColumn("applied_at", F.current_timestamp()))
+        with store.begin() as commit:
+            df = commit.read(m.table)
+            commit.write(m.table, df.withColumns({n: F.lit(v).cast(t) for n, t, v in m.columns if n not in df.columns}))
+            commit.append("schema_migrations", store.spark.createDataFrame([(m.id,)], "id string").withColumn("applied_at", F.current_timestamp()))
     return applied
 
 
