@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import elo, safe
 from ..operators import match, quality, search
 from ..operators.search import FH_BUCKETS, TIMED
-from . import paths, views
+from ..scratch import shared_folder
+from . import layout, paths, views
 from .entities import entity, with_entities
 
 
@@ -80,6 +81,15 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.wide_features(of("searches"), search.iteration_features(of("iterations")), of("timings"), of("positions"), of("engines"), of("games"), suites)
 
 
+def wide_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table from searches and children stored in buckets."""
+    of = lambda n: entity(spark, sf_dir, n)
+    suites = of("suites").select("id", safe.last_part("path").alias("suite"), safe.trimmed_part("category", "-", 2).alias("position_name"), "move_is_correct")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = layout.search_layout({n: of(n) for n in layout.SEARCH_KEYS}, shared_folder(spark, "buckets"), buckets)
+    return layout.wide_by_bucket(spark, stored, of("engines"), of("games"), suites)
+
+
 # SQL of the feature tables
 
 
@@ -164,6 +174,7 @@ add("W10_tree_features", lambda tree_rows: tree_rows, TREE_SQL, " ".join(TREE))
 add("A16_timing_pivot", lambda timings: search.pivoted_timings(timings), TIMING_SQL, " ".join(k for k in TIMING))
 add("A17_A19_iteration_rollup", lambda iteration_rows: search.iteration_rollup(iteration_rows), ROLLUP_SQL, _ROLLUP_DOUBLES)
 add("J01_J07_wide_features", lambda wide: wide, WIDE_SQL, _WIDE_DOUBLES)
+add("J01_J07_by_bucket", wide_by_bucket, WIDE_SQL, _WIDE_DOUBLES)
 add(
     "P14_incremental_iterations",
     lambda iterations: search.iteration_features(iterations, after=60),
