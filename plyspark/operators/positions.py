@@ -1,7 +1,7 @@
 """Features of positions from FEN text.
 
-What needs no rules is column expressions over the 64 cells of the board; legal moves and attacks come from
-one pandas UDF, which runs once for each distinct FEN.
+What needs no rules of check is column expressions, over the 64 cells of the board or, for attacks, over its masks of 64 bits
+(``bitboards``); legal moves come from one pandas UDF, which runs once for each distinct FEN.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..chesscore.rules import Position, legal_prefix, perft, read_move
+from . import bitboards
 
 #: What pieces are worth to the classifier, to the balance, and to the game's phase.
 CENTIPAWNS = {"p": 100, "n": 320, "b": 330, "r": 500, "q": 900}
@@ -78,8 +79,8 @@ def _sides(board: str) -> dict[str, str]:
     return out
 
 
-_MOBILITY = {"num_moves": T.IntegerType(), "capture_ratio": T.DoubleType(), "check_ratio": T.DoubleType(), "legal_enemy": T.IntegerType(), "controlled_enemy": T.IntegerType()}
-RULED = T.StructType([T.StructField(n, T.IntegerType()) for n in ("captures", "checks", "hanging")] + [T.StructField(f"{s}_{n}", t) for s in ("white", "black") for n, t in _MOBILITY.items()])
+_MOBILITY = {"num_moves": T.IntegerType(), "capture_ratio": T.DoubleType(), "check_ratio": T.DoubleType(), "legal_enemy": T.IntegerType()}
+RULED = T.StructType([T.StructField(n, T.IntegerType()) for n in ("captures", "checks")] + [T.StructField(f"{s}_{n}", t) for s in ("white", "black") for n, t in _MOBILITY.items()])
 
 
 def _ruled(fen: str | None) -> dict | None:
@@ -89,16 +90,14 @@ def _ruled(fen: str | None) -> dict | None:
         return None
     legal = p.legal_moves()
     checks = lambda pos, moves: sum(pos.play(m).in_check(not pos.white) for m in moves)
-    hanging = sum(c != "." and p.attacked(s, not c.isupper()) and not p.attacked(s, c.isupper()) for s, c in enumerate(p.cells))
-    out = {"captures": sum(map(p.is_capture, legal)), "checks": checks(p, legal), "hanging": hanging}
+    out = {"captures": sum(map(p.is_capture, legal)), "checks": checks(p, legal)}
     turned = p
     for side, white in (("white", True), ("black", False)):
         turned = turned if turned.white == white else turned.passed_turn()
         moves = turned.legal_moves()
         far = lambda s: (s >= 32) == white  # noqa: E731, B023
         n = max(len(moves), 1)
-        held = {to for s in range(64) if p.own(s, white) for to in p.attacks(s) if far(to)}
-        numbers = len(moves), sum(map(turned.is_capture, moves)) / n, checks(turned, moves) / n, sum(far(m.to) for m in moves), len(held)
+        numbers = len(moves), sum(map(turned.is_capture, moves)) / n, checks(turned, moves) / n, sum(far(m.to) for m in moves)
         out |= {f"{side}_{c}": v for c, v in zip(_MOBILITY, numbers, strict=True)}
     return out
 
@@ -118,7 +117,7 @@ def position_features(positions: DataFrame, done: DataFrame | None = None) -> Da
     if done is not None:
         rows = rows.join(done.select("search_id"), "search_id", "left_anti")
     f = rows.select("fen").distinct().withColumn("board", cells(F.col("fen")))
-    f = f.withColumn("x", ruled("fen"))
+    f = bitboards.attack_features(f, "board").withColumn("x", ruled("fen"))
     f = f.withColumns({k: F.expr(f"CASE WHEN board IS NOT NULL THEN {v} END") for k, v in _sides("board").items()})
     c = F.col
     doubled = {s: F.expr(f"aggregate({s}_files, 0, (a, n) -> a + greatest(n - 1, 0))") for s in ("white", "black")}
@@ -129,7 +128,7 @@ def position_features(positions: DataFrame, done: DataFrame | None = None) -> Da
     share = lambda n, most, weight: F.least(n / most, F.lit(1.0)) * weight
     rights = fen_part(c("fen"), 2, "-")
     lost = reduce(lambda a, b: a + b, [F.when(F.contains(rights, F.lit(x)), 0).otherwise(1) for x in "KQkq"])
-    tactical = share(c("x.captures"), 6.0, 0.4) + share(c("x.checks"), 2.0, 0.25) + share(c("x.hanging"), 4.0, 0.25) + F.when(fen_part(c("fen"), 3, "-") != "-", 0.15).otherwise(0.0) + lost / 4 * 0.1 + share(damage, 8, 0.1)
+    tactical = share(c("x.captures"), 6.0, 0.4) + share(c("x.checks"), 2.0, 0.25) + share(c("hanging"), 4.0, 0.25) + F.when(fen_part(c("fen"), 3, "-") != "-", 0.15).otherwise(0.0) + lost / 4 * 0.1 + share(damage, 8, 0.1)
     tactical = F.least(tactical, F.lit(1.0)) * (1.0 - endgame * 0.4)
     imbalance = F.abs(weighed(board, CENTIPAWNS, True) - weighed(board, CENTIPAWNS, False))
     positional = (share(number_of(board, "nbrqNBRQ"), 10, 0.4) + (1 - F.least(imbalance / 900.0, F.lit(1.0))) * 0.35 + (1 - F.least(damage / 8, F.lit(1.0))) * 0.25) * (1.0 - endgame * 0.6)
@@ -145,6 +144,7 @@ def position_features(positions: DataFrame, done: DataFrame | None = None) -> Da
         columns |= {f"{s}_shield_pawns": c(f"{s}_shield_pawns"), f"{s}_open_files": c(f"{s}_open_files"), f"{s}_tropism": c(f"{s}_tropism").cast("float")}
     for s in ("white", "black"):
         columns |= {f"{s}_{m}": c(f"x.{s}_{m}").cast("float" if t == T.DoubleType() else "int") for m, t in _MOBILITY.items()}
+        columns[f"{s}_controlled_enemy"] = c(f"{s}_controlled")
     features = f.select("fen", *[v.alias(k) for k, v in columns.items()])
     return rows.select("search_id", "game_id", "fen").join(features, "fen").select("search_id", "game_id", "fen", *columns)
 

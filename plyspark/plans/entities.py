@@ -24,6 +24,12 @@ BOARDS = [
     "r1bq1rk1/pp2bppp/2n1pn2/3p4/3P4/2NB1N2/PP3PPP/R1BQ1RK1 b - - 4 22", "4k3/8/8/8/8/8/4P3/4K3 w - - 5 60", "r2q1rk1/pP1p2pp/Q4n2/bbp1p3/Np6/1B3NBn/pPPP1PPP/R3K2R b KQ - 0 16",
 ]
 
+#: Openings that games are made of, in moves of four characters.
+LINES = [
+    "e2e4 e7e5 g1f3 b8c6 f1b5 a7a6 b5a4 g8f6 e1g1 f8e7", "e2e4 c7c5 g1f3 d7d6 d2d4 c5d4 f3d4 g8f6 b1c3 a7a6", "d2d4 d7d5 c2c4 e7e6 b1c3 g8f6 c1g5 f8e7 e2e3 e8g8", "d2d4 g8f6 c2c4 g7g6 b1c3 f8g7 e2e4 d7d6 g1f3 e8g8",
+    "c2c4 e7e5 b1c3 g8f6 g1f3 b8c6 g2g3 d7d5 c4d5 f6d5", "e2e4 e7e6 d2d4 d7d5 b1c3 f8b4 e4e5 c7c5 a2a3 b4c3", "e2e4 c7c6 d2d4 d7d5 e4e5 c8f5 g1f3 e7e6 f1e2 c6c5",
+]
+
 ENTITIES = {
     "engines": "SELECT CAST(n_nationkey AS BIGINT) + 1 AS id, n_name AS name, 'v' || CAST(n_regionkey AS VARCHAR(9)) AS version FROM nation WHERE n_nationkey < 20",
     "games": """SELECT c_custkey AS id, c_custkey % 21 + 1 AS white_engine_id, (c_custkey + 7) % 21 + 1 AS black_engine_id,
@@ -55,6 +61,9 @@ ENTITIES = {
     "records": """SELECT o_custkey AS engine_id, sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS wins, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS draws,
         sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS losses FROM orders GROUP BY o_custkey""",
     "boards": "SELECT o_orderkey AS id, CASE o_orderkey % 6 " + " ".join(f"WHEN {k} THEN '{fen}'" for k, fen in enumerate(BOARDS)) + " END AS fen FROM orders",
+    "placed": """SELECT id, square, piece FROM (SELECT l_orderkey - l_orderkey % 8 AS id, l_partkey % 64 AS square, substring('PNBRQKpnbrqk', CAST(l_suppkey % 12 AS INT) + 1, 1) AS piece,
+        row_number() OVER (PARTITION BY l_orderkey - l_orderkey % 8, l_partkey % 64 ORDER BY l_orderkey, l_linenumber, l_suppkey) AS k FROM lineitem) AS r WHERE k = 1""",
+    "lines_played": "SELECT o_orderkey AS id, substring(CASE o_custkey % 7 " + " ".join(f"WHEN {k} THEN '{line}'" for k, line in enumerate(LINES)) + " END, 1, CAST(5 * (o_orderkey % 11) AS INT)) AS moves FROM orders",
     "played": """SELECT run, CAST(row_number() OVER (PARTITION BY run ORDER BY o_orderkey) AS BIGINT) AS game_num, CASE o_orderstatus WHEN 'O' THEN 'w' WHEN 'P' THEN 'd' ELSE 'l' END AS outcome
         FROM (SELECT o_custkey AS run, o_orderkey, o_orderstatus FROM orders) AS r""",
 }

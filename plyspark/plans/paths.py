@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.paired import paired_tests
 from ..functions.safe import sample_rows
-from ..operators import positions
+from ..operators import bitboards, positions
 from ..operators.order import ranked, running_total
 from ..operators.search import FH_BUCKETS
 from ..scratch import shared_folder
 from ..sources import reports
-from ..sources.positions import move_tokens
+from ..sources.positions import classified, move_tokens
 from . import views, warehouse
 from .entities import entity
 from .store import Store
@@ -145,6 +145,54 @@ for _n in range(1, 9):
 CELLS_SQL = f"SELECT id, array_to_string(list_reverse(string_split({_DOTS}, '/')), '') AS cells FROM boards"
 
 
+def attacks(placed: DataFrame) -> DataFrame:
+    """Attacks on boards put together from their pieces."""
+    board = F.expr("array_join(transform(sequence(0, 63), s -> coalesce(try_element_at(men, CAST(s AS BIGINT)), '.')), '')")
+    boards = placed.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("square", "piece"))).alias("men")).select("id", board.alias("board"))
+    return bitboards.attack_features(boards, "board").drop("board")
+
+
+_STEPS = ", ".join(
+    f"('{kind}', {f}, {r}, {most})"
+    for kinds, steps, most in (("rq", bitboards.ROOK, 7), ("bq", bitboards.BISHOP, 7), ("k", bitboards.ROOK + bitboards.BISHOP, 1), ("n", bitboards.LEAPS, 1), ("P", [(-1, 1), (1, 1)], 1), ("p", [(-1, -1), (1, -1)], 1))
+    for kind in kinds
+    for f, r in steps
+)
+ATTACKS_SQL = f"""WITH steps(kind, f, r, most) AS (VALUES {_STEPS}),
+rays AS (SELECT id, square, piece, f, r, k, square + k * (f + 8 * r) AS target FROM placed
+  JOIN steps ON kind = CASE WHEN lower(piece) = 'p' THEN piece ELSE lower(piece) END, range(1, 8) AS d(k)
+  WHERE k <= most AND square % 8 + k * f BETWEEN 0 AND 7 AND square // 8 + k * r BETWEEN 0 AND 7),
+stops AS (SELECT x.id, x.square, f, r, min(k) AS stop FROM rays x JOIN placed y ON x.id = y.id AND x.target = y.square GROUP BY ALL),
+hits AS (SELECT x.*, piece = upper(piece) AS white FROM rays x LEFT JOIN stops USING (id, square, f, r) WHERE k <= coalesce(stop, 7)),
+sides AS (SELECT id, white, count(DISTINCT target) AS attacked, count(DISTINCT target) FILTER ((target >= 32) = white) AS controlled FROM hits GROUP BY id, white),
+takes AS (SELECT h.id, h.white, sum(CASE WHEN lower(h.piece) = 'p' AND target // 8 IN (0, 7) THEN 4 ELSE 1 END) AS captures
+  FROM hits h JOIN placed y ON h.id = y.id AND h.target = y.square AND (y.piece = upper(y.piece)) <> h.white GROUP BY ALL),
+loose AS (SELECT p.id, count(*) AS hanging FROM placed p WHERE EXISTS (FROM hits h WHERE h.id = p.id AND h.target = p.square AND h.white <> (p.piece = upper(p.piece)))
+  AND NOT EXISTS (FROM hits h WHERE h.id = p.id AND h.target = p.square AND h.white = (p.piece = upper(p.piece))) GROUP BY p.id)
+SELECT b.id, {', '.join(f'CAST(coalesce({s[0]}s.{c}, 0) AS INTEGER) AS {s}_{c}' for s in ('white', 'black') for c in ('attacked', 'controlled'))},
+  CAST(coalesce(wt.captures, 0) AS INTEGER) AS white_captures, CAST(coalesce(bt.captures, 0) AS INTEGER) AS black_captures, CAST(coalesce(hanging, 0) AS INTEGER) AS hanging
+FROM (SELECT DISTINCT id FROM placed) b LEFT JOIN sides ws ON ws.id = b.id AND ws.white LEFT JOIN sides bs ON bs.id = b.id AND NOT bs.white
+LEFT JOIN takes wt ON wt.id = b.id AND wt.white LEFT JOIN takes bt ON bt.id = b.id AND NOT bt.white LEFT JOIN loose l ON l.id = b.id"""
+
+#: Two books: the second names some lines anew.
+BOOKS = [
+    [("C20", "King's pawn", "e2e4"), ("C60", "Spanish", "e2e4 e7e5 g1f3 b8c6 f1b5"), ("B90", "Najdorf", "e2e4 c7c5 g1f3 d7d6 d2d4 c5d4 f3d4 g8f6 b1c3 a7a6"), ("D30", "Queen's gambit", "d2d4 d7d5 c2c4"), ("A20", "English", "c2c4 e7e5")],
+    [("C84", "Closed Spanish", "e2e4 e7e5 g1f3 b8c6 f1b5 a7a6 b5a4 g8f6 e1g1 f8e7"), ("D06", "Queen's gambit of the other book", "d2d4 d7d5 c2c4"), ("E60", "Indian", "d2d4 g8f6 c2c4 g7g6"), ("C00", "French", "e2e4 e7e6"), ("A00", "None", "a2a3")],
+]
+
+
+def deepest_openings(lines_played: DataFrame) -> DataFrame:
+    spark = lines_played.sparkSession
+    books = [spark.createDataFrame([(k, e, n, m.split()) for k, (e, n, m) in enumerate(book)], "at int, eco string, name string, moves array<string>") for book in BOOKS]
+    return classified(lines_played, *books).select("id", "opening", "opening_eco")
+
+
+_BOOK_ROWS = ", ".join("({}, '{}', '{}', '{}')".format(k, e, n.replace("'", "''"), m) for k, book in enumerate(BOOKS) for e, n, m in book)
+OPENINGS_SQL = f"""WITH book(k, eco, name, line) AS (VALUES {_BOOK_ROWS}),
+found AS (SELECT id, arg_max(struct_pack(name := name, eco := eco), length(line) * 10 + k) AS e FROM lines_played JOIN book ON starts_with(trim(moves) || ' ', line || ' ') GROUP BY id)
+SELECT g.id, coalesce(e.name, '') AS opening, coalesce(e.eco, '') AS opening_eco FROM lines_played g LEFT JOIN found USING (id)"""
+
+
 def listed_moves(searches: DataFrame) -> DataFrame:
     return searches.select("id", F.posexplode(move_tokens(F.col("sf_pv"))).alias("at", "move"))
 
@@ -210,6 +258,8 @@ def add_all(add: Callable[..., None]) -> None:
     add("S10_S13_pinned_versions", pinned_versions, VERSIONS_SQL)
     add("U05_board_cells", board_cells, CELLS_SQL)
     add("U06_U07_material", material, MATERIAL_SQL)
+    add("U10_U12_attacks", attacks, ATTACKS_SQL)
+    add("U01_U04_deepest_openings", deepest_openings, OPENINGS_SQL)
     add("U02_move_tokens", listed_moves, MOVES_SQL)
     add("U31_option_lines", option_lines, OPTIONS_SQL)
     add("D16_compare_summary", compare_summary, COMPARE_SQL, "avg_depth avg_nodes avg_time")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.positions import uci_prefix
+from ..scratch import saved
 
 
 def epd(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -47,16 +50,36 @@ def move_tokens(moves: Column) -> Column:
     return F.coalesce(listed, plain, F.array().cast("array<string>"))
 
 
-def classified(games: DataFrame, book: DataFrame) -> DataFrame:
-    """``games`` (id, moves) with the deepest opening of ``book`` that their moves begin with, '' where none.
+def prefix_hashes(moves: Column, most: int) -> Column:
+    """A hash of the first 1, 2, ... moves of a list, up to ``most``: each from the one before and the next move."""
+    start = F.struct(F.lit(0).cast("long").alias("h"), F.array().cast("array<bigint>").alias("all"))
+
+    def further(state: Column, move: Column) -> Column:
+        h = F.xxhash64(state["h"], move)
+        return F.struct(h.alias("h"), F.array_append(state["all"], h).alias("all"))
+
+    return F.aggregate(F.slice(moves, 1, most), start, further, lambda state: state["all"])
+
+
+def classified(games: DataFrame, *books: DataFrame) -> DataFrame:
+    """``games`` (id, moves) with the deepest opening of the ``books`` that their moves begin with, '' where none.
 
-    Prefixes of distinct move lists, no longer than the book's longest line, join the lines; of equal lines the last in the book counts.
+    A line of a book is found by the hash of all its moves among the hashes of a game's prefixes, which are numbers, one for each move up to
+    the longest line; what is found is compared move by move, so equal hashes of other lines do no harm. Of equal lines the last of the last book counts.
     """
-    lines = book.where(F.size("moves") > 0).groupBy(F.array_join("moves", " ").alias("line")).agg(F.max_by(F.struct("eco", "name"), "at").alias("entry"), F.first(F.size("moves")).alias("n"))
-    longest = lines.agg(F.max("n")).first()[0] or 0
-    lists = games.select("moves").distinct().withColumn("uci", uci_prefix(move_tokens(F.col("moves"))))
-    prefixes = lists.where(F.size("uci") > 0).select("moves", F.explode(F.expr(f"transform(sequence(1, least(size(uci), {longest})), n -> array_join(slice(uci, 1, n), ' '))")).alias("line"))
-    found = prefixes.join(lines, "line").groupBy("moves").agg(F.max_by("entry", "n").alias("e")).select(F.col("moves").alias("_m"), "e")
+    numbered = [b.where(F.size("moves") > 0).select(F.struct(F.lit(k).alias("book"), "at").alias("at"), "eco", "name", "moves") for k, b in enumerate(books)]
+    lines = reduce(DataFrame.unionAll, numbered).groupBy(F.col("moves").alias("line")).agg(F.max_by(F.struct("eco", "name"), "at").alias("entry"))
+    longest = lines.agg(F.max(F.size("line"))).first()[0] or 0
+    if not longest:
+        return games.select("*", F.lit("").alias("opening"), F.lit("").alias("opening_eco"))
+    entries = lines.select(F.element_at(prefix_hashes(F.col("line"), longest), -1).alias("h"), "line", "entry")
+    lists = games.select("moves").distinct().withColumns({"uci": uci_prefix(move_tokens(F.col("moves"))), "list": F.xxhash64("moves")})
+    # a condition on moves read would be pushed below the distinct, to every game: so it stands after they are saved
+    lists = saved(lists, "lists").where(F.size("uci") > 0)
+    prefixes = lists.select("list", F.explode(prefix_hashes(F.col("uci"), longest)).alias("h"))
+    hits = prefixes.join(entries, "h").groupBy("list").agg(F.sort_array(F.collect_set(F.struct(F.size("line").alias("n"), "line", "entry")), asc=False).alias("hits"))
+    deepest = F.get(F.filter("hits", lambda x: F.slice("uci", 1, x["n"]) == x["line"]), F.lit(0))
+    found = lists.join(hits, "list").select(F.col("moves").alias("_m"), deepest["entry"].alias("e"))
     joined = games.join(found, F.col("moves").eqNullSafe(F.col("_m")), "left")
     return joined.select(*games.columns, F.coalesce("e.name", F.lit("")).alias("opening"), F.coalesce("e.eco", F.lit("")).alias("opening_eco"))
 
