@@ -70,6 +70,19 @@ class Position:
         self.castling = parts[2]
         self.passing = square(parts[3]) if parts[3] != "-" else None
 
+    @classmethod
+    def of_key(cls, key: str) -> Position:
+        """The position of a ``key``."""
+        p = object.__new__(cls)
+        cells, side, p.castling, passing = key.split()
+        p.cells, p.white, p.passing = list(cells), side == "w", square(passing) if passing != "-" else None
+        return p
+
+    def key(self) -> str:
+        """Text that two positions share only if the same moves follow: a pawn in passing counts where one can take it."""
+        taken = self.passing is not None and any(self.cells[s] == ("P" if self.white else "p") for s in PAWN_TAKES[not self.white][self.passing])
+        return f"{''.join(self.cells)} {'w' if self.white else 'b'} {self.castling} {name(self.passing) if taken else '-'}"
+
     def own(self, sq: int, white: bool) -> bool:
         c = self.cells[sq]
         return c != "." and c.isupper() == white

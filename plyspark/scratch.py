@@ -37,6 +37,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def free(name: str, *frames: DataFrame) -> str:
     """``name``, with underscores before it until no column of ``frames`` has it (names are compared without case)."""
     taken = {c.lower() for df in frames for c in df.columns}
