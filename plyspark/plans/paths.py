@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.paired import paired_tests
 from ..functions.safe import sample_rows
-from ..operators import bitboards, positions
+from ..operators import bitboards, frontier, positions
 from ..operators.order import ranked, running_total
 from ..operators.search import FH_BUCKETS
 from ..scratch import shared_folder
-from ..sources import reports
-from ..sources.positions import classified, move_tokens
+from ..sources import intake, reports
+from ..sources.positions import classified, epd, move_tokens
 from . import views, warehouse
 from .entities import entity
 from .store import Store
@@ -120,6 +120,66 @@ VERSIONS_SQL = """SELECT CAST(v AS INTEGER) AS version, count(*) AS n, CAST(sum(
 TIMINGS_SQL = "SELECT search_id, function, total_time_ms, num_calls FROM timings"
 
 
+# files written from tables and read back
+
+
+def log_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON lines in files that come in two goes, some lines broken, taken in three: (status, n, total), a row of rejected lines beside."""
+    root = shared_folder(spark, "intake")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_custkey")
+    broken = F.col("o_orderkey") % 97 == 0
+    lines = orders.select("o_orderkey", F.when(broken, F.concat(F.lit("bad "), F.col("o_orderkey").cast("string"))).otherwise(F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_custkey"))).alias("value"))
+    store, schema = Store(spark, f"{root}/store"), orders.schema
+    for k in range(2):
+        lines.where(F.col("o_orderkey") % 2 == k).select("value").write.mode("append").text(f"{root}/logs")
+        intake.take(store, f"{root}/logs", "log", schema, "part-*")
+    intake.take(store, f"{root}/logs", "log", schema, "part-*")
+    good = store.read("log").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.sum("o_custkey").alias("total"))
+    ledger = store.read(intake.LEDGER).agg(F.lit("rejected").alias("status"), F.sum("rejected").alias("n"), F.sum("lines").alias("total"))
+    return good.unionByName(ledger)
+
+
+INTAKE_SQL = """SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS total FROM orders WHERE o_orderkey % 97 <> 0 GROUP BY 1
+  UNION ALL SELECT 'rejected', count(*) FILTER (o_orderkey % 97 = 0), count(*) FROM orders"""
+
+
+def suite_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as records of a position suite, with comments and blank lines between, read back."""
+    path = shared_folder(spark, "suite")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    record = F.concat(F.lit("8/8/4k3/8/3PP3/8/4K3/8 w - - bm e"), (F.col("p_size") % 8 + 1).cast("string"), F.lit(" d5; id "), F.lit('"'), F.col("p_name"), F.lit('"; ce '), F.col("p_partkey").cast("string"), F.lit(";"))
+    lines = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("# "), record)).when(F.col("p_partkey") % 11 == 0, F.lit("")).otherwise(record)
+    part.select(lines.alias("value")).write.text(path)
+    return epd(spark, path).select("ce", F.col("id").alias("name"), F.array_join("expected", " ").alias("expected"), "fen")
+
+
+SUITE_SQL = """SELECT CAST(p_partkey AS INTEGER) AS ce, p_name AS name, 'e' || CAST(p_size % 8 + 1 AS VARCHAR) || ' d5' AS expected, '8/8/4k3/8/3PP3/8/4K3/8 w - - 0 1' AS fen
+  FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0"""
+
+
+def report_statistics(part: DataFrame) -> DataFrame:
+    """Labelled numbers of a report made of each part."""
+    n = F.col("p_size").cast("string")
+    text = F.concat(F.lit("Engine x 1\nNodes Total   "), n, F.lit("\nQNodes "), (F.col("p_partkey") % 50).cast("string"), F.lit("\nFH % at [0]   "), n, F.lit(".5%   Fail Highs "), n, F.lit("\n 1 2 3\n"))
+    found = reports.statistics(part.select("p_partkey", text.alias("text")))
+    of = lambda label: reports.labelled(F.col("statistics"), label)
+    return found.select("p_partkey", of("Total").alias("total"), of("FH % at [0]").alias("first"), of("Fail Highs").alias("highs"), of("Fail Lows").alias("lows"), "q_ratio")
+
+
+STATISTICS_SQL = """SELECT p_partkey, CAST(p_size AS DOUBLE) AS total, p_size + 0.5::DOUBLE AS first, CAST(p_size AS DOUBLE) AS highs, CAST(NULL AS DOUBLE) AS lows,
+  CASE WHEN p_size > 0 THEN 100.0::DOUBLE * (p_partkey % 50) / p_size END AS q_ratio FROM part"""
+
+
+def perft_counts(boards: DataFrame) -> DataFrame:
+    return frontier.perft(boards.withColumn("depth", (F.col("id") % 3 + 1).cast("int"))).select("id", "depth", "nodes")
+
+
+#: Known numbers of sequences of 1, 2 and 3 moves from each of ``entities.BOARDS``.
+PERFT = [(20, 400, 8902), (48, 2039, 97862), (14, 191, 2812), (33, 1413, 47846), (6, 30, 210), (6, 264, 9467)]
+PERFT_SQL = f"""WITH known(board, depth, nodes) AS (VALUES {', '.join(f'({b}, {d + 1}, {n})' for b, row in enumerate(PERFT) for d, n in enumerate(row))})
+SELECT id, CAST(k.depth AS INTEGER) AS depth, CAST(k.nodes AS BIGINT) AS nodes FROM boards JOIN known k ON id % 6 = k.board AND id % 3 + 1 = k.depth"""
+
+
 # positions and text
 
 
@@ -258,6 +318,10 @@ def add_all(add: Callable[..., None]) -> None:
     add("S10_S13_pinned_versions", pinned_versions, VERSIONS_SQL)
     add("U05_board_cells", board_cells, CELLS_SQL)
     add("U06_U07_material", material, MATERIAL_SQL)
+    add("S01_S35_log_intake", log_intake, INTAKE_SQL)
+    add("S25_suite_records", suite_records, SUITE_SQL)
+    add("F05_report_statistics", report_statistics, STATISTICS_SQL, "total first highs lows q_ratio")
+    add("U32_perft_counts", perft_counts, PERFT_SQL)
     add("U10_U12_attacks", attacks, ATTACKS_SQL)
     add("U01_U04_deepest_openings", deepest_openings, OPENINGS_SQL)
     add("U02_move_tokens", listed_moves, MOVES_SQL)

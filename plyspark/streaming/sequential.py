@@ -2,7 +2,10 @@
 
 Games of a run may come in any order and more than once. They count in order of game number, from 1: one that comes early waits in
 state for those before it. After each game there is a row; once the ratio decides, nothing more is given out. What a run holds is
-removed when nothing has come for it for a while.
+removed when nothing has come for it for a while, by a timer that the next batch fires.
+
+A query with timers asks for batches without end; one that shall end when its input is read (``availableNow``) needs
+``spark.sql.streaming.noDataMicroBatches.enabled`` off.
 """
 
 from __future__ import annotations

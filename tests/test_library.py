@@ -246,8 +246,10 @@ def test_suites_books_and_reports(spark, tmp_path):
     assert (r.candidate_wins, r.candidate_losses, r.candidate_draws, r.games_played, r.candidate_white_wins, r.elo_diff, r.los, r.result) == (3, 1, 2, 6, 2, None, 97.5, "pass")
     assert [(x.white, x.result) for x in reports.finished_games(lines).orderBy("at").collect()] == [("Candidate", "1-0"), ("B", "1/2-1/2")]
     write(str(tmp_path / "s.txt"), "Completed Depth  9\nNPS 1000\nTotal 200\nQNodes 50\nFH % at [0] 71.5%\nD  Eval  Move Time Nodes\n----\n1  10 e2e4 1 20\n2 -5 d2d4 3 60\n")
-    st = reports.statistics(spark.read.text(str(tmp_path / "s.txt"), wholetext=True).withColumnRenamed("value", "text")).first()
-    assert (st.depth, st.nodes, st.q_ratio, st.fh_first_pct, st.fail_lows) == (9.0, 200.0, 25.0, 71.5, None)
+    stats = reports.statistics(spark.read.text(str(tmp_path / "s.txt"), wholetext=True).withColumnRenamed("value", "text"))
+    st = stats.first()
+    of = lambda *labels: tuple(spark.createDataFrame([st], stats.schema).select(*[reports.labelled(F.col("statistics"), x).alias(x) for x in labels]).first())
+    assert of("Completed Depth", "Total", "FH % at [0]", "Fail Lows") == (9.0, 200.0, 71.5, None) and st.q_ratio == 25.0
     assert [(x.depth, x.eval, x.nodes) for x in reports.depth_table(reports.lines_of(spark, str(tmp_path / "s.txt"))).collect()] == [(1, 10, 20)]
     opt = reports.options(spark.createDataFrame([("option name Hash Size type spin default 16 min 1 max 64",), ('option name Path type string default "a b"',), ("uciok",)], "line string")).collect()
     assert [(o.name, o.default, o.max) for o in opt] == [("Hash Size", "16", "64"), ("Path", "a b", None)]
