@@ -38,7 +38,7 @@ QUERY_BYTES = 1 << 20
 #: Text bytes of one step, and ids of one decoding query.
 STEP = 4 << 20
 #: Encoded words that a Python worker keeps between tasks; beyond, it starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 800_000
 
 _ENCODE = """
 WITH RECURSIVE step AS (
