@@ -29,6 +29,11 @@ def _key(columns: list[str]) -> Column:
     return reduce(lambda a, b: F.concat(a, F.lit("|"), b), [F.col(c).cast("string") for c in columns])
 
 
+def duplicates(df: DataFrame, keys: list[str]) -> Column:
+    """Aggregate: rows beyond the first of each key; a key with a NULL part counts as a duplicate."""
+    return F.count("*") - F.count_distinct(_key(keys))
+
+
 def counted(sources: list[Source]) -> DataFrame:
     """(code, n) of all checks of ``sources``, each scanned once, in one shuffle by key.
 
