@@ -30,6 +30,10 @@ LINES = [
     "c2c4 e7e5 b1c3 g8f6 g1f3 b8c6 g2g3 d7d5 c4d5 f6d5", "e2e4 e7e6 d2d4 d7d5 b1c3 f8b4 e4e5 c7c5 a2a3 b4c3", "e2e4 c7c6 d2d4 d7d5 e4e5 c8f5 g1f3 e7e6 f1e2 c6c5",
 ]
 
+#: Ranks that boards are put together from, from Black's side down.
+RANKS = ["r1bqkb1r", "pp2p1pp", "2n1p3", "3pP3", "1p1P4", "2N2Q1p", "PP1B1PPP", "R3K2R"]
+_RANK = lambda k: f"CASE (o_orderkey + o_custkey * {k}) % {3 + k % 3} WHEN 0 THEN '{RANKS[k]}' WHEN 1 THEN '8' WHEN 2 THEN '{RANKS[(k * 3 + 2) % 8]}' ELSE '{k or 3}{'p' if k % 2 else 'N'}{7 - (k or 3) or ''}' END"
+
 ENTITIES = {
     "engines": "SELECT CAST(n_nationkey AS BIGINT) + 1 AS id, n_name AS name, 'v' || CAST(n_regionkey AS VARCHAR(9)) AS version FROM nation WHERE n_nationkey < 20",
     "games": """SELECT c_custkey AS id, c_custkey % 21 + 1 AS white_engine_id, (c_custkey + 7) % 21 + 1 AS black_engine_id,
@@ -61,6 +65,7 @@ ENTITIES = {
     "records": """SELECT o_custkey AS engine_id, sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS wins, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS draws,
         sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS losses FROM orders GROUP BY o_custkey""",
     "boards": "SELECT o_orderkey AS id, CASE o_orderkey % 6 " + " ".join(f"WHEN {k} THEN '{fen}'" for k, fen in enumerate(BOARDS)) + " END AS fen FROM orders",
+    "mixed_boards": "SELECT o_orderkey AS id, " + " || '/' || ".join(_RANK(k) for k in range(8)) + " || CASE o_orderkey % 2 WHEN 0 THEN ' w' ELSE ' b' END || ' KQkq - 0 ' || CAST(o_custkey % 60 + 1 AS VARCHAR(9)) AS fen FROM orders",
     "placed": """SELECT id, square, piece FROM (SELECT l_orderkey - l_orderkey % 8 AS id, l_partkey % 64 AS square, substring('PNBRQKpnbrqk', CAST(l_suppkey % 12 AS INT) + 1, 1) AS piece,
         row_number() OVER (PARTITION BY l_orderkey - l_orderkey % 8, l_partkey % 64 ORDER BY l_orderkey, l_linenumber, l_suppkey) AS k FROM lineitem) AS r WHERE k = 1""",
     "lines_played": "SELECT o_orderkey AS id, substring(CASE o_custkey % 7 " + " ".join(f"WHEN {k} THEN '{line}'" for k, line in enumerate(LINES)) + " END, 1, CAST(5 * (o_orderkey % 11) AS INT)) AS moves FROM orders",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paired import paired_tests
@@ -15,9 +15,9 @@ from ..operators.order import ranked, running_total
 from ..operators.search import FH_BUCKETS
 from ..scratch import shared_folder
 from ..sources import intake, reports
-from ..sources.positions import classified, epd, move_tokens
+from ..sources.positions import classified, epd, move_tokens, pgn_openings
 from . import views, warehouse
-from .entities import entity
+from .entities import LINES, entity
 from .store import Store
 
 RATIO = "CAST({} AS DOUBLE) / NULLIF({}, 0)"
@@ -170,6 +170,50 @@ STATISTICS_SQL = """SELECT p_partkey, CAST(p_size AS DOUBLE) AS total, p_size +
   CASE WHEN p_size > 0 THEN 100.0::DOUBLE * (p_partkey % 50) / p_size END AS q_ratio FROM part"""
 
 
+def match_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the logs of twenty matches, a file each, with the score after each game; read back and reported."""
+    path = shared_folder(spark, "matches")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", (F.col("o_custkey") % 20).alias("match"), "o_orderstatus")
+    so_far = Window.partitionBy("match").orderBy("o_orderkey")
+    sums = [F.sum((F.col("o_orderstatus") == s).cast("long")).over(so_far).cast("string") for s in ("O", "F", "P")]
+    result = F.when(F.col("o_orderstatus") == "O", "1-0").when(F.col("o_orderstatus") == "F", "0-1").otherwise("1/2-1/2")
+    game = F.concat(F.lit("Finished game "), F.row_number().over(so_far).cast("string"), F.lit(" (Candidate vs Base): "), result, F.lit(" {done}\nScore of Candidate vs Base: "), sums[0], F.lit(" - "), sums[1], F.lit(" - "), sums[2], F.lit("  [0.5] 9\nSPRT: llr 0.5 (17.0%), lbound -2.94, ubound 2.94"))
+    rows = orders.select("match", "o_orderkey", game.alias("value")).repartition("match").sortWithinPartitions("match", "o_orderkey")
+    rows.select("match", "value").write.partitionBy("match").text(path)
+    lines = reports.lines_of(spark, f"{path}/*")
+    number = F.regexp_extract("file", r"match=(\d+)/", 1).cast("long").alias("match")
+    games = reports.finished_games(lines).groupBy("file").agg(F.count("*").alias("games"), F.count_if(F.col("result") == "1-0").alias("won"), F.max_by("result", "at").alias("latest"))
+    report = reports.match_report(lines).join(games, "file")
+    return report.select(number, "candidate_wins", "candidate_losses", "candidate_draws", "games_played", "llr", F.col("result").alias("verdict"), "games", "won", "latest")
+
+
+MATCHES_SQL = """SELECT o_custkey % 20 AS match, count(*) FILTER (o_orderstatus = 'O') AS candidate_wins, count(*) FILTER (o_orderstatus = 'F') AS candidate_losses, count(*) FILTER (o_orderstatus = 'P') AS candidate_draws,
+  count(*) AS games_played, 0.5::DOUBLE AS llr, 'inconclusive' AS verdict, count(*) AS games, count(*) FILTER (o_orderstatus = 'O') AS won,
+  arg_max(CASE o_orderstatus WHEN 'O' THEN '1-0' WHEN 'F' THEN '0-1' ELSE '1/2-1/2' END, o_orderkey) AS latest FROM orders GROUP BY 1"""
+
+#: ``entities.LINES`` in the notation of books.
+BOOK_LINES = [
+    "1. e4 e5 2. Nf3 Nc6 3. Bb5 a6 4. Ba4 Nf6 5. O-O Be7", "1. e4 c5 2. Nf3 d6 3. d4 cxd4 4. Nxd4 Nf6 5. Nc3 a6", "1. d4 d5 2. c4 e6 3. Nc3 Nf6 4. Bg5 Be7 5. e3 O-O", "1. d4 Nf6 2. c4 g6 3. Nc3 Bg7 4. e4 d6 5. Nf3 O-O",
+    "1. c4 e5 2. Nc3 Nf6 3. Nf3 Nc6 4. g3 d5 5. cxd5 Nxd5", "1. e4 e6 2. d4 d5 3. Nc3 Bb4 4. e5 c5 5. a3 Bxc3", "1. e4 c6 2. d4 d5 3. e5 Bf5 4. Nf3 e6 5. Be2 c5",
+]
+
+
+def book_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as games of opening books, with remarks and further tags, read back: the moves in UCI."""
+    path = shared_folder(spark, "books")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")
+    moves = F.get(F.array(*[F.lit(x) for x in BOOK_LINES]), (F.col("p_partkey") % 7).cast("int"))
+    moves = F.when(F.col("p_size") % 5 == 0, F.concat(moves, F.lit(" 6. Kxh8 Kxa1"))).otherwise(moves)
+    remark = F.when(F.col("p_partkey") % 3 == 0, '{of\n[ECO "Z99"] }\n').otherwise("")
+    game = F.concat(F.lit('[ECO "'), F.col("p_partkey").cast("string"), F.lit('"]\n[Opening "'), "p_brand", F.lit('"]\n[Result "*"]\n\n'), remark, moves, F.lit(" *\n"))
+    part.select(game.alias("value")).write.text(path)
+    return pgn_openings(spark, path).select(F.col("eco").cast("long").alias("p_partkey"), "name", F.array_join("moves", " ").alias("moves"))
+
+
+_LINE_CASES = " ".join(f"WHEN {k} THEN '{line}'" for k, line in enumerate(LINES))
+BOOKS_SQL = f"SELECT p_partkey, p_brand AS name, CASE p_partkey % 7 {_LINE_CASES} END AS moves FROM part"
+
+
 def perft_counts(boards: DataFrame) -> DataFrame:
     return frontier.perft(boards.withColumn("depth", (F.col("id") % 3 + 1).cast("int"))).select("id", "depth", "nodes")
 
@@ -183,13 +227,13 @@ SELECT id, CAST(k.depth AS INTEGER) AS depth, CAST(k.nodes AS BIGINT) AS nodes F
 # positions and text
 
 
-def board_cells(boards: DataFrame) -> DataFrame:
-    return boards.select("id", positions.cells(F.col("fen")).alias("cells"))
+def board_cells(mixed_boards: DataFrame) -> DataFrame:
+    return mixed_boards.select("id", positions.cells(F.col("fen")).alias("cells"))
 
 
-def material(boards: DataFrame) -> DataFrame:
+def material(mixed_boards: DataFrame) -> DataFrame:
     board = positions.cells(F.col("fen"))
-    return boards.select("id", positions.game_phase(F.col("fen")).alias("phase"), positions.balance(F.col("fen")).cast("long").alias("balance"), positions.number_of(board, "Pp").cast("long").alias("pawns"))
+    return mixed_boards.select("id", positions.game_phase(F.col("fen")).alias("phase"), positions.balance(F.col("fen")).cast("long").alias("balance"), positions.number_of(board, "Pp").cast("long").alias("pawns"))
 
 
 _FLAT = "regexp_replace(split_part(fen, ' ', 1), '[0-9]', '', 'g')"
@@ -198,11 +242,11 @@ _SIDE = lambda upper: " + ".join(f"{v} * {_COUNT(p.upper() if upper else p)}" fo
 _GONE = f"({positions.PHASE_START} - (" + " + ".join(f"{v} * ({_COUNT(p)} + {_COUNT(p.upper())})" for p, v in positions.PHASE.items()) + "))"
 _PLY = "(CAST(split_part(fen, ' ', 6) AS INTEGER) * 2 - CASE split_part(fen, ' ', 2) WHEN 'w' THEN 0 ELSE 1 END)"
 MATERIAL_SQL = f"""SELECT id, CASE WHEN {_GONE} < {0.25 * positions.PHASE_START} AND {_PLY} <= 30 THEN 'opening' WHEN {_GONE} < {positions.PHASE_START} * 2 / 3.0 THEN 'midgame' ELSE 'endgame' END AS phase,
-  ({_SIDE(True)}) - ({_SIDE(False)}) AS balance, {_COUNT('P')} + {_COUNT('p')} AS pawns FROM boards"""
+  ({_SIDE(True)}) - ({_SIDE(False)}) AS balance, {_COUNT('P')} + {_COUNT('p')} AS pawns FROM mixed_boards"""
 _DOTS = "split_part(fen, ' ', 1)"
 for _n in range(1, 9):
     _DOTS = f"replace({_DOTS}, '{_n}', '{'.' * _n}')"
-CELLS_SQL = f"SELECT id, array_to_string(list_reverse(string_split({_DOTS}, '/')), '') AS cells FROM boards"
+CELLS_SQL = f"SELECT id, array_to_string(list_reverse(string_split({_DOTS}, '/')), '') AS cells FROM mixed_boards"
 
 
 def attacks(placed: DataFrame) -> DataFrame:
@@ -321,6 +365,8 @@ def add_all(add: Callable[..., None]) -> None:
     add("S01_S35_log_intake", log_intake, INTAKE_SQL)
     add("S25_suite_records", suite_records, SUITE_SQL)
     add("F05_report_statistics", report_statistics, STATISTICS_SQL, "total first highs lows q_ratio")
+    add("F07_match_logs", match_logs, MATCHES_SQL, "llr")
+    add("S23_U03_book_games", book_games, BOOKS_SQL)
     add("U32_perft_counts", perft_counts, PERFT_SQL)
     add("U10_U12_attacks", attacks, ATTACKS_SQL)
     add("U01_U04_deepest_openings", deepest_openings, OPENINGS_SQL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.positions import uci_prefix
@@ -33,14 +33,30 @@ def epd(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def pgn_openings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(eco, name, moves): tags and moves in UCI of each game of a book; moves end at the first that isn't legal."""
-    book = spark.read.text(paths, wholetext=True)
-    games = book.select(F.posexplode(F.split(F.regexp_replace("value", r"\{[^}]*\}", " "), r"(?m)(?=^\[ECO )")).alias("at", "g")).where("g LIKE '[ECO%'")
+    """(at, eco, name, moves): tags and moves in UCI of each game of a book; moves end at the first that isn't legal.
+
+    A file is read in pieces, split where a game's first tag stands, so no row holds a whole book. A piece that began within a remark in
+    braces, or not at the beginning of a line, is joined to the one before it again: which brace was the last is told by a window over
+    the pieces of a file. ``at`` puts games in order of file and place.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    pieces = spark.read.text(paths, lineSep="[ECO ").select(F.col("_metadata.file_path").alias("file"), place.alias("place"), "value")
+    in_file = Window.partitionBy("file").orderBy("place")
+    brace = F.nullif(F.regexp_extract("value", r"([{}])[^{}]*$", 1), F.lit(""))
+    open_before = F.coalesce(F.last(brace, ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)) == "{", F.lit(False))
+    at_line = F.lag("value").over(in_file).rlike(r"(^|\n)$")
+    pieces = pieces.withColumns({"begins": ~open_before & F.coalesce(at_line, F.lit(False))})
+    pieces = pieces.withColumn("game", F.count_if("begins").over(in_file)).where("game > 0")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]), "[ECO ")
+    games = pieces.groupBy("file", "game").agg(F.min("place").alias("place"), joined.alias("value"))
+    games = games.select(F.struct("file", "place").alias("at"), F.regexp_replace("value", r"\{[^}]*(\}|$)", " ").alias("g")).where(F.startswith("g", F.lit('"')))
     tag = lambda name: F.regexp_extract("g", rf'\[{name} "([^"]*)"\]', 1)
-    moves = F.trim(F.regexp_replace(F.regexp_replace("g", r"\[[^\]]*\]", " "), r"\d+\.+|\*|1-0|0-1|1/2-1/2|\$\d+", " "))
+    body = F.regexp_replace(F.regexp_replace("g", r'^"[^"]*"\]', " "), r"\[[^\]]*\]", " ")
+    moves = F.trim(F.regexp_replace(body, r"\d+\.+|\*|1-0|0-1|1/2-1/2|\$\d+", " "))
     tokens = F.filter(F.split(moves, r"\s+"), lambda x: x != "")
     name = F.coalesce(F.nullif(tag("Opening"), F.lit("")), F.nullif(tag("Event"), F.lit("")), tag("Site"))
-    return games.repartition(16, "at").select("at", tag("ECO").alias("eco"), name.alias("name"), uci_prefix(tokens).alias("moves"))
+    read = games.select("at", F.regexp_extract("g", r'^"([^"]*)"', 1).alias("eco"), name.alias("name"), tokens.alias("tokens"))
+    return read.repartition(spark.sparkContext.defaultParallelism, "at").select("at", "eco", "name", uci_prefix("tokens").alias("moves"))
 
 
 def move_tokens(moves: Column) -> Column:

@@ -37,3 +37,13 @@ def test_equal_hashes_of_other_lines_do_no_harm(spark, monkeypatch):
     book = spark.createDataFrame([(0, "A", "one", ["a", "b"]), (1, "B", "two", ["a", "c"]), (2, "C", "three", ["a"])], "at long, eco string, name string, moves array<string>")
     games = spark.createDataFrame([(1, "a b d"), (2, "a c"), (3, "a d"), (4, "d")], "id long, moves string")
     assert [r.opening for r in source.classified(games, book).orderBy("id").collect()] == ["one", "two", "three", ""]
+
+
+def test_books_are_split_at_games_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "uci_prefix", lambda tokens: F.col(tokens))
+    book = 'a head [ECO "x"]\r\n\r\n[ECO "A"]\r\n[Event "one"]\r\n\r\n1. e4 {so\r\n[ECO "no"] and } e5 {tail} *\r\n\r\n[ECO "B"]\n[Opening "two"]\n\n1. d4 see [ECO "no"] d5 1-0\n[ECO "C"]\n\n{open [Opening "x"]'
+    (tmp_path / "a.pgn").write_bytes(book.encode())
+    (tmp_path / "b.pgn").write_bytes(b'[ECO "D"]\n[Opening "four"]\n\n1. c4 c5 *\n')
+    (tmp_path / "c.pgn").write_bytes(b"no games\n")
+    rows = source.pgn_openings(spark, str(tmp_path)).orderBy("at").collect()
+    assert [(r.eco, r.name, " ".join(r.moves)) for r in rows] == [("A", "one", "e4 e5"), ("B", "two", "d4 see d5"), ("C", "", ""), ("D", "four", "c4 c5")]
