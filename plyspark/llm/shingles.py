@@ -8,12 +8,14 @@ shared passages and templates are keys only of texts that consist of little else
 
 Comparisons run in rounds: each text with one other, of the least of its keys and sizes that which it shares most keys with; with the
 least of each of its keys and sizes; with one of a small hand, into which texts of a key are dealt by hash, twice; and all texts of a key with each other.  Each round takes only pairs that earlier ones
-haven't connected, so a group of copies isn't expanded into pairs, and all others are compared.  Each comparison joins the whole texts.
+haven't connected, so a group of copies isn't expanded into pairs, and all others are compared.  A pair is first held against a bitmap of each text's
+shingles, a quarter of a byte a shingle, which bounds what the two can share; only texts of pairs that the bound allows are joined and compared whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,10 @@ from .text import fold, lower, span_hashes, steps, utf8, words
 
 #: Buckets in which shingles are counted, and buckets of a row.
 BUCKETS, SLICE = 1 << 22, 1 << 15
-#: Parts into which the texts of a key are dealt where all are compared.
-SALTS = 8
+#: Texts of a key in a part, about, where all of a key are compared.
+PART = 256
+#: Bits of a bitmap for each shingle, at least, and bits of the least bitmap.
+BITS, LEAST_BITS = 2, 64
 #: How often texts of a key are dealt into small hands before all are compared.
 DEALS = 2
 
@@ -118,11 +122,48 @@ def _may(least: float) -> str:
     return f"least(n - place, n_b - place_b) >= {least / (1 + least)!r} * (n + n_b) - 1e-6"
 
 
+def _bitmaps(size: int):
+    """Of each text the number of its shingles and a bitmap of them, of the least power of two of bits that gives each ``BITS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch):
+                h, of = _sets(part, size)
+                n = np.bincount(of, minlength=part.num_rows)
+                bits = 2 ** np.ceil(np.log2(np.maximum(n * BITS, LEAST_BITS))).astype(np.int64)
+                first = np.cumsum(bits) - bits
+                marks = np.zeros(int(bits.sum()), bool)
+                marks[first[of] + (h % bits[of].astype(np.uint64)).astype(np.int64)] = True
+                packed = np.packbits(marks, bitorder="little").tobytes()
+                cut = [packed[i : i + k] for i, k in zip((first // 8).tolist(), (bits // 8).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n.astype(np.int32)), pa.array(cut, pa.binary())], names=["id", "n", "bits"])
+
+    return run
+
+
+def most_shared(n: int, bits: bytes, n_b: int, bits_b: bytes) -> int:
+    """The most shingles that two texts can share: each bit that only one of them has is at least one shingle of its own."""
+    x, y = np.frombuffer(bits, np.uint64), np.frombuffer(bits_b, np.uint64)
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(z.reshape(-1, width), axis=0) for z in (x, y))
+    return min(n - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
+
+
+def _possible(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            four = (batch.column(c).to_pylist() for c in ("n", "bits", "n_b", "bits_b"))
+            keep = [most_shared(n, x, m, y) >= least / (1 + least) * (n + m) - 1e-6 for n, x, m, y in zip(*four, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _compared(size: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text_b"):
-                one, of_one = shingle_hashes(part.column("text_a"), size)
+                one, of_one = shingle_hashes(part.column("text"), size)
                 two, of_two = shingle_hashes(part.column("text_b"), size)
                 cuts = lambda of: np.searchsorted(of, np.arange(part.num_rows + 1))  # noqa: E731, B023
                 p, q = cuts(of_one), cuts(of_two)
@@ -145,6 +186,7 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     """
     keyed = texts.select("id", "text").mapInArrow(_keyed(size, least, commonness(texts, size)), "id long, key long, place int, n int")
     rows = scratch.save(keyed, "keyed")
+    texts = _Texts(texts, scratch.save(texts.select("id", "text").mapInArrow(_bitmaps(size), "id long, n int, bits binary"), "bitmaps"))
     twice = rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")  # a text has a key once
     rows = scratch.save(rows.join(twice, "key"), "shared")
     scratch.drop("keyed")
@@ -153,7 +195,7 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "place", "n")).alias("r")).select("key", "class", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "place", "n")])
     met = rows.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).groupBy("id", "id_b").agg(F.count("*").alias("keys"))
     met = scratch.save(met, "met")
-    groups = texts.select("id", "known")
+    groups = texts.rows.select("id", "known")
     # each with the one that it shares most keys with first: what that connects needs no more pairs
     nearest = met.groupBy("id").agg(F.max_by("id_b", F.struct("keys", -F.col("id_b"))).alias("id_b"))
     one = _alike(texts, _apart(nearest, groups), scratch, "0", size, least)
@@ -169,16 +211,18 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
         now = scratch.save(_undecided(now.drop("known"), groups), f"left-{k + 1}")
         scratch.drop(f"left-{k}")
         links = links.union(found)
-    # each text meets all of its key: one side in one part, the other in every part
-    other = now.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")])
-    dealt = now.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    every = other.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    both = dealt.join(every, ["key", "salt"]).where("id < id_b AND known <> known_b").where(_may(least)).groupBy(F.col("id").alias("a"), F.col("id_b").alias("b"))
+    # each text meets all of its key: one side in one part, the other in every part; a key has a part for each PART of its texts
+    parts = now.groupBy("key").agg(F.expr(f"cast(ceil(count(*) / {PART}) AS int)").alias("parts"))
+    now = now.join(parts, "key")
+    other = now.select("key", "parts", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")])
+    dealt = now.withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) AS int)")).drop("parts")
+    every = other.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+    both = dealt.join(every, ["key", "part"]).where("id < id_b AND known <> known_b").where(_may(least)).groupBy(F.col("id").alias("a"), F.col("id_b").alias("b"))
     # what two texts share is the keys they share and, at most, all that comes after the last of these
     found = both.agg(F.count("*").alias("keys"), F.max("place").alias("place"), F.max("place_b").alias("place_b"), F.first("n").alias("n"), F.first("n_b").alias("n_b"))
     rest = found.where(f"keys + least(n - place, n_b - place_b) - 1 >= {least / (1 + least)!r} * (n + n_b) - 1e-6").select("a", "b")
     three = _alike(texts, scratch.save(rest, "rest"), scratch, "2", size, least)
-    scratch.drop(f"left-{DEALS}", "rest")
+    scratch.drop(f"left-{DEALS}", "rest", "bitmaps")
     return links.union(three)
 
 
@@ -213,12 +257,27 @@ def _joined(groups: DataFrame, links: DataFrame, scratch: Scratch, name: str) ->
     return scratch.save(groups.join(node, "known", "left").select("id", F.coalesce("component", "known").alias("known")), name)
 
 
-def _alike(texts: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, size: int, least: float) -> DataFrame:
+class _Texts(NamedTuple):
+    """Texts (id, text, known), and bitmaps (id, n, bits) of their shingles."""
+
+    rows: DataFrame
+    bitmaps: DataFrame
+
+
+def _ends(pairs: DataFrame, table: DataFrame, columns: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """``pairs`` (a, b) with the ``columns`` of their ends in ``table``, those of b as ``.._b``; only rows of ends are saved and joined."""
+    held = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    some = scratch.save(table.select("id", *columns).join(held, "id"), name)
+    of = lambda end, more: some.select(F.col("id").alias(end), *[F.col(c).alias(c + more) for c in columns])
+    return pairs.join(of("a", ""), "a").join(of("b", "_b"), "b").select("a", "b", *columns, *[f"{c}_b" for c in columns])
+
+
+def _alike(texts: _Texts, pairs: DataFrame, scratch: Scratch, name: str, size: int, least: float) -> DataFrame:
     """The ``pairs`` (a, b) whose texts are alike."""
     pairs = scratch.save(pairs, f"pairs-{name}")
-    held = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    some = scratch.save(texts.select("id", "text").join(held, "id"), f"some-{name}")
-    both = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    found = scratch.save(both.mapInArrow(_compared(size, least), "a long, b long"), f"similar-{name}")
-    scratch.drop(f"some-{name}", f"pairs-{name}")
+    bounds = _ends(pairs, texts.bitmaps, ["n", "bits"], scratch, f"bits-{name}")
+    likely = scratch.save(bounds.mapInArrow(_possible(least), "a long, b long"), f"likely-{name}")
+    whole = _ends(likely, texts.rows, ["text"], scratch, f"some-{name}")
+    found = scratch.save(whole.mapInArrow(_compared(size, least), "a long, b long"), f"similar-{name}")
+    scratch.drop(f"bits-{name}", f"likely-{name}", f"some-{name}", f"pairs-{name}")
     return found
