@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import Scratch
-from .spans import all_matches, joined, located
+from .spans import all_matches, apart_in_order, joined, located
 
 KINDS = ["email", "ip", "card", "phone"]
 ALL_KINDS = [*KINDS, *[f"context_{k}" for k in KINDS]]
@@ -49,27 +49,43 @@ def _luhn(value: str) -> str:
     return f"""aggregate(transform(split(reverse({_digits(value)}), ''), (c, i) -> CASE WHEN c = '' THEN 0 WHEN i % 2 = 1 THEN cast({doubled} AS int) ELSE cast(c AS int) END), 0, (a, x) -> a + x) % 10 = 0"""
 
 
-#: Windows in which the words around a span are looked for; a word that the first cuts is looked for in the second. A word that isn't
-#: whole within the second, by its length or by what lies between, is no context. Long words stand as their hash.
-WINDOWS, LONG_WORD = (64, 4096), 64
+#: Windows in which the words around a span are looked for: what the first doesn't hold whole is looked for in the second. Of a word that
+#: reaches beyond that, its nearest 4,096 characters stand for it. Long words stand as their hash.
+NEAR, FAR, LONG_WORD = 64, 4096, 64
+
+
+def _chunks(text: str, width: int) -> Column:
+    """The text in pieces of ``width`` characters, so that a window is found without a walk from the text's start."""
+    return F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{width}}}+"), F.lit(0))
+
+
+def _before(chunks: str, at: str, width: int) -> str:
+    """SQL: the ``width`` characters before place ``at``, fewer at the text's start."""
+    k = f"cast({at} div {width} AS int)"
+    return f"substring(concat(coalesce(get({chunks}, {k} - 1), ''), substring(coalesce(get({chunks}, {k}), ''), 1, {at} % {width})), -{width})"
+
+
+def _after(chunks: str, at: str, width: int) -> str:
+    """SQL: the ``width`` characters from place ``at``, fewer at the text's end."""
+    k = f"cast({at} div {width} AS int)"
+    return f"substring(concat(substring(coalesce(get({chunks}, {k}), ''), {at} % {width} + 1), coalesce(get({chunks}, {k} + 1), '')), 1, {width})"
 
 
 def _nearest(near: str, far: str, found: str, unsure: str) -> str:
-    """SQL: the word next to a span, from the window ``near`` or, if that doesn't hold it whole, from ``far``."""
-    more = lambda text, size: f"length({text}) > {size} AND {text} RLIKE '{unsure}'"
+    """SQL: the word next to a span, from the window ``near`` or, if that may not hold it whole, from ``far``."""
     word = lambda text: f"lower(regexp_extract({text}, '{found}', 1))"
-    case = f"CASE WHEN NOT (length({far}) > {WINDOWS[0]} AND {near} RLIKE '{unsure}') THEN {word(near)} WHEN {more(far, WINDOWS[1])} THEN '' ELSE {word(far)} END"
+    case = f"CASE WHEN length({near}) = {NEAR} AND {near} RLIKE '{unsure}' THEN {word(far)} ELSE {word(near)} END"
     return f"transform(array({case}), w -> CASE WHEN length(w) > {LONG_WORD} THEN concat('#', hex(xxhash64(w))) ELSE w END)[0]"
 
 
-def _context(text: str, array: str) -> str:
-    """SQL: spans of ``array`` with the lower-case word before (b) and after (a) each, '' at an end or where it is beyond the windows; marks without a letter or digit aren't words."""
-    first, most = WINDOWS
-    # one character more than the window tells whether there is more
-    p, q = f"substring({text}, greatest(1, x.s - {most}), least({most + 1}, x.s))", f"substring({text}, x.e + 1, {most + 1})"
-    b = _nearest(f"substring(z.p, -{first})", "z.p", r"(?<!\\S)([^\\p{L}\\p{N}\\s]*+[\\p{L}\\p{N}]\\S*+)[^\\p{L}\\p{N}]*+$", r"^\\S*+[^\\p{L}\\p{N}]*+$")
-    a = _nearest(f"substring(z.q, 1, {first})", "z.q", r"^[^\\p{L}\\p{N}]*+(\\S++)", r"^[^\\p{L}\\p{N}]*+\\S*+$")
-    return f"transform({array}, x -> transform(array(struct({p} AS p, {q} AS q)), z -> struct(x.k AS k, x.s AS s, x.e AS e, x.v AS v, {b} AS b, {a} AS a))[0])"
+def _context(near: str, far: str, array: str) -> str:
+    """SQL: spans of ``array`` with the lower-case word before (b) and after (a) each, '' at an end or where none is in the windows; marks without a letter or digit aren't words.
+
+    ``near`` and ``far`` are columns of the text's pieces of these widths."""
+    b = _nearest("z.p", _before(far, "x.s", FAR), r"(?<!\\S)([^\\p{L}\\p{N}\\s]*+[\\p{L}\\p{N}]\\S*+)[^\\p{L}\\p{N}]*+$", r"^\\S*+[^\\p{L}\\p{N}]*+$")
+    a = _nearest("z.q", _after(far, "x.e", FAR), r"^[^\\p{L}\\p{N}]*+(\\S++)", r"^[^\\p{L}\\p{N}]*+\\S*+$")
+    windows = f"struct({_before(near, 'x.s', NEAR)} AS p, {_after(near, 'x.e', NEAR)} AS q)"
+    return f"transform({array}, x -> transform(array({windows}), z -> struct(x.k AS k, x.s AS s, x.e AS e, x.v AS v, {b} AS b, {a} AS a))[0])"
 
 
 def located_spans(docs: DataFrame) -> DataFrame:
@@ -93,8 +109,12 @@ def located_spans(docs: DataFrame) -> DataFrame:
     }
     base = ", ".join(f"transform(filter({c}, x -> {rule}), x -> struct({k} AS k, x.s AS s, x.e AS e, x.v AS v))" for k, (c, rule) in enumerate(holds.items()))
     step = step.withColumn("_b", F.expr(f"array_sort(concat({base}))"))
-    step = step.withColumn("_x", F.expr(f"transform(filter(_x, x -> ({n} >= 3 OR x.v RLIKE '^@|[A-Za-z][._]|[^A-Za-z0-9](?i:at)[^A-Za-z0-9]') AND NOT exists(_b, b -> b.s < x.e AND x.s < b.e)), x -> struct(-1 AS k, x.s AS s, x.e AS e, x.v AS v))"))
-    return step.select("doc_id", F.xxhash64("_t").alias("text_hash"), F.expr(_context("_t", "_b")).alias("base"), F.expr(_context("_t", "_x")).alias("tokens"))
+    step = step.withColumn("_x", F.expr(f"filter(_x, x -> {n} >= 3 OR x.v RLIKE '^@|[A-Za-z][._]|[^A-Za-z0-9](?i:at)[^A-Za-z0-9]')"))
+    step = step.withColumn("_x", apart_in_order("_x", "_b"))
+    step = step.withColumn("_x", F.expr("transform(_x, x -> struct(-1 AS k, x.s AS s, x.e AS e, x.v AS v))"))
+    step = step.withColumn("_near", _chunks("_t", NEAR)).withColumn("_far", _chunks("_t", FAR))
+    spans = [F.expr(_context("_near", "_far", c)).alias(name) for c, name in (("_b", "base"), ("_x", "tokens"))]
+    return step.select("doc_id", F.xxhash64("_t").alias("text_hash"), *spans)
 
 
 def _patterns() -> Column:
