@@ -208,12 +208,11 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     for k in range(DEALS):
         found = _alike(texts, _dealt(now, k, least), scratch, f"deal-{k}", size, least)
         groups = _joined(groups, found, scratch, f"groups-deal-{k}")
-        now = scratch.save(_undecided(now.drop("known"), groups), f"left-{k + 1}")
+        now = scratch.save(_undecided(now.drop("known", "held"), groups), f"left-{k + 1}")
         scratch.drop(f"left-{k}")
         links = links.union(found)
     # each text meets all of its key: one side in one part, the other in every part; a key has a part for each PART of its texts
-    parts = now.groupBy("key").agg(F.expr(f"cast(ceil(count(*) / {PART}) AS int)").alias("parts"))
-    now = now.join(parts, "key")
+    now = now.withColumn("parts", F.expr(f"cast(ceil(held / {PART}) AS int)")).drop("held")
     other = now.select("key", "parts", *[F.col(c).alias(f"{c}_b") for c in ("id", "known", "place", "n")])
     dealt = now.withColumn("part", F.expr("cast(pmod(xxhash64(id), parts) AS int)")).drop("parts")
     every = other.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
@@ -227,16 +226,15 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
 
 
 def _undecided(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``rows`` with ``known`` of their texts, of keys that texts of several groups hold."""
+    """``rows`` with ``known`` of their texts and the number of texts of their key (held), of keys that texts of several groups hold."""
     now = rows.join(groups, "id")
-    several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z")).where("g < z").select("key")
+    several = now.groupBy("key").agg(F.min("known").alias("g"), F.max("known").alias("z"), F.count("*").alias("held")).where("g < z").select("key", "held")
     return now.join(several, "key")
 
 
 def _dealt(rows: DataFrame, turn: int, least: float, hand: int = 8) -> DataFrame:
     """(a, b): texts of a key dealt by hash into hands of about ``hand``, anew each turn, and each with the least of its hand: as many pairs as rows at most."""
-    held = rows.groupBy("key").agg(F.count("*").alias("held"))
-    dealt = rows.join(held, "key").withColumn("hand", F.expr(f"pmod(xxhash64(id, key, {turn}), greatest(1L, held div {hand}))"))
+    dealt = rows.withColumn("hand", F.expr(f"pmod(xxhash64(id, key, {turn}), greatest(1L, held div {hand}))"))
     lead = dealt.groupBy("key", "hand").agg(F.min(F.struct("id", "known", "place", "n")).alias("r")).select("key", "hand", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "known", "place", "n")])
     met = dealt.join(lead, ["key", "hand"]).where("id <> id_b AND known <> known_b").where(_may(least))
     return met.select(F.col("id_b").alias("a"), F.col("id").alias("b")).distinct()
