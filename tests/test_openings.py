@@ -2,8 +2,10 @@
 
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from plyspark.chesscore import rules
 from plyspark.sources import positions as source
 
 
@@ -47,3 +49,21 @@ def test_books_are_split_at_games_alone(spark, tmp_path, monkeypatch):
     (tmp_path / "c.pgn").write_bytes(b"no games\n")
     rows = source.pgn_openings(spark, str(tmp_path)).orderBy("at").collect()
     assert [(r.eco, r.name, " ".join(r.moves)) for r in rows] == [("A", "one", "e4 e5"), ("B", "two", "d4 see d5"), ("C", "", ""), ("D", "four", "c4 c5")]
+
+
+def test_moves_are_read_once_for_each_prefix(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rules, "read_move", lambda p, token, read=rules.read_move: seen.append(token) or read(p, token))
+    lists, seen = [["e4", "e5"], ["e4", "e5", "Nf3", "Ke9", "d4"], ["e4", "e5", "Nf3", "Ke9", "x"], ["e4", "e5", "Nf3"], [], ["d4"]], []
+    assert list(rules.legal_prefixes(lists)) == [["e2e4", "e7e5"], *[["e2e4", "e7e5", "g1f3"]] * 3, [], ["d2d4"]] and seen == ["e4", "e5", "Nf3", "Ke9", "d4"]
+    # a book of one line many times: the moves of a game that is there again aren't read again
+    total = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<string>")
+    def counted(tokens: pd.Series) -> pd.Series:
+        total.add(len(tokens))
+        return tokens
+
+    monkeypatch.setattr(source, "uci_prefix", counted)
+    (tmp_path / "a.pgn").write_text("".join(f'[ECO "A{k}"]\n[Opening "one"]\n\n1. e4 e5 *\n\n' for k in range(50)))
+    rows = source.pgn_openings(spark, str(tmp_path)).collect()
+    assert sorted(r.eco for r in rows) == sorted(f"A{k}" for k in range(50)) and {tuple(r.moves) for r in rows} == {("e4", "e5")} and total.value == 1
