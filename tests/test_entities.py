@@ -4,6 +4,8 @@ import random
 
 import duckdb
 
+from plyspark.operators import search
+from plyspark.plans import entities
 from plyspark.plans.catalogue import Query
 from plyspark.plans.entities import entity
 
@@ -29,3 +31,23 @@ def test_halves_are_rounded_as_in_sql(spark):
     query = Query(lambda spark, _: spark.range(2, 2000).selectExpr("id", "CAST(2 * id + 1 AS DOUBLE) / 2e6 * 1.37 AS x", "CAST(2 * id + 1 AS DOUBLE) / 2e6 AS y"), "SELECT range AS id, CAST(2 * range + 1 AS DOUBLE) / 2e6 * 1.37 AS x, CAST(2 * range + 1 AS DOUBLE) / 2e6 AS y FROM range(2, 2000)", ("x", "y"))
     rows = [tuple(r) for r in query.spark(spark, "").orderBy("id").collect()]
     assert rows == duckdb.sql(f"SELECT * FROM ({query.oracle()}) ORDER BY id").fetchall()
+
+
+def test_large_tables_are_dealt_by_key(spark, sf_dir, monkeypatch):
+    plain = {name: sorted(map(str, entity(spark, sf_dir, name).collect())) for name in entities.DEALT}
+    monkeypatch.setattr(entities, "TASK_ROWS", 90)
+    for name, rows in plain.items():
+        dealt = entity(spark, sf_dir, name)
+        assert sorted(map(str, dealt.collect())) == rows
+        parts = -(-spark.read.parquet(f"{sf_dir}/{entities.DEALT[name][0]}.parquet").count() // 90)
+        plan = entity(spark, sf_dir, name)._jdf.queryExecution().executedPlan().toString()
+        assert f", {parts}), REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_run_lengths_without_an_order_of_their_own(spark):
+    moves = [None, None, "a", "b", "a", "a", None, "b", "b", "b"]
+    counters = {c: 1 for c in [*search.COUNTERS, "nodes", "qnodes"]}
+    rows = spark.createDataFrame([{"search_id": 1, "depth": k, "move": m, "eval": 1.0, "time_ms": 1.0, **counters} for k, m in enumerate(moves)], "search_id long, depth long, move string, eval double, time_ms double, " + ", ".join(f"{c} long" for c in counters))
+    found = search.iteration_features(rows)
+    assert [r.move_run_length for r in found.orderBy("depth").collect()] == [0, 1, 0, 0, 0, 1, 0, 0, 1, 2]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Sort [") <= 4
