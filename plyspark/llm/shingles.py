@@ -155,6 +155,7 @@ def _possible(least: float):
             four = (batch.column(c).to_pylist() for c in ("n", "bits", "n_b", "bits_b"))
             keep = [most_shared(n, x, m, y) >= least / (1 + least) * (n + m) - 1e-6 for n, x, m, y in zip(*four, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            pa.default_memory_pool().release_unused()
 
     return run
 
