@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .runtime import Scratch
+from .runtime import BATCH_BOUND, BATCH_BYTES, Scratch, settings
 from .text import fold, lower, span_hashes, steps, utf8, words
 
 #: Buckets in which shingles are counted, and buckets of a row.
@@ -93,7 +93,9 @@ def _added(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def commonness(texts: DataFrame, size: int) -> np.ndarray:
     """Of each bucket of shingles, how many texts hold one of them, as a logarithm: a byte a bucket, whatever the size of ``texts``."""
     parts = texts.select("text").mapInArrow(_counted(size), "slice int, counts binary")
-    rows = parts.repartition(BUCKETS // SLICE, "slice").mapInArrow(_added, "slice int, counts binary").collect()
+    added = parts.repartition(BUCKETS // SLICE, "slice").mapInArrow(_added, "slice int, counts binary")
+    with settings(texts.sparkSession, {BATCH_BOUND: str(BATCH_BYTES)}):
+        rows = added.collect()
     out = np.zeros(BUCKETS, np.uint8)
     for r in rows:
         out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], np.uint8)
