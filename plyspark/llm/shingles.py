@@ -6,9 +6,11 @@ hold stands early in both (``_may`` says how early), and keying the first fifth
 each text's shingles loses no pair.  The order is by how many texts hold a shingle's bucket, rare ones first, so
 shared passages and templates are keys only of texts that consist of little else.  It decides the work, not the result.
 
-Comparisons run in rounds: each text with one other, of the least of its keys and sizes that which it shares most keys with; with the
-least of each of its keys and sizes; with one of a small hand, into which texts of a key are dealt by hash, twice; and all texts of a key with each other.  Each round takes only pairs that earlier ones
-haven't connected, so a group of copies isn't expanded into pairs, and all others are compared.  A pair is first held against a bitmap of each text's
+Comparisons run in rounds: each text with one other, of the leads of its keys and sizes that which it shares most keys with; with the
+lead of each of its keys and sizes; with that of a small hand, into which texts of a key and size are dealt by hash, twice; and all texts of a key with each other.
+A lead is the text in which the key stands first: it has the fewest rarer shingles, so of copies that were each changed somewhere it is the one changed least, which
+more of them are alike to than to one another.  Each round takes only pairs that earlier ones haven't connected, so a group of copies, or of changed ones round a lead, isn't expanded
+into pairs, and all others are compared.  A pair is first held against a bitmap of each text's
 shingles, a quarter of a byte a shingle, which bounds what the two can share; only texts of pairs that the bound allows are joined and compared whole.
 """
 
@@ -19,7 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -193,10 +195,10 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     twice = rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key")  # a text has a key once
     rows = scratch.save(rows.join(twice, "key"), "shared")
     scratch.drop("keyed")
-    # texts of a key and of like size, with the least of them
-    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int"))
-    first = rows.groupBy("key", "class").agg(F.min(F.struct("id", "place", "n")).alias("r")).select("key", "class", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "place", "n")])
-    met = rows.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).groupBy("id", "id_b").agg(F.count("*").alias("keys"))
+    # texts of a key and of like size, with the lead of them
+    sized = rows.withColumn("class", _class(least))
+    first = _leads(sized, ["key", "class"], ["id", "n"])
+    met = sized.join(first, ["key", "class"]).where("id <> id_b").where(_may(least)).groupBy("id", "id_b").agg(F.count("*").alias("keys"))
     met = scratch.save(met, "met")
     groups = texts.rows.select("id", "known")
     # each with the one that it shares most keys with first: what that connects needs no more pairs
@@ -205,7 +207,7 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     groups = _joined(groups, one, scratch, "groups-1")
     two = _alike(texts, _apart(met, groups), scratch, "1", size, least)
     groups = _joined(groups, two, scratch, "groups-2")
-    now = scratch.save(_undecided(rows.drop("class"), groups), "left-0")
+    now = scratch.save(_undecided(rows, groups), "left-0")
     scratch.drop("shared", "met")
     links = one.union(two)
     for k in range(DEALS):
@@ -228,6 +230,17 @@ def similar(texts: DataFrame, scratch: Scratch, size: int = 5, least: float = 0.
     return links.union(three)
 
 
+def _class(least: float) -> Column:
+    """Sizes in steps of ``least``."""
+    return F.floor(F.log(F.col("n").cast("double")) / float(-np.log(least))).cast("int")
+
+
+def _leads(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Of the texts of each ``by``, the one in which the key stands first, then of the least id; its ``columns`` and place as ``.._b``."""
+    least = rows.groupBy(*by).agg(F.min(F.struct("place", *columns)).alias("r"))
+    return least.select(*by, *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("place", *columns)])
+
+
 def _undecided(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with ``known`` of their texts and the number of texts of their key (held), of keys that texts of several groups hold."""
     now = rows.join(groups, "id")
@@ -236,10 +249,10 @@ def _undecided(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _dealt(rows: DataFrame, turn: int, least: float, hand: int = 8) -> DataFrame:
-    """(a, b): texts of a key dealt by hash into hands of about ``hand``, anew each turn, and each with the least of its hand: as many pairs as rows at most."""
-    dealt = rows.withColumn("hand", F.expr(f"pmod(xxhash64(id, key, {turn}), greatest(1L, held div {hand}))"))
-    lead = dealt.groupBy("key", "hand").agg(F.min(F.struct("id", "known", "place", "n")).alias("r")).select("key", "hand", *[F.col(f"r.{c}").alias(f"{c}_b") for c in ("id", "known", "place", "n")])
-    met = dealt.join(lead, ["key", "hand"]).where("id <> id_b AND known <> known_b").where(_may(least))
+    """(a, b): texts of a key and of like size dealt by hash into hands of about ``hand`` or fewer, anew each turn, and each with the lead of its hand: as many pairs as rows at most."""
+    dealt = rows.withColumn("class", _class(least)).withColumn("hand", F.expr(f"pmod(xxhash64(id, key, {turn}), greatest(1L, held div {hand}))"))
+    lead = _leads(dealt, ["key", "class", "hand"], ["id", "known", "n"])
+    met = dealt.join(lead, ["key", "class", "hand"]).where("id <> id_b AND known <> known_b").where(_may(least))
     return met.select(F.col("id_b").alias("a"), F.col("id").alias("b")).distinct()
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plyspark.llm import components, decontam, lcp, mixing, queries, sharding, simhash
 from plyspark.llm.runtime import Scratch
+from plyspark.llm.shingles import similar
 
 from .conftest import prose
 
@@ -142,6 +143,34 @@ def test_no_link_between_different_texts_is_lost(spark):
     assert kept == set(want.values())
 
 
+class Counting(Scratch):
+    """Keeps the number of rows of each table that is saved."""
+
+    def save(self, df, name):
+        out = super().save(df, name)
+        self.rows = getattr(self, "rows", {}) | {name: out.count()}
+        return out
+
+
+def test_changed_copies_round_one_text_are_not_compared_in_pairs(spark):
+    """Each alike only to a text that has neither the least id nor any other sign: pairs grow with the copies, not with their square."""
+    rng, base = random.Random(12), prose(12, 149).split()
+
+    def changed(n):
+        out = list(base)
+        for i in rng.sample(range(5, 140, 6), n):
+            out[i] = f"w{rng.getrandbits(30)}"
+        return " ".join(out)
+
+    texts = dict(enumerate([changed(3) for _ in range(120)] + [" ".join(base)] + [changed(4) for _ in range(10)]))
+    scratch = Counting(spark, "t")
+    rows = spark.createDataFrame([(k, t, k) for k, t in texts.items()], "id long, text string, known long")
+    found = [(r.a, r.b) for r in similar(rows, scratch, 5, 0.8).collect()]
+    want = [(i, j) for i in texts for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(want) < 150 and union_groups(texts, found) == union_groups(texts, want)
+    assert scratch.rows["rest"] < 150
+
+
 def test_one_of_each_group_stays(spark, odd, nothing):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
